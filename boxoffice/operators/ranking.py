@@ -141,6 +141,14 @@ def margin_band(margin: Column) -> Column:
     )
 
 
+def scatter_segments(margin: Column, above: Column) -> list[Column]:
+    """Legend positions of a margin and of an above-average flag."""
+    return [
+        F.when(margin >= 0.8, 1).when(margin >= 0.6, 2).otherwise(3).alias("margin_segment"),
+        F.when(above == 1, 4).otherwise(5).alias("value_segment"),
+    ]
+
+
 def is_group_max(df: DataFrame, metric: str, keys: Sequence[str] = ()) -> DataFrame:
     """Flag the rows whose metric is the greatest of their group."""
     top = max_of(df, metric, keys, "_top")

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from boxoffice.functions.dates import month_index, shift_date
 from boxoffice.functions.numbers import difference, divide
-from boxoffice.operators.metrics import add_up, finish, max_of
+from boxoffice.operators.metrics import add_up, finish, kpi, max_of
 
 
 def shift_days(daily: DataFrame, values: Sequence[str], unit: str, n: int, prefix: str) -> DataFrame:
@@ -230,11 +230,7 @@ def group_max_scale(
     return top.withColumn(name, F.col("_top").cast("double") * factor).drop("_top")
 
 
-def heatmap(fact: DataFrame, measure: Column, name: str) -> DataFrame:
-    """A measure by day of week (Monday = 1) and hour of purchase."""
+def heatmap(fact: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """Measures by day of week (Monday = 1) and hour of purchase."""
     day = (F.weekday("creationDate") + 1).alias("dayOfWeekInt")
-    return fact.groupBy(day, "todSort").agg(measure.alias(name))
-
-
-def with_month(df: DataFrame, date: str = "date", name: str = "month") -> DataFrame:
-    return df.withColumn(name, month_index(F.col(date)))
+    return kpi(fact, metrics, [day, "todSort"])
