@@ -16,6 +16,11 @@ def with_ym(fact: DataFrame, date: str = "creationDate") -> DataFrame:
     return fact.withColumn("ym", F.year(date) * 100 + F.month(date))
 
 
+def event_months(t: Tables) -> DataFrame:
+    """Customers per event and month, the contexts of most cohort queries."""
+    return c.customer_contexts(with_ym(t.fact()), ["eventID", "ym"])
+
+
 _CTES = {
     "fm": 'SELECT *, year("creationDate") * 100 + month("creationDate") AS ym FROM fact',
     "ctx": 'SELECT "eventID", ym, min("creationDate") AS start FROM fm GROUP BY ALL',
@@ -33,7 +38,7 @@ _CTES = {
     **_CTES,
 )
 def new_customers(t: Tables) -> DataFrame:
-    counts = c.cohort_counts(with_ym(t.fact()), ["eventID", "ym"])
+    counts = c.cohort_counts(event_months(t), ["eventID", "ym"])
     return counts.where("new_customers IS NOT NULL").select("eventID", "ym", "new_customers")
 
 
@@ -47,7 +52,8 @@ FROM by_payment b JOIN (SELECT "eventID", "paymentMethod", min("creationDate") A
 )
 def new_customers_by_payment(t: Tables) -> DataFrame:
     """The filter on the payment method also holds for the past orders."""
-    counts = c.cohort_counts(t.fact(), ["eventID", "paymentMethod"], keep=["paymentMethod"])
+    by = ["eventID", "paymentMethod"]
+    counts = c.cohort_counts(c.customer_contexts(t.fact(), by, ()), by, keep=["paymentMethod"])
     return counts.select("eventID", "paymentMethod", "new_customers")
 
 
@@ -57,7 +63,7 @@ def new_customers_by_payment(t: Tables) -> DataFrame:
     **_CTES,
 )
 def repeat_customers(t: Tables) -> DataFrame:
-    counts = c.cohort_counts(with_ym(t.fact()), ["eventID", "ym"])
+    counts = c.cohort_counts(event_months(t), ["eventID", "ym"])
     return counts.where("repeat_customers IS NOT NULL").select("eventID", "ym", "repeat_customers")
 
 
@@ -70,13 +76,13 @@ def _value_sql(kind: str) -> str:
 
 @query("H03_new_customers_value", _value_sql("new"), **_CTES)
 def new_value(t: Tables) -> DataFrame:
-    values = c.cohort_value(with_ym(t.fact()), ["eventID", "ym"])
+    values = c.cohort_value(event_months(t), ["eventID", "ym"])
     return values.select("eventID", "ym", "new_value", "new_tickets", "new_discount")
 
 
 @query("H04_repeat_customers_value", _value_sql("repeat"), **_CTES)
 def repeat_value(t: Tables) -> DataFrame:
-    values = c.cohort_value(with_ym(t.fact()), ["eventID", "ym"])
+    values = c.cohort_value(event_months(t), ["eventID", "ym"])
     return values.select("eventID", "ym", "repeat_value", "repeat_tickets", "repeat_discount")
 
 
@@ -93,7 +99,7 @@ WHERE NOT EXISTS (SELECT 1 FROM fact p WHERE p."customerID" = fm."customerID" AN
 )
 def total_new_value(t: Tables) -> DataFrame:
     return c.period_cohort_value(
-        with_ym(t.fact()), ["eventID"], "ym", month_start(F.col("creationDate"))
+        event_months(t), ["eventID"], "ym", month_start(F.col("first_order"))
     )
 
 
@@ -108,7 +114,7 @@ FULL JOIN fresh ON n."eventID" = fresh."eventID" AND n.ym = fresh.ym""",
 )
 def avg_new_value(t: Tables) -> DataFrame:
     return c.avg_new_customer_value(
-        with_ym(t.fact()), ["eventID"], "ym", month_start(F.col("creationDate"))
+        event_months(t), ["eventID"], "ym", month_start(F.col("first_order"))
     )
 
 
@@ -166,10 +172,8 @@ FROM (SELECT b.*, EXISTS (SELECT 1 FROM okf p WHERE p."customerID" = b."customer
   JOIN (SELECT "eventID", min("creationDate") AS start FROM fact GROUP BY ALL) x ON b."eventID" = x."eventID") GROUP BY ALL)""",
 )
 def new_vs_repeat(t: Tables) -> DataFrame:
-    fact = t.fact()
-    counts = c.cohort_counts(fact, ["eventID"])
-    values = c.cohort_value(fact, ["eventID"])
-    shares = c.new_vs_repeat(counts.join(values, "eventID"))
+    contexts = c.customer_contexts(t.fact(), ["eventID"])
+    shares = c.new_vs_repeat(c.cohort_summary(contexts, ["eventID"]))
     keep = [x for x in shares.columns if x.endswith(("_share", "_sign"))]
     return shares.select("eventID", *keep)
 

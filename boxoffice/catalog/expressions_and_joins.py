@@ -17,8 +17,9 @@ from boxoffice.operators.joins import (
     star_join,
     with_membership,
 )
-from boxoffice.operators.metrics import kpi, single_value, total_of
+from boxoffice.operators.metrics import kpi, single_value, without_filters
 from boxoffice.plans import models
+from boxoffice.session import stable
 
 
 @query("C01_project_rename", "SELECT c_custkey AS id, c_name AS customer_name, c_mktsegment AS segment FROM customer")
@@ -124,12 +125,18 @@ FROM (SELECT "eventID", "paymentMethod", sum(gross - dval) FILTER (WHERE "orderS
 )
 def filter_context(t: Tables) -> DataFrame:
     """A filter kept for all values, and filters on payment, event or both taken away."""
-    out = kpi(
+    selected = kpi(
         t.fact(), ["profit"], ["eventID", "paymentMethod"], F.col("creationDateID") >= 19980101
     )
-    out = total_of(out, "profit", ["eventID"], "profit_all_payments")
-    out = total_of(out, "profit", ["paymentMethod"], "profit_all_events")
-    return total_of(out, "profit", [], "profit_selected")
+    return without_filters(
+        stable(selected),
+        "profit",
+        {
+            "profit_all_payments": ["eventID"],
+            "profit_all_events": ["paymentMethod"],
+            "profit_selected": [],
+        },
+    )
 
 
 @query(

@@ -9,6 +9,7 @@ from boxoffice.catalog.bindings import Tables
 from boxoffice.catalog.oracle import MEASURE_SQL, dbl, div, measures
 from boxoffice.catalog.register import query
 from boxoffice.operators import metrics as m
+from boxoffice.session import stable
 from boxoffice.sources import parameters
 
 # Key, measures and grouping of the plain measures.
@@ -175,12 +176,8 @@ def sales_table(t: Tables) -> DataFrame:
     fact = t.fact().withColumn("month", month_index(F.col("creationDate")))
     wide = m.kpi(fact, _SALES_VALUES, ["month"])
     wide = wide.select("month", *[F.col(c).cast("double").alias(c) for c in _SALES_VALUES])
-    changes = wide
-    for name in _SALES_BASE:
-        pct = previous_month(wide.select("month", name), name).select(
-            "month", F.col("pct").alias(f"{name}_vs_pm")
-        )
-        changes = changes.join(pct, "month")
+    moved = previous_month(stable(wide), _SALES_BASE)
+    changes = moved.withColumnsRenamed({f"{name}_pct": f"{name}_vs_pm" for name in _SALES_BASE})
     names = [p[1] for p in parameters.SALES_METRICS]
     ym = F.floor((F.col("month") - 1) / 12) * 100 + (F.col("month") - 1) % 12 + 1
     long = m.long_metrics(changes, ["month"], parameters.sales_metrics(t.spark), names)

@@ -15,9 +15,10 @@ from boxoffice.operators import metrics as m
 from boxoffice.operators import quality as q
 from boxoffice.operators import ranking as r
 from boxoffice.operators import timeintel as w
-from boxoffice.operators.cohorts import cohort_counts
+from boxoffice.operators.cohorts import cohort_counts, customer_contexts
 from boxoffice.operators.joins import star_join
 from boxoffice.plans import raw, schemas
+from boxoffice.session import stable
 
 _RANKED = ["complete_orders", "tickets", "discount", "profit"]
 
@@ -50,7 +51,7 @@ _EV = {
     **_EV,
 )
 def rank_events(t: Tables) -> DataFrame:
-    wide = event_kpi(t, _RANKED)
+    wide = stable(event_kpi(t, _RANKED))
     parts = [
         r.rank_by(wide.select("name", n), n, "name").select(
             F.lit(n).alias("metric"), "name", F.col(n).cast("double").alias("value"), "rank"
@@ -67,17 +68,20 @@ FROM ev LEFT JOIN newc ON id = "eventID" WHERE id IN (SELECT "eventID" FROM okf)
     **_EV,
 )
 def rank_events_by_new_customers(t: Tables) -> DataFrame:
-    counts = cohort_counts(t.fact(), ["eventID"])
+    counts = cohort_counts(customer_contexts(t.fact(), ["eventID"], ()), ["eventID"])
     named = star_join(counts, events=t.events()).select(F.col("eventName").alias("name"), "new_customers")
     return r.rank_by(named, "new_customers", "name")
 
 
 def event_distance_sums(t: Tables, *names: str) -> tuple[DataFrame, list[str]]:
-    """Base sums by event name and distance, summed by the keys before the names are joined."""
+    """Base sums by event name and distance, summed by the keys before the names are joined.
+
+    Both levels of the hierarchy use them, so they are written once.
+    """
     wanted = [*names, "complete_orders"]
     sums = m.base_sums(t.fact(), wanted, ["eventID", "ticketID"])
     named = star_join(sums, events=t.events(), tickets=t.tickets())
-    return m.add_up(named, ["eventName", "distance"]), m.needed_sums(wanted)
+    return stable(m.add_up(named, ["eventName", "distance"])), m.needed_sums(wanted)
 
 
 @query(
@@ -139,8 +143,9 @@ def share_by_gender(t: Tables) -> DataFrame:
 )
 def topn_events(t: Tables) -> DataFrame:
     """The stored query: five events with the most new customers, ties kept."""
-    counts = cohort_counts(t.fact(), ["eventID"]).select("eventID", "new_customers")
-    best = r.top_n(counts, "new_customers", 5)
+    contexts = customer_contexts(t.fact(), ["eventID"], ())
+    counts = cohort_counts(contexts, ["eventID"]).select("eventID", "new_customers")
+    best = r.top_n(stable(counts), "new_customers", 5)
     return star_join(best, events=t.events()).select(
         "eventID", F.col("eventName").alias("name"), "new_customers"
     )

@@ -13,6 +13,7 @@ from boxoffice.functions.dates import month_index
 from boxoffice.operators import cohorts as c
 from boxoffice.operators import metrics as m
 from boxoffice.operators import timeintel as w
+from boxoffice.session import stable
 
 # The eight figures on the cards of the report.
 CARD = [
@@ -34,11 +35,15 @@ def daily(t: Tables, names: list[str], by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def daily_card(t: Tables) -> DataFrame:
-    """The card figures per day; the two customer figures come from the cohort operators."""
-    fact = t.fact().withColumn("date", F.col("creationDate"))
-    fresh = c.avg_new_customer_value(fact, [], "date", F.col("creationDate"))
+    """The card figures per day, all from one pass over the fact.
+
+    The frame has one row per day and is written, because every comparison uses it twice.
+    """
+    contexts = c.customer_contexts(t.fact().withColumn("date", F.col("creationDate")), ["date"])
+    fresh = c.avg_new_customer_value(contexts, [], "date", F.col("date"))
     fresh = fresh.select("date", "new_customers", "avg_new_customers_value")
-    return m.kpi(fact, _FROM_SUMS, ["date"]).join(fresh, "date", "left")
+    sums = m.add_up(contexts, ["date"])
+    return stable(m.finish(sums, _FROM_SUMS).join(fresh, "date", "left"))
 
 
 _DAILY = {
@@ -105,10 +110,10 @@ def previous_month_shift(t: Tables) -> DataFrame:
 
 @query(
     "W04_mom_change",
-    f"""SELECT c."eventID", c.month, c.profit, p.profit AS previous,
-  CASE WHEN c.profit IS NOT NULL OR p.profit IS NOT NULL THEN coalesce(c.profit, 0) - coalesce(p.profit, 0) END AS change,
-  {div("(coalesce(c.profit, 0) - p.profit)", "p.profit", "0")} AS pct,
-  CAST(sign(coalesce(c.profit, 0) - coalesce(p.profit, 0)) AS BIGINT) AS sign
+    f"""SELECT c."eventID", c.month, c.profit, p.profit AS profit_previous,
+  CASE WHEN c.profit IS NOT NULL OR p.profit IS NOT NULL THEN coalesce(c.profit, 0) - coalesce(p.profit, 0) END AS profit_change,
+  {div("(coalesce(c.profit, 0) - p.profit)", "p.profit", "0")} AS profit_pct,
+  CAST(sign(coalesce(c.profit, 0) - coalesce(p.profit, 0)) AS BIGINT) AS profit_sign
 FROM monthly c LEFT JOIN monthly p ON c."eventID" = p."eventID" AND p.month = c.month - 1""",
     monthly=f"""SELECT "eventID", year("creationDate") * 12 + month("creationDate") AS month, {dbl(MEASURE_SQL["profit"])} AS profit
 FROM fact GROUP BY ALL""",
@@ -117,7 +122,7 @@ def mom_change(t: Tables) -> DataFrame:
     fact = t.fact().withColumn("month", month_index(F.col("creationDate")))
     monthly = m.kpi(fact, ["profit"], ["eventID", "month"])
     monthly = monthly.withColumn("profit", F.col("profit").cast("double"))
-    return w.previous_month(monthly, "profit", ["eventID"])
+    return w.previous_month(monthly, ["profit"], ["eventID"])
 
 
 _PROFIT_DAYS = {
@@ -266,7 +271,7 @@ def last_n_days(t: Tables) -> DataFrame:
         ("created", "creationDate", "creationDateID", (3, 7, 14, 30, 60)),
         ("purchased", "purchaseDate", "purchaseDateID", (7, 30, 0)),
     ):
-        per_day = fact.groupBy(date, key).agg(F.count(F.lit(1)).alias("orders"))
+        per_day = stable(fact.groupBy(date, key).agg(F.count(F.lit(1)).alias("orders")))
         for n in lengths:
             kept = w.last_n_days(per_day, n, date, zero_is_all=basis == "purchased")
             parts.append(
@@ -395,4 +400,4 @@ def heatmap(t: Tables) -> DataFrame:
     **_DAILY,
 )
 def monthly_customers(t: Tables) -> DataFrame:
-    return c.cohort_counts(with_ym(t.fact()), ["ym"])
+    return c.cohort_counts(c.customer_contexts(with_ym(t.fact()), ["ym"]), ["ym"])

@@ -20,7 +20,8 @@ def key_to_date(c: Column) -> Column:
 
 def hour_label(c: Column) -> Column:
     """The hour on a 12-hour clock, such as ``01 PM``."""
-    return F.date_format(c, "hh a")
+    labels = [f"{(h + 11) % 12 + 1:02d} {'AM' if h < 12 else 'PM'}" for h in range(24)]
+    return F.elt(F.hour(c) + 1, *[F.lit(label) for label in labels])
 
 
 def clock_time(c: Column) -> Column:

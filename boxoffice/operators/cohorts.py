@@ -3,9 +3,12 @@
 A customer is *repeat* in a context (an event in a month, say) if they bought before the
 first order of that context, and *new* otherwise. Written with sets, this needs one
 EXCEPT or INTERSECT per context. Here it is a comparison of two dates: the customer's
-first purchase and the first order date of the context. Three aggregations and two joins
-on aggregated rows replace any per-context evaluation, and a customer or an event with a
-third of all orders is reduced on the map side before anything is shuffled.
+first purchase and the first order date of the context.
+
+All cohort figures start from ``customer_contexts``, one row per context and customer. It
+reads the fact once and is written to the shared folder, since each figure uses it three
+times. A customer or an event with a third of all orders is reduced to such rows on the
+map side, before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -17,46 +20,48 @@ from pyspark.sql import functions as F
 
 from boxoffice.functions.numbers import divide, null_if_zero
 from boxoffice.operators.metrics import SUMS, is_ok, with_amounts
+from boxoffice.session import stable
 
 
-def has_bought() -> Column:
-    return is_ok() & F.col("creationDateID").isNotNull()
-
-
-# Base sums a cohort can be valued by, and the measure each set gives.
-VALUE_SUMS = ("n_ok", "s_tickets", "s_gross", "s_discount")
-
-
-def tagged_buyers(
-    fact: DataFrame,
-    by: Sequence[str],
-    keep: Sequence[str] = (),
-    sums: Sequence[str] = (),
+def customer_contexts(
+    fact: DataFrame, by: Sequence[str], sums: Sequence[str] = tuple(SUMS)
 ) -> DataFrame:
-    """One row per context and buyer with ``is_new`` and the buyer's sums in the context.
+    """Per context and customer: the first order, the first purchase, and base sums.
 
-    ``by`` are the context columns; ``keep`` is the part of them whose filter also holds
-    for the past purchases (a payment method, a gender), while filters on event, ticket
-    and date do not. The first date of a context counts orders of any status.
+    ``by`` are the context columns. ``sums`` are those that later figures need.
     """
-    fact = with_amounts(fact)
-    first_here = fact.groupBy(*by).agg(F.min("creationDate").alias("context_start"))
-    buyers = (
-        fact.where(has_bought())
+    bought = is_ok() & F.col("creationDateID").isNotNull()
+    return stable(
+        with_amounts(fact)
         .groupBy(*by, "customerID")
-        .agg(F.count(F.lit(1)).alias("orders"), *[SUMS[s]().alias(s) for s in sums])
+        .agg(
+            F.min("creationDate").alias("first_order"),
+            F.min(F.when(bought, F.col("creationDate"))).alias("first_bought"),
+            *[SUMS[s]().alias(s) for s in sums],
+        )
     )
+
+
+def tagged_buyers(contexts: DataFrame, by: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The buyers among ``contexts``, with ``is_new``.
+
+    ``keep`` is the part of ``by`` whose filter also holds for the past purchases (a
+    payment method, a gender), while filters on event, ticket and date do not. The first
+    date of a context counts orders of any status.
+    """
+    start = F.min("first_order").alias("context_start")
     first_ever = (
-        fact.where(has_bought())
+        contexts.where("first_bought IS NOT NULL")
         .groupBy("customerID", *keep)
-        .agg(F.min("creationDate").alias("first_bought"))
-    )
-    dated = buyers.join(first_ever, ["customerID", *keep])
-    dated = dated.join(first_here, list(by)) if by else dated.withColumn(
-        "context_start", first_here.scalar()
+        .agg(F.min("first_bought").alias("first_ever"))
     )
-    return dated.withColumn("is_new", F.col("first_bought") >= F.col("context_start")).drop(
-        "first_bought", "context_start", "orders"
+    buyers = contexts.where("first_bought IS NOT NULL").join(first_ever, ["customerID", *keep])
+    if by:
+        buyers = buyers.join(contexts.groupBy(*by).agg(start), list(by))
+    else:
+        buyers = buyers.withColumn("context_start", contexts.agg(start).scalar())
+    return buyers.withColumn("is_new", F.col("first_ever") >= F.col("context_start")).drop(
+        "first_ever", "context_start"
     )
 
 
@@ -66,64 +71,72 @@ def _is(kind: str) -> Column:
     return F.col("is_new") if kind == "new" else ~F.col("is_new")
 
 
-def cohort_counts(fact: DataFrame, by: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def _count_columns() -> list[Column]:
+    return [
+        null_if_zero(F.count_if(_is("new"))).alias("new_customers"),
+        null_if_zero(F.count_if(_is("repeat"))).alias("repeat_customers"),
+        F.count(F.lit(1)).alias("total_customers"),
+    ]
+
+
+def _value_columns() -> list[Column]:
+    profit = F.col("s_gross") - F.col("s_discount")
+    amounts = {"value": profit, "tickets": F.col("s_tickets"), "discount": F.col("s_discount")}
+    split = [
+        F.sum(F.when(_is(kind), c)).alias(f"{kind}_{name}")
+        for kind in ("new", "repeat")
+        for name, c in amounts.items()
+    ]
+    return split + [F.sum(c).alias(f"total_{name}") for name, c in amounts.items()]
+
+
+def cohort_counts(contexts: DataFrame, by: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """``new_customers``, ``repeat_customers`` and ``total_customers`` per context.
 
     A context without buyers has no row: its counts are absent, not zero.
     """
-    buyers = tagged_buyers(fact, by, keep)
-    return buyers.groupBy(*by).agg(
-        null_if_zero(F.count_if(_is("new"))).alias("new_customers"),
-        null_if_zero(F.count_if(_is("repeat"))).alias("repeat_customers"),
-        F.count(F.lit(1)).alias("total_customers"),
-    )
+    return tagged_buyers(contexts, by, keep).groupBy(*by).agg(*_count_columns())
 
 
-def cohort_value(fact: DataFrame, by: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def cohort_value(contexts: DataFrame, by: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Profit, tickets and discount of new and of repeat customers per context.
 
     Only the event filter is lifted for past purchases: pass ticket columns that are part
     of ``by`` in ``keep`` as well.
     """
-    buyers = tagged_buyers(fact, by, keep, VALUE_SUMS)
-    profit = F.col("s_gross") - F.col("s_discount")
-    amounts = {"value": profit, "tickets": F.col("s_tickets"), "discount": F.col("s_discount")}
-    return buyers.groupBy(*by).agg(
-        *[
-            F.sum(F.when(_is(kind), c)).alias(f"{kind}_{name}")
-            for kind in ("new", "repeat")
-            for name, c in amounts.items()
-        ],
-        *[F.sum(c).alias(f"total_{name}") for name, c in amounts.items()],
-    )
+    return tagged_buyers(contexts, by, keep).groupBy(*by).agg(*_value_columns())
+
+
+def cohort_summary(contexts: DataFrame, by: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Counts and values together, for contexts without ticket columns."""
+    tagged = tagged_buyers(contexts, by, keep)
+    return tagged.groupBy(*by).agg(*_count_columns(), *_value_columns())
 
 
 def period_cohort_value(
-    fact: DataFrame, by: Sequence[str], period: str, period_start: Column
+    contexts: DataFrame, by: Sequence[str], period: str, period_start: Column
 ) -> DataFrame:
     """Profit of customers without any earlier order, of any status, before the period.
 
-    Unlike ``cohort_value`` the filters in ``by`` hold for the earlier orders too, and the
-    bound is the first calendar date of the period instead of the first order in it.
+    ``contexts`` are by ``by`` and ``period``. Unlike ``cohort_value`` the filters in
+    ``by`` hold for the earlier orders too, and the bound is the first calendar date of
+    the period (an expression over ``contexts``) instead of the first order in it.
     """
-    fact = with_amounts(fact)
-    here = fact.groupBy(*by, period, "customerID").agg(
-        F.min(period_start).alias("start"),
-        *[SUMS[s]().alias(s) for s in ("s_gross", "s_discount")],
-    )
-    earlier = fact.groupBy("customerID", *by).agg(F.min("creationDate").alias("first_order"))
-    fresh = here.join(earlier, ["customerID", *by]).where(F.col("first_order") >= F.col("start"))
-    return fresh.groupBy(*by, period).agg(
-        F.sum(F.col("s_gross") - F.col("s_discount")).alias("total_new_customers_value")
+    earliest = contexts.groupBy("customerID", *by).agg(F.min("first_order").alias("earliest"))
+    fresh = contexts.withColumn("start", period_start).join(earliest, ["customerID", *by])
+    return (
+        fresh.where(F.col("earliest") >= F.col("start"))
+        .groupBy(*by, period)
+        .agg(F.sum(F.col("s_gross") - F.col("s_discount")).alias("total_new_customers_value"))
     )
 
 
 def avg_new_customer_value(
-    fact: DataFrame, by: Sequence[str], period: str, period_start: Column
+    contexts: DataFrame, by: Sequence[str], period: str, period_start: Column
 ) -> DataFrame:
     """Value of new customers in the period divided by the number of new customers."""
-    value = period_cohort_value(fact, by, period, period_start)
-    counts = cohort_counts(fact, [*by, period]).select(*by, period, "new_customers")
+    value = period_cohort_value(contexts, by, period, period_start)
+    counts = cohort_counts(contexts, [*by, period]).select(*by, period, "new_customers")
     return counts.join(value, [*by, period], "full").withColumn(
         "avg_new_customers_value",
         divide(F.col("total_new_customers_value"), F.col("new_customers"), 0),

@@ -22,20 +22,16 @@ def not_in(df: DataFrame, column: str, values: DataFrame, value_column: str) ->
 
     One null among the values empties the result, and a null in ``column`` only passes if
     there are no values at all. Spark's own plan for the SQL form always broadcasts the
-    values; here they are anti-joined by key, and the null rules are two scalars.
+    values; here they are anti-joined by key, and the null rules are one scalar: 0 without
+    values, 1 with values, 2 with a null among them.
     """
     v = values.select(F.col(value_column).alias("_value"))
-    state = v.agg(
-        F.struct(
-            F.coalesce(F.bool_or(F.col("_value").isNull()), F.lit(False)).alias("has_null"),
-            (F.count(F.lit(1)) == 0).alias("empty"),
-        ).alias("state")
-    ).scalar()
+    some = F.count(F.lit(1)) > 0
+    nulls = F.count(F.lit(1)) > F.count("_value")
+    state = v.agg(F.when(nulls, 2).when(some, 1).otherwise(0)).scalar()
     known = v.where(F.col("_value").isNotNull())
     kept = df.join(known, F.col(column) == F.col("_value"), "left_anti")
-    return kept.where(
-        ~state.getField("has_null") & (F.col(column).isNotNull() | state.getField("empty"))
-    )
+    return kept.where(state + F.col(column).isNull().cast("int") <= 1)
 
 
 def in_values(df: DataFrame, column: str, values: DataFrame, value_column: str) -> DataFrame:
@@ -90,7 +86,7 @@ def star_join(
             out, "ticketID", tickets, "id", {"distance": "distance", "phaseID": "phaseID"}
         )
         if phases is not None:
-            out = lookup(out, "phaseID", F.broadcast(phases), "phaseID", {"phase": "phase"})
+            out = lookup(out, "phaseID", phases, "phaseID", {"phase": "phase"})
     if calendar is not None:
         days = {"yearMonthInt": "yearMonthInt", "year": "year", "dayOfWeekInt": "dayOfWeekInt"}
         out = lookup(out, "creationDateID", F.broadcast(calendar), "dateID", days)

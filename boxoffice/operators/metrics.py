@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from boxoffice.functions.dates import month_index
 from boxoffice.functions.numbers import MONEY, divide, null_if_zero, round_up
 from boxoffice.sources import parameters
 
@@ -150,10 +151,7 @@ def total_of(df: DataFrame, metric: str, keys: Sequence[str], name: str) -> Data
     The rows are aggregated first and joined back; with no keys the sum is one scalar. So
     a group of any size is never gathered in one task, as a window would do.
     """
-    if not keys:
-        return df.withColumn(name, df.agg(F.sum(metric)).scalar())
-    totals = df.groupBy(*keys).agg(F.sum(metric).alias(name))
-    return _join_back(df, totals, keys, name)
+    return without_filters(df, metric, {name: keys})
 
 
 def max_of(df: DataFrame, metric: str, keys: Sequence[str], name: str) -> DataFrame:
@@ -172,10 +170,21 @@ def _join_back(df: DataFrame, groups: DataFrame, keys: Sequence[str], name: str)
     return df.join(g, same, "left").drop(*[f"_{k}" for k in keys])
 
 
-def without_filters(df: DataFrame, metric: str, removed: Sequence[str], dims: Sequence[str]) -> DataFrame:
-    """``metric`` per group next to its value with the filters on ``removed`` taken away."""
-    keep = [d for d in dims if d not in removed]
-    return total_of(df, metric, keep, f"{metric}_all")
+def without_filters(df: DataFrame, metric: str, remaining: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``metric`` next to its values under fewer filters.
+
+    ``remaining`` maps a new column to the grouping columns whose filter still holds for
+    it; all others are taken away. Each is an aggregation of ``df`` itself, so a frame
+    that is costly to compute should be written first.
+    """
+    out = df
+    for name, keys in remaining.items():
+        if keys:
+            groups = df.groupBy(*keys).agg(F.sum(metric).alias(name))
+            out = _join_back(out, groups, keys, name)
+        else:
+            out = out.withColumn(name, df.agg(F.sum(metric)).scalar())
+    return out
 
 
 def single_value(c: Column) -> Column:
@@ -246,7 +255,7 @@ def buyers_by_gender(fact: DataFrame, customers: DataFrame, by: Sequence[str] =
 
 def months_selected(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Number of year-months with fact rows."""
-    month = F.date_format("creationDate", "yyyyMM")
+    month = month_index(F.col("creationDate"))
     return fact.groupBy(*by).agg(F.count_distinct(month).alias("months"))
 
 

@@ -55,21 +55,29 @@ def shift_period(
     return finish(add_up(moved, [*period, *by]), metrics)
 
 
-def previous_month(monthly: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Each month with the value of the calendar month before, and the change.
+def previous_month(
+    monthly: DataFrame, values: Sequence[str], by: Sequence[str] = ()
+) -> DataFrame:
+    """Each month with the values of the calendar month before, and the changes.
 
-    ``sign`` follows the change itself, so a value after an empty month rises by 0 %.
+    For each value ``v`` there are ``v_previous``, ``v_change``, ``v_pct`` and ``v_sign``.
+    The sign follows the change itself, so a value after an empty month rises by 0 %.
     """
     before = monthly.select(
-        *by, (F.col("month") + 1).alias("month"), F.col(value).alias("previous")
+        *by,
+        (F.col("month") + 1).alias("month"),
+        *[F.col(v).alias(f"{v}_previous") for v in values],
     )
     joined = monthly.join(before, [*by, "month"], "left")
-    change = difference(F.col(value), F.col("previous"))
-    return joined.withColumn("change", change).select(
-        "*",
-        divide(F.col("change"), F.col("previous"), 0).alias("pct"),
-        F.signum(F.coalesce(F.col("change").cast("double"), F.lit(0.0))).cast("int").alias("sign"),
-    )
+    out = []
+    for v in values:
+        change = difference(F.col(v), F.col(f"{v}_previous"))
+        out += [
+            change.alias(f"{v}_change"),
+            divide(change, F.col(f"{v}_previous"), 0).alias(f"{v}_pct"),
+            F.signum(F.coalesce(change.cast("double"), F.lit(0.0))).cast("int").alias(f"{v}_sign"),
+        ]
+    return joined.select("*", *out)
 
 
 def to_date(daily: DataFrame, value: str, unit: str, by: Sequence[str] = ()) -> DataFrame:
@@ -184,12 +192,16 @@ def markers(series: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def last_n_days(df: DataFrame, n: int, date: str = "creationDate", zero_is_all: bool = False) -> DataFrame:
-    """Rows from the last date back to ``n`` days before it, both ends included."""
+def last_n_days(
+    df: DataFrame, n: int, date: str = "creationDate", zero_is_all: bool = False
+) -> DataFrame:
+    """Rows from the last date back to ``n`` days before it, both ends included.
+
+    No row lies after the last date, so one lower bound is enough.
+    """
     if zero_is_all and n == 0:
         return df
-    last = df.agg(F.max(date).alias("last"))
-    return df.where(F.col(date).between(F.date_sub(last.scalar(), n), last.scalar()))
+    return df.where(F.col(date) >= F.date_sub(df.agg(F.max(date)).scalar(), n))
 
 
 def visible_dates(calendar: DataFrame, fact: DataFrame) -> DataFrame:

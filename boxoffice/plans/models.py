@@ -51,7 +51,12 @@ def event_date(text: Column) -> Column:
 
 
 def stg_events(order_events: DataFrame, events: DataFrame) -> DataFrame:
-    """Registered events with their organiser, plus events known from orders only."""
+    """Registered events with their organiser, plus events known from orders only.
+
+    The rule that a registered event must not be an orders-only event needs no join: if
+    there are orders-only events at all, none of them is registered and no registered
+    event lacks its id; and if there are none, the rule excludes nothing.
+    """
     name = F.col("event_name_en")
     sold = order_events.where(
         lacks_words(name, "test") & lacks_words(F.col("merchant_name_en"), "test")
@@ -66,9 +71,8 @@ def stg_events(order_events: DataFrame, events: DataFrame) -> DataFrame:
 
     orders_only = not_in(sold, "event_id", events, "event_id")
     listed = events.where(lacks_words(F.col("event_name"), "demo", "email", "test"))
-    registered = not_in(listed, "event_id", orders_only, "event_id")
     organiser = sold.select(F.col("event_id").alias("_event"), "organizer_id")
-    registered = registered.join(organiser, F.col("event_id") == F.col("_event"), "left").select(
+    registered = listed.join(organiser, F.col("event_id") == F.col("_event"), "left").select(
         F.col("event_id").alias("id"),
         "event_name",
         "event_type",

@@ -44,8 +44,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/boxoffice/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in one subfolder per application.
+
+    Nothing is removed here: whoever owns the shared folder can drop the subfolder once
+    the application has ended.
+    """
+    app = spark.conf.get("spark.app.id", "session")
+    return f"{shared_dir(spark)}/boxoffice/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def stable(df: DataFrame) -> DataFrame:
