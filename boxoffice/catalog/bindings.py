@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxoffice.functions.dates import date_key
+from boxoffice.functions.numbers import to_units
 from boxoffice.plans import bi_tables, models, raw
 
 CUTOFF = dt.date(2000, 1, 1)
@@ -59,8 +60,8 @@ class Tables:
             F.col("l_partkey").alias("ticketID"),
             F.col("l_suppkey").alias("eventID"),
             F.col("l_quantity").cast("bigint").alias("totalTickets"),
-            F.col("l_extendedprice").cast("decimal(18,4)").alias("gross"),
-            F.col("l_discount").cast("decimal(6,4)").alias("discount"),
+            to_units(F.col("l_extendedprice")).alias("grossUnits"),
+            F.col("l_discount").alias("discount"),
             F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("orderStatus"),
             F.col("o_orderpriority").alias("paymentMethod"),
             created.alias("creationDate"),

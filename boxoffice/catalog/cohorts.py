@@ -16,9 +16,12 @@ def with_ym(fact: DataFrame, date: str = "creationDate") -> DataFrame:
     return fact.withColumn("ym", F.year(date) * 100 + F.month(date))
 
 
-def event_months(t: Tables) -> DataFrame:
+def event_months(t: Tables, sums: tuple[str, ...] = ()) -> DataFrame:
     """Customers per event and month, the contexts of most cohort queries."""
-    return c.customer_contexts(with_ym(t.fact()), ["eventID", "ym"])
+    return c.customer_contexts(with_ym(t.fact()), ["eventID", "ym"], sums)
+
+
+_AMOUNTS = ("s_gross", "s_discount", "s_tickets")
 
 
 _CTES = {
@@ -76,13 +79,13 @@ def _value_sql(kind: str) -> str:
 
 @query("H03_new_customers_value", _value_sql("new"), **_CTES)
 def new_value(t: Tables) -> DataFrame:
-    values = c.cohort_value(event_months(t), ["eventID", "ym"])
+    values = c.cohort_value(event_months(t, _AMOUNTS), ["eventID", "ym"])
     return values.select("eventID", "ym", "new_value", "new_tickets", "new_discount")
 
 
 @query("H04_repeat_customers_value", _value_sql("repeat"), **_CTES)
 def repeat_value(t: Tables) -> DataFrame:
-    values = c.cohort_value(event_months(t), ["eventID", "ym"])
+    values = c.cohort_value(event_months(t, _AMOUNTS), ["eventID", "ym"])
     return values.select("eventID", "ym", "repeat_value", "repeat_tickets", "repeat_discount")
 
 
@@ -99,7 +102,7 @@ WHERE NOT EXISTS (SELECT 1 FROM fact p WHERE p."customerID" = fm."customerID" AN
 )
 def total_new_value(t: Tables) -> DataFrame:
     return c.period_cohort_value(
-        event_months(t), ["eventID"], "ym", month_start(F.col("first_order"))
+        event_months(t, _AMOUNTS[:2]), ["eventID"], "ym", month_start(F.col("first_order"))
     )
 
 
@@ -114,7 +117,7 @@ FULL JOIN fresh ON n."eventID" = fresh."eventID" AND n.ym = fresh.ym""",
 )
 def avg_new_value(t: Tables) -> DataFrame:
     return c.avg_new_customer_value(
-        event_months(t), ["eventID"], "ym", month_start(F.col("first_order"))
+        event_months(t, _AMOUNTS[:2]), ["eventID"], "ym", month_start(F.col("first_order"))
     )
 
 
@@ -172,7 +175,7 @@ FROM (SELECT b.*, EXISTS (SELECT 1 FROM okf p WHERE p."customerID" = b."customer
   JOIN (SELECT "eventID", min("creationDate") AS start FROM fact GROUP BY ALL) x ON b."eventID" = x."eventID") GROUP BY ALL)""",
 )
 def new_vs_repeat(t: Tables) -> DataFrame:
-    contexts = c.customer_contexts(t.fact(), ["eventID"])
+    contexts = c.customer_contexts(t.fact(), ["eventID"], _AMOUNTS)
     shares = c.new_vs_repeat(c.cohort_summary(contexts, ["eventID"]))
     keep = [x for x in shares.columns if x.endswith(("_share", "_sign"))]
     return shares.select("eventID", *keep)

@@ -370,7 +370,7 @@ def compact_numbers(t: Tables) -> DataFrame:
 def trend_labels(t: Tables) -> DataFrame:
     dated = t.fact().withColumn("date", F.col("creationDate"))
     daily = m.kpi(dated, ["profit"], ["date"]).withColumn("v", F.col("profit").cast("double"))
-    moved = w.compare(w.shift_days(daily.select("date", "v"), ["v"], "day", -1, "previous_"), "v", "previous_v")
+    moved = w.compare(w.shift_days(stable(daily.select("date", "v")), ["v"], "day", -1, "previous_"), "v", "previous_v")
     moved = moved.where("change IS NOT NULL")
     size = F.abs(F.col("change").cast("decimal(28,4)"))
     return moved.select("date", trend_label(F.col("pct"), compact_number(size, "kpi")).alias("label"))

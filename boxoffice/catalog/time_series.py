@@ -122,7 +122,7 @@ def mom_change(t: Tables) -> DataFrame:
     fact = t.fact().withColumn("month", month_index(F.col("creationDate")))
     monthly = m.kpi(fact, ["profit"], ["eventID", "month"])
     monthly = monthly.withColumn("profit", F.col("profit").cast("double"))
-    return w.previous_month(monthly, ["profit"], ["eventID"])
+    return w.previous_month(stable(monthly), ["profit"], ["eventID"])
 
 
 _PROFIT_DAYS = {
@@ -243,7 +243,7 @@ def markers(t: Tables) -> DataFrame:
     **_PROFIT_DAYS,
 )
 def event_peaks(t: Tables) -> DataFrame:
-    marked = w.markers(daily(t, ["profit"], ("eventID",)), "profit", ["eventID"])
+    marked = w.markers(stable(daily(t, ["profit"], ("eventID",))), "profit", ["eventID"])
     return marked.where("peak IS NOT NULL").select("eventID", "date", "peak")
 
 
@@ -319,7 +319,7 @@ FROM pd c LEFT JOIN pd p ON p.date = CAST(c.date - INTERVAL 1 YEAR AS DATE)""",
     **_PROFIT_DAYS,
 )
 def yoy_bounds(t: Tables) -> DataFrame:
-    moved = w.shift_days(daily(t, ["profit"]), ["profit"], "year", -1, "sply_")
+    moved = w.shift_days(stable(daily(t, ["profit"])), ["profit"], "year", -1, "sply_")
     return w.yoy_bounds(moved, "profit", "sply_profit")
 
 
@@ -331,7 +331,7 @@ FROM (SELECT c.date, c.profit, p.profit AS sply FROM pd c LEFT JOIN pd p ON p.da
     **_PROFIT_DAYS,
 )
 def day_scale(t: Tables) -> DataFrame:
-    moved = w.shift_days(daily(t, ["profit"]), ["profit"], "year", -1, "sply_")
+    moved = w.shift_days(stable(daily(t, ["profit"])), ["profit"], "year", -1, "sply_")
     moved = moved.select(
         "date",
         "profit",
@@ -352,7 +352,7 @@ FROM (SELECT date, {_avg(7, "date - DATE '1970-01-01'")} FROM pd)""",
 def moving_avg_scale(t: Tables) -> DataFrame:
     series = w.moving_avg(daily(t, ["profit"]), "profit", [7])
     series = series.withColumn("month", month_index(F.col("date")))
-    return w.group_max_scale(series, "avg_7", ["month"], 1.125).select("date", "scale")
+    return w.group_max_scale(stable(series), "avg_7", ["month"], 1.125).select("date", "scale")
 
 
 @query(

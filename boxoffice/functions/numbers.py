@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 4)
-RATE = T.DecimalType(6, 4)
+
+# Amounts are summed as whole ten-thousandths, so sums are exact in any order of rows.
+UNITS = 10_000
 
 
 def divide(num: Column, den: Column, default: float | None = None) -> Column:
@@ -34,13 +36,20 @@ def round_up(c: Column) -> Column:
     return (F.signum(c) * F.ceil(F.abs(c))).cast("long")
 
 
-def plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, for callers that exchange results with other engines."""
-    return df.select(
-        *[
-            F.col(f.name).cast("double").alias(f.name)
-            if isinstance(f.dataType, T.DecimalType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+def to_units(c: Column) -> Column:
+    """An amount as whole ten-thousandths, rounded half up."""
+    return F.floor(c.cast("double") * UNITS + 0.5)
+
+
+def sum_units(units: Column) -> Column:
+    """The exact decimal sum of whole ten-thousandths.
+
+    A decimal sum rewrites a 16-byte number for every row. Two sums of longs, over the
+    high bits and the low 20 bits, give the same result several times faster. The low one
+    holds 8 * 10^12 rows, the high one as many rows with amounts up to 100 million; beyond
+    that, ANSI arithmetic raises an error instead of wrapping.
+    """
+    high = F.sum(F.shiftright(units, 20)).cast("decimal(19,0)")
+    low = F.sum(units.bitwiseAND(F.lit((1 << 20) - 1))).cast("decimal(19,0)")
+    whole = high * F.lit(1 << 20).cast("decimal(7,0)") + low
+    return (whole * F.lit(1 / UNITS).cast("decimal(4,4)")).cast("decimal(28,4)")

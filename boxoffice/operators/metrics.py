@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxoffice.functions.dates import month_index
-from boxoffice.functions.numbers import MONEY, divide, null_if_zero, round_up
+from boxoffice.functions.numbers import UNITS, divide, null_if_zero, round_up, sum_units, to_units
 from boxoffice.sources import parameters
 
 def is_ok() -> Column:
@@ -23,13 +23,14 @@ def is_ok() -> Column:
 
 
 def with_amounts(fact: DataFrame) -> DataFrame:
-    """Add ``gross`` and ``discountValue``, exact decimals, where they are not stored."""
-    if "gross" not in fact.columns:
-        fact = fact.withColumn("gross", (F.col("totalTickets") * F.col("price")).cast(MONEY))
-    if "discountValue" not in fact.columns:
-        rate = F.col("discount").cast("decimal(6,4)")
-        fact = fact.withColumn("discountValue", (F.col("gross") * rate).cast(MONEY))
-    return fact
+    """Add the gross amount and the discount of each row in whole ten-thousandths.
+
+    A fact that already holds ``grossUnits`` needs no ``price``.
+    """
+    if "grossUnits" not in fact.columns:
+        fact = fact.withColumn("grossUnits", F.col("totalTickets") * F.col("price") * UNITS)
+    gross = F.col("grossUnits")
+    return fact.withColumn("discountUnits", F.floor(gross * F.col("discount") + 0.5))
 
 
 def _when_ok(c: Column) -> Column:
@@ -41,9 +42,9 @@ SUMS: dict[str, Callable[[], Column]] = {
     "n_rows": lambda: F.count(F.lit(1)),
     "n_ok": lambda: F.sum(_when_ok(F.lit(1))),
     "s_tickets": lambda: F.sum(_when_ok(F.col("totalTickets"))),
-    "s_gross": lambda: F.sum(_when_ok(F.col("gross"))),
-    "s_discount": lambda: F.sum(_when_ok(F.col("discountValue"))),
-    "s_rate": lambda: F.sum(_when_ok(F.col("discount"))),
+    "s_gross": lambda: sum_units(_when_ok(F.col("grossUnits"))),
+    "s_discount": lambda: sum_units(_when_ok(F.col("discountUnits"))),
+    "s_rate": lambda: sum_units(_when_ok(to_units(F.col("discount")))),
     "n_rate": lambda: F.count(_when_ok(F.col("discount"))),
 }
 DISTINCT: dict[str, Callable[[], Column]] = {

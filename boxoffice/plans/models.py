@@ -163,20 +163,15 @@ def canonical_phase(phase: Column) -> Column:
 
 
 def named_products(order_items: DataFrame, sale_orders: DataFrame, events: DataFrame) -> DataFrame:
-    """Distinct named products per known event.
-
-    Items are reduced to distinct (order, product, name) before they meet the orders, and
-    orders to those of known events.
-    """
-    items = (
-        order_items.where(F.col("product_name_en") != "")
-        .select("order_code", "product_id", F.trim(F.upper("product_name_en")).alias("product_name"))
-        .distinct()
+    """Distinct named products per known event."""
+    items = order_items.where(F.col("product_name_en") != "").select(
+        "order_code", "product_id", F.trim(F.upper("product_name_en")).alias("product_name")
     )
     orders = in_values(sale_orders, "event_id", events, "id").select(
         F.col("code").alias("order_code"), "event_id"
     )
-    return items.join(orders, "order_code").select("product_id", "event_id", "product_name").distinct()
+    named = items.join(orders, "order_code")
+    return named.select("product_id", "event_id", "product_name").distinct()
 
 
 def product_phases(products: DataFrame) -> DataFrame:
@@ -196,18 +191,16 @@ def stg_product(order_items: DataFrame, sale_orders: DataFrame, events: DataFram
     """
     products = named_products(order_items, sale_orders, events)
     # One aggregation per product: the set of names has at most nine members.
-    phases = (
+    known = F.col("phase").isNotNull()
+    name = F.when(known, F.coalesce(canonical_phase(F.col("phase")), F.lit("")))
+    per_product = (
         product_phases(products)
         .groupBy("product_id")
-        .agg(
-            F.count("phase").alias("n_known"),
-            F.collect_set(F.when(F.col("phase").isNotNull(), F.coalesce(canonical_phase(F.col("phase")), F.lit("")))).alias("names"),
-        )
-        .select(
-            "product_id",
-            F.explode(F.when(F.col("n_known") > 0, F.col("names")).otherwise(F.array(F.lit("")))).alias("name"),
-        )
-        .select("product_id", F.nullif("name", F.lit("")).alias("phase"))
+        .agg(F.count("phase").alias("n_known"), F.collect_set(name).alias("names"))
+    )
+    names = F.when(F.col("n_known") > 0, F.col("names")).otherwise(F.array(F.lit("")))
+    phases = per_product.select("product_id", F.explode(names).alias("name")).select(
+        "product_id", F.nullif("name", F.lit("")).alias("phase")
     )
     return products.join(phases, "product_id").select(
         "product_id", "event_id", "product_name", "phase"

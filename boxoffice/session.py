@@ -49,8 +49,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Nothing is removed here: whoever owns the shared folder can drop the subfolder once
     the application has ended.
     """
-    app = spark.conf.get("spark.app.id", "session")
-    return f"{shared_dir(spark)}/boxoffice/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/boxoffice/{_application(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _application(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # a remote session has no context of its own
+        return "session"
 
 
 def stable(df: DataFrame) -> DataFrame:
