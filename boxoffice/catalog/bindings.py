@@ -227,7 +227,7 @@ class Tables:
         k = F.col("l_partkey")
         return (
             self.read("lineitem")
-            .where("l_linenumber % 2 = 1")
+            .where("l_returnflag <> 'N'")
             .select(
                 (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"),
                 F.col("l_orderkey").cast("string").alias("order_code"),
@@ -252,24 +252,25 @@ class Tables:
         )
         rows = (
             self.read("part")
-            .where("p_partkey % 3 <> 0")
+            .where("p_type <> 'PROMO'")
             .select(
                 k.alias("event_id"),
                 F.concat("p_name", _pick(k, EVENT_SUFFIXES)).alias("event_name_en"),
                 (k % 10).alias("merchant_id"),
                 merchant.alias("merchant_name_en"),
                 time.alias("time_en"),
+                "p_type",
             )
         )
-        again = rows.where("event_id % 4 = 1").withColumn("time_en", F.lit("to be announced"))
-        return rows.unionByName(again)
+        again = rows.where("p_type = 'LARGE'").withColumn("time_en", F.lit("to be announced"))
+        return rows.unionByName(again).drop("p_type")
 
     def dump_events(self) -> DataFrame:
         k = F.col("p_partkey")
         day = F.date_add(F.lit(dt.date(2023, 1, 1)), (k % 360).cast("int"))
         return (
             self.read("part")
-            .where("p_partkey % 2 = 0")
+            .where("p_type <> 'SMALL'")
             .select(
                 k.alias("event_id"),
                 F.concat("p_name", _pick(k, EVENT_SUFFIXES)).alias("event_name"),

@@ -104,29 +104,29 @@ FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 CTES["attendants"] = """
 SELECT DISTINCT l_orderkey * 10 + l_linenumber AS item_id, CAST(l_orderkey AS VARCHAR) AS order_code,
   l_partkey AS product_id, 'Category ' || CAST(l_partkey % 4 AS VARCHAR) AS category_en
-FROM lineitem WHERE l_linenumber % 2 = 1"""
+FROM lineitem WHERE l_returnflag <> 'N'"""
 
 CTES["dump_order_events_once"] = f"""
-SELECT event_id, event_name_en, merchant_id, merchant_name_en,
+SELECT event_id, event_name_en, merchant_id, merchant_name_en, p_type,
   CASE WHEN event_id % 28 = 0 THEN '99/99/2023'
     WHEN event_id % 4 = 0 THEN strftime(day, '%d/%m/%Y') WHEN event_id % 4 = 1 THEN strftime(day, '%d %b %Y')
     WHEN event_id % 4 = 2 THEN strftime(day, '%d %b, %Y') ELSE '01 - ' || strftime(day, '%d %b,  %Y') END AS time_en
-FROM (SELECT p_partkey AS event_id, p_name || {_phase_case(EVENT_SUFFIXES, "p_partkey")} AS event_name_en,
+FROM (SELECT p_partkey AS event_id, p_type, p_name || {_phase_case(EVENT_SUFFIXES, "p_partkey")} AS event_name_en,
     p_partkey % 10 AS merchant_id,
     CASE WHEN p_partkey % 10 = 9 THEN 'Test merchant'
       ELSE 'o''neil run-club 10km ' || CAST(p_partkey % 10 AS VARCHAR) END AS merchant_name_en,
     DATE '2023-01-01' + CAST(p_partkey % 360 AS INTEGER) AS day
-  FROM part WHERE p_partkey % 3 <> 0)"""
+  FROM part WHERE p_type <> 'PROMO')"""
 
 CTES["dump_order_events"] = """
-SELECT * FROM dump_order_events_once
+SELECT * EXCLUDE (p_type) FROM dump_order_events_once
 UNION ALL SELECT event_id, event_name_en, merchant_id, merchant_name_en, 'to be announced'
-FROM dump_order_events_once WHERE event_id % 4 = 1"""
+FROM dump_order_events_once WHERE p_type = 'LARGE'"""
 
 CTES["dump_events"] = f"""
 SELECT p_partkey AS event_id, p_name || {_phase_case(EVENT_SUFFIXES, "p_partkey")} AS event_name,
   lower(p_type) AS event_type, DATE '2023-01-01' + CAST(p_partkey % 360 AS INTEGER) AS day
-FROM part WHERE p_partkey % 2 = 0"""
+FROM part WHERE p_type <> 'SMALL'"""
 
 CTES["dump_customers"] = """
 SELECT *, CASE WHEN k % 5 <> 0 THEN created_at + to_seconds(k * 4057 % 8640000) END AS last_login_at,

@@ -52,16 +52,16 @@ def replaced(t: Tables) -> DataFrame:
 @query(
     "A04_load_row_count",
     """SELECT * FROM (
-  SELECT 'sale_orders' AS "table", 1 AS run_date, (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0) AS rows,
+  SELECT 'sale_orders' AS "table", 1 AS run_date, (SELECT count(*) FROM orders WHERE o_orderdate < DATE '1998-01-01') AS rows,
     CAST(NULL AS BIGINT) AS previous_rows, CAST(NULL AS BIGINT) AS change
   UNION ALL SELECT 'sale_orders', 2, (SELECT count(*) FROM orders),
-    (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0), (SELECT count(*) FROM orders WHERE o_orderkey % 2 <> 0))""",
+    (SELECT count(*) FROM orders WHERE o_orderdate < DATE '1998-01-01'), (SELECT count(*) FROM orders WHERE o_orderdate >= DATE '1998-01-01'))""",
 )
 def row_counts(t: Tables) -> DataFrame:
-    """Day one has the orders with even keys, day two has all."""
+    """Day one has the orders of the first three years, day two has all."""
     path = scratch_path(t.spark, "counted")
-    every = t.sale_orders().select("code", "event_id")
-    first = overwrite_load(every.where("cast(code as bigint) % 2 = 0"), path)
+    every = t.sale_orders().select("code", "created_at")
+    first = overwrite_load(every.where("created_at < '1998-01-01'"), path)
     second = overwrite_load(every, path)
     loads = t.spark.createDataFrame(
         [("sale_orders", 1, first), ("sale_orders", 2, second)],
