@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from boxoffice.catalog.bindings import Tables
 from boxoffice.catalog.oracle import MEASURE_SQL, OK, PROFIT, dbl, div, measures
 from boxoffice.catalog.register import query
-from boxoffice.functions.labels import compact_number, percent, trend_label
+from boxoffice.functions.labels import compact_number, percent, share_label, trend_label
 from boxoffice.operators import metrics as m
 from boxoffice.operators import quality as q
 from boxoffice.operators import ranking as r
@@ -376,6 +376,24 @@ def trend_labels(t: Tables) -> DataFrame:
     return moved.select("date", trend_label(F.col("pct"), compact_number(size, "kpi")).alias("label"))
 
 
+@query(
+    "F01_share_labels",
+    f"""SELECT "eventID", "paymentMethod", '$' || CASE WHEN p < 1000 THEN printf('%.0f', CAST(round(p, 0) AS DOUBLE))
+  WHEN p < 1000000 THEN printf('%.0f', CAST(round(p, -3) AS DOUBLE) / 1000) || 'K'
+  WHEN p < 1000000000 THEN printf('%.2f', CAST(round(p, -4) AS DOUBLE) / 1000000) || 'M'
+  ELSE printf('%.2f', CAST(round(p, -7) AS DOUBLE) / 1000000000) || 'B' END
+  || ' | ' || printf('%.0f', CAST(round(CAST(share AS DECIMAL(28,10)) * 100, 0) AS DOUBLE)) || '%' AS label
+FROM (SELECT "eventID", "paymentMethod", CAST(profit AS DECIMAL(28,4)) AS p,
+  {div("profit", 'sum(profit) OVER (PARTITION BY "eventID")', "0")} AS share
+  FROM (SELECT "eventID", "paymentMethod", {PROFIT} AS profit FROM fact GROUP BY ALL))""",
+)
+def share_labels(t: Tables) -> DataFrame:
+    """Profit by payment method with its share, as shown next to the bars."""
+    shares = share_by_payment(t)
+    label = share_label(F.col("profit"), F.col("share"), money=True)
+    return shares.select("eventID", "paymentMethod", label.alias("label"))
+
+
 @query(
     "S09_scatter_segments",
     f"""SELECT name, CASE WHEN profit_margin >= 0.8 THEN 1 WHEN profit_margin >= 0.6 THEN 2 ELSE 3 END AS margin_segment,

@@ -10,6 +10,7 @@ from boxoffice.catalog.cohorts import with_ym
 from boxoffice.catalog.oracle import MEASURE_SQL, OK, dbl, div, measures
 from boxoffice.catalog.register import query
 from boxoffice.functions.dates import month_index
+from boxoffice.functions.labels import SINCE, overall_label
 from boxoffice.operators import cohorts as c
 from boxoffice.operators import metrics as m
 from boxoffice.operators import timeintel as w
@@ -401,3 +402,75 @@ def heatmap(t: Tables) -> DataFrame:
 )
 def monthly_customers(t: Tables) -> DataFrame:
     return c.cohort_counts(c.customer_contexts(with_ym(t.fact()), ["ym"]), ["ym"])
+
+
+def _fmt(number: str, digits: int = 0) -> str:
+    return f"printf('%.{digits}f', CAST(round(CAST({number} AS DECIMAL(28,10)) * 100, {digits}) AS DOUBLE)) || '%'"
+
+
+def _grouped(number: str) -> str:
+    whole = f"round(CAST({number} AS DECIMAL(28,4)), 0)"
+    return f"CASE WHEN {whole} = 0 THEN '' ELSE format('{{:,}}', CAST({whole} AS BIGINT)) END"
+
+
+def _scaled(v: str, unit: int, keep: int, digits: int, mark: str) -> str:
+    number = f"printf('%.{digits}f', CAST(round({v}, {keep}) AS DOUBLE) / {unit})"
+    return f"regexp_replace({number}, '^0\\.', '.') || '{mark}'"
+
+
+def _body(metric: str, versus: str) -> str:
+    size = "CAST(abs(change) AS DECIMAL(28,4))"
+    since = SINCE[versus]
+    if metric == "profit":
+        kpi = (
+            f"CASE WHEN {size} < 1000000 THEN {_scaled(size, 1000, -2, 1, 'K')} "
+            f"WHEN {size} < 1000000000 THEN {_scaled(size, 10**6, -4, 2, 'M')} ELSE {_scaled(size, 10**9, -7, 2, 'B')} END"
+        )
+        return f"{_fmt('abs(pct)')} || ' ($' || {kpi} || ')'"
+    if metric in ("tickets", "complete_orders", "new_customers"):
+        return f"{_fmt('abs(pct)')} || ' (' || {_grouped('change')} || ')'"
+    if metric == "avg_tickets_per_order":
+        return _fmt("abs(pct)")
+    if metric == "profit_margin":
+        return f"{_fmt('abs(change)', 1)} || '{since}'"
+    if metric == "completion_rate":
+        return f"{_fmt('abs(change)', 1)} || '{since} (' || {_fmt('previous', 1)} || ')'"
+    sign = "CASE WHEN change < 0 THEN '-$' ELSE '$' END"
+    return f"{_fmt('abs(pct)')} || ' (' || {sign} || {_grouped('abs(change)')} || '){since}'"
+
+
+_BODY = "CASE " + " ".join(
+    f"WHEN metric = '{metric}' AND versus = '{versus}' THEN {_body(metric, versus)}"
+    for metric in CARD
+    for versus in SINCE
+) + " END"
+
+
+@query(
+    "F02_card_labels",
+    f"""SELECT CAST(date AS VARCHAR) AS date, metric, versus, CASE WHEN pct > 0 THEN '▲ ' || body WHEN pct = 0 THEN '—'
+  WHEN pct < 0 THEN '▼ ' || body END AS label FROM (SELECT *, {_BODY} AS body FROM compared)""",
+    **_DAILY,
+    long=" UNION ALL ".join(f"SELECT date, '{n}' AS metric, {dbl(n)} AS value FROM card" for n in CARD),
+    compared=f"""SELECT c.date, c.metric, versus, p.value AS previous, {_compare("c.value", "p.value")}
+FROM (SELECT *, versus, CASE versus WHEN 'PD' THEN CAST(date - INTERVAL 1 DAY AS DATE) ELSE CAST(date - INTERVAL 1 YEAR AS DATE) END AS then_
+  FROM long, (VALUES ('PD'), ('PY')) x(versus)) c LEFT JOIN long p ON p.metric = c.metric AND p.date = c.then_""",
+)
+def card_labels(t: Tables) -> DataFrame:
+    compared = w.kpi_comparison(daily_card(t), CARD, {"PD": ("day", -1), "PY": ("year", -1)})
+    return w.with_card_labels(compared).select("date", "metric", "versus", "label")
+
+
+@query(
+    "F02_overall_trend_label",
+    f"""SELECT "eventID", CASE WHEN pct > 0 THEN '▲ ' || body WHEN pct = 0 THEN 'No Change' WHEN pct < 0 THEN '▼ ' || body END AS label
+FROM (SELECT *, {_fmt("abs(pct)")} || ' | $' || {_grouped("abs(change)")} AS body FROM
+(SELECT e."eventID", {_compare("b.v", "a.v")} FROM (SELECT "eventID", min(date) AS d0, max(date) AS d1 FROM pdd GROUP BY 1) e
+JOIN pdd a ON a."eventID" = e."eventID" AND a.date = e.d0 JOIN pdd b ON b."eventID" = e."eventID" AND b.date = e.d1))""",
+    **_PROFIT_DAYS,
+    pdd='SELECT "eventID", date, CAST(profit AS DOUBLE) AS v FROM pde',
+)
+def overall_trend_label(t: Tables) -> DataFrame:
+    trend = overall_trend(t)
+    label = overall_label(F.col("pct"), F.col("change"), money=True)
+    return trend.select("eventID", label.alias("label"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from boxoffice.functions.dates import month_index, shift_date
+from boxoffice.functions.labels import CARD_TEXTS, SINCE, arrow, card_label, card_parts
 from boxoffice.functions.numbers import difference, divide
 from boxoffice.operators.metrics import add_up, finish, kpi, max_of
 
@@ -144,6 +145,17 @@ def kpi_comparison(daily: DataFrame, metrics: Sequence[str], previous: dict[str,
     return compare(now.join(before, ["then", "metric"], "left").drop("then"), "value", "previous")
 
 
+def with_card_labels(compared: DataFrame) -> DataFrame:
+    """Rows of ``kpi_comparison`` with the label that a card shows."""
+    body = F.when(F.lit(False), F.lit(""))
+    for metric in CARD_TEXTS:
+        for versus in SINCE:
+            here = (F.col("metric") == metric) & (F.col("versus") == versus)
+            body = body.when(here, card_label(metric, versus))
+    parts = card_parts()
+    return compared.withColumns(parts).withColumn("label", arrow(F.col("pct"), body)).drop(*parts)
+
+
 def overall_trend(series: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """The value on the last date against the value on the first date of each group."""
     ends = series.groupBy(*by).agg(
