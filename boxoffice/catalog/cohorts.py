@@ -25,7 +25,7 @@ _AMOUNTS = ("s_gross", "s_discount", "s_tickets")
 
 
 _CTES = {
-    "fm": 'SELECT *, year("creationDate") * 100 + month("creationDate") AS ym FROM fact',
+    "fm": 'SELECT *, CAST(year("creationDate") * 100 + month("creationDate") AS INTEGER) AS ym FROM fact',
     "ctx": 'SELECT "eventID", ym, min("creationDate") AS start FROM fm GROUP BY ALL',
     "cur": f"""SELECT "eventID", ym, "customerID", {TICKETS} AS tickets, {PROFIT} AS profit,
   sum(dval) FILTER (WHERE "orderStatus" = 1) AS discount FROM fm WHERE "orderStatus" = 1 GROUP BY ALL""",
@@ -126,7 +126,7 @@ def avg_new_value(t: Tables) -> DataFrame:
     "SELECT CAST(strftime(created_at, '%Y%m') AS INTEGER) AS ym, count(DISTINCT customer_id) AS new_users FROM csv_customers GROUP BY 1",
 )
 def new_users(t: Tables) -> DataFrame:
-    return c.new_users(t.customers(), F.floor(F.col("creationDateID") / 100), "ym")
+    return c.new_users(t.customers(), F.floor(F.col("creationDateID") / 100).cast("int"), "ym")
 
 
 @query(
@@ -139,8 +139,8 @@ def new_users_bought(t: Tables) -> DataFrame:
     return c.new_users_who_purchased(
         t.fact(),
         t.customers(),
-        F.floor(F.col("creationDateID") / 100),
-        F.floor(F.col("creationDateID") / 100),
+        F.floor(F.col("creationDateID") / 100).cast("int"),
+        F.floor(F.col("creationDateID") / 100).cast("int"),
         "ym",
     )
 
@@ -151,7 +151,7 @@ def _share(kind: str, name: str) -> str:
 
 
 def _sign(name: str) -> str:
-    return f"CAST(sign(coalesce(new_{name}, 0) - coalesce(repeat_{name}, 0)) AS BIGINT) AS {name}_sign"
+    return f"CAST(sign(coalesce(new_{name}, 0) - coalesce(repeat_{name}, 0)) AS INTEGER) AS {name}_sign"
 
 
 _KINDS = ("customers", "value", "tickets", "discount")

@@ -254,7 +254,7 @@ def existence_join(t: Tables) -> DataFrame:
 @query(
     "J08_star_join",
     f"""SELECT location, distance, phase, "ageGroup", gender, year, {measures("total_orders", "tickets", "profit")}
-FROM (SELECT f.*, ev.location, part.p_type AS distance, year(f."creationDate") AS year, c."ageGroup", c.gender,
+FROM (SELECT f.*, ev.location, part.p_type AS distance, CAST(year(f."creationDate") AS INTEGER) AS year, c."ageGroup", c.gender,
   CASE 1 + p_size % 5 WHEN 1 THEN 'Super Early Bird' WHEN 2 THEN 'Early Bird' WHEN 3 THEN 'Standard' WHEN 4 THEN 'Late' ELSE 'Others' END AS phase
   FROM fact f LEFT JOIN ev ON f."eventID" = ev.id LEFT JOIN cust c ON f."customerID" = c.id LEFT JOIN part ON f."ticketID" = p_partkey)
 GROUP BY ALL""",

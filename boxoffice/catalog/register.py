@@ -40,14 +40,14 @@ def query(
 
 
 def wire(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, whole numbers as bigint, dates and times as text."""
+    """Decimals as doubles, flags as 0 and 1, dates and times as text."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
-        elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType, T.BooleanType)):
-            c = c.cast("bigint")
+        elif isinstance(f.dataType, T.BooleanType):
+            c = c.cast("int")
         elif isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             c = c.cast("string")
         out.append(c.alias(f.name))

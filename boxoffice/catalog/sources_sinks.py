@@ -85,7 +85,7 @@ def csv_scan(t: Tables) -> DataFrame:
 @query(
     "A06_warehouse_view_scan",
     """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS "dateID", CAST(d AS VARCHAR) AS date,
-  isodow(d) AS "dayOfWeekInt", strftime(d, '%Y%m') AS "yearMonthInt" FROM cal""",
+  CAST(isodow(d) AS INTEGER) AS "dayOfWeekInt", strftime(d, '%Y%m') AS "yearMonthInt" FROM cal""",
 )
 def view_scan(t: Tables) -> DataFrame:
     """The calendar kept as a table with warehouse names, read back and renamed."""

@@ -114,9 +114,9 @@ def previous_month_shift(t: Tables) -> DataFrame:
     f"""SELECT c."eventID", c.month, c.profit, p.profit AS profit_previous,
   CASE WHEN c.profit IS NOT NULL OR p.profit IS NOT NULL THEN coalesce(c.profit, 0) - coalesce(p.profit, 0) END AS profit_change,
   {div("(coalesce(c.profit, 0) - p.profit)", "p.profit", "0")} AS profit_pct,
-  CAST(sign(coalesce(c.profit, 0) - coalesce(p.profit, 0)) AS BIGINT) AS profit_sign
+  CAST(sign(coalesce(c.profit, 0) - coalesce(p.profit, 0)) AS INTEGER) AS profit_sign
 FROM monthly c LEFT JOIN monthly p ON c."eventID" = p."eventID" AND p.month = c.month - 1""",
-    monthly=f"""SELECT "eventID", year("creationDate") * 12 + month("creationDate") AS month, {dbl(MEASURE_SQL["profit"])} AS profit
+    monthly=f"""SELECT "eventID", CAST(year("creationDate") * 12 + month("creationDate") AS INTEGER) AS month, {dbl(MEASURE_SQL["profit"])} AS profit
 FROM fact GROUP BY ALL""",
 )
 def mom_change(t: Tables) -> DataFrame:
@@ -175,7 +175,7 @@ def moving_avg_day(t: Tables) -> DataFrame:
     "W08_moving_avg_month",
     f"""SELECT "eventID", month, CAST(profit AS DOUBLE) AS profit,
   {", ".join(_avg(n, "month", 'PARTITION BY "eventID"') for n in (3, 6, 9, 12))} FROM
-(SELECT "eventID", year("creationDate") * 12 + month("creationDate") AS month, sum(gross - dval) FILTER (WHERE {OK}) AS profit
+(SELECT "eventID", CAST(year("creationDate") * 12 + month("creationDate") AS INTEGER) AS month, sum(gross - dval) FILTER (WHERE {OK}) AS profit
   FROM fact GROUP BY ALL)""",
 )
 def moving_avg_month(t: Tables) -> DataFrame:
@@ -191,7 +191,7 @@ _CHANGE_NN = "(coalesce({v}, 0) - coalesce({p}, 0))"
 def _compare(v: str, p: str) -> str:
     change = _CHANGE.format(v=v, p=p)
     pct = f"CASE WHEN {p} IS NULL OR {p} = 0 THEN 0 ELSE ({change}) / {p} END"
-    return f"{change} AS change, {pct} AS pct, CAST(sign(coalesce({pct}, 0)) AS BIGINT) AS sign"
+    return f"{change} AS change, {pct} AS pct, CAST(sign(coalesce({pct}, 0)) AS INTEGER) AS sign"
 
 
 @query(
@@ -384,7 +384,7 @@ def scatter_scale(t: Tables) -> DataFrame:
 
 @query(
     "W18_heatmap_dow_hour",
-    f"""SELECT isodow("creationDate") AS "dayOfWeekInt", "todSort", {MEASURE_SQL["profit"]} AS profit,
+    f"""SELECT CAST(isodow("creationDate") AS INTEGER) AS "dayOfWeekInt", "todSort", {MEASURE_SQL["profit"]} AS profit,
   {MEASURE_SQL["complete_orders"]} AS complete_orders FROM fact GROUP BY ALL""",
 )
 def heatmap(t: Tables) -> DataFrame:

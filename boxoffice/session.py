@@ -22,6 +22,8 @@ def local_session(cores: str = "*", partitions: int = 8, app: str = "boxoffice")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Test files hold one block each: only a shuffle join spreads them over all cores.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1MB")
         .config("spark.driver.memory", os.environ.get("BOXOFFICE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
