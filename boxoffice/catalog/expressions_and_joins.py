@@ -17,7 +17,7 @@ from boxoffice.operators.joins import (
     star_join,
     with_membership,
 )
-from boxoffice.operators.metrics import kpi, single_value, without_filters
+from boxoffice.operators.metrics import kpi, single_values, without_filters
 from boxoffice.plans import models
 from boxoffice.session import stable
 
@@ -144,10 +144,8 @@ def filter_context(t: Tables) -> DataFrame:
     """SELECT "customerID", CASE WHEN count(DISTINCT "paymentMethod") = 1 THEN min("paymentMethod") END AS "paymentMethod",
   CASE WHEN count(DISTINCT "orderStatus") = 1 THEN min("orderStatus") END AS "orderStatus" FROM fact GROUP BY 1""",
 )
-def single_values(t: Tables) -> DataFrame:
-    return t.fact().groupBy("customerID").agg(
-        *[single_value(F.col(c)).alias(c) for c in ("paymentMethod", "orderStatus")]
-    )
+def single_value_guard(t: Tables) -> DataFrame:
+    return single_values(t.fact(), ["paymentMethod", "orderStatus"], ["customerID"])
 
 
 @query(

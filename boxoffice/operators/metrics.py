@@ -193,6 +193,16 @@ def single_value(c: Column) -> Column:
     return F.when((F.min(c) == F.max(c)) & (F.count(c) == F.count(F.lit(1))), F.min(c))
 
 
+def single_values(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """``single_value`` of several columns per group.
+
+    Repeated combinations go first: grouping keys may be texts in a hash aggregation,
+    while a minimum of texts needs sorted input, which then is short.
+    """
+    combinations = df.select(*by, *columns).distinct()
+    return combinations.groupBy(*by).agg(*[single_value(F.col(c)).alias(c) for c in columns])
+
+
 def selected(choice: Mapping[int, str], position: int) -> str:
     """The measure a slicer position stands for."""
     return choice[position]

@@ -54,9 +54,21 @@ def rank_by(df: DataFrame, metric: str, name: str, rank: str = "rank") -> DataFr
 def rank_within(
     df: DataFrame, metric: str, name: str, keys: Sequence[str], rank: str = "rank"
 ) -> DataFrame:
-    """Dense rank inside each group of an aggregated frame with few rows per group."""
-    order = [F.col(metric).desc_nulls_last(), F.col(name).asc()]
-    return df.withColumn(rank, F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order)))
+    """Dense rank by ``metric`` descending, then ``name``, inside each ``keys`` group.
+
+    ``df`` has one row per ``keys`` and ``name``. The rows of all groups are numbered in
+    one order; the rank is the distance to the first place of the group. So a group with
+    much of the list is spread over several ranges like any other part of it.
+    """
+    order = [F.col(k).asc() for k in keys]
+    order += [F.col(metric).desc_nulls_last(), F.col(name).asc()]
+    placed = stable(numbered(df, order, "_place"))
+    first = placed.groupBy(*keys).agg(F.min("_place").alias("_first"))
+    return (
+        placed.join(first, list(keys))
+        .withColumn(rank, F.col("_place") - F.col("_first") + 1)
+        .drop("_place", "_first")
+    )
 
 
 def hierarchical_rank(inner: DataFrame, sums: Sequence[str], metric: str) -> DataFrame:

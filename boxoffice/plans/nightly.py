@@ -1,7 +1,9 @@
-"""One nightly run: dumps to raw tables, raw tables to models, then the declared checks."""
+"""One nightly run: dumps to raw tables, raw tables to models, the declared checks, and the
+report's star schema from its extract files."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -10,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from boxoffice.operators import quality
-from boxoffice.plans import models, raw, schemas
+from boxoffice.plans import bi_tables, models, raw, schemas
+from boxoffice.sources.csv_tables import read_csv
 from boxoffice.sources.json_array import read_json_array
 from boxoffice.sources.sinks import materialize, overwrite_load, write_range_partitioned
 
@@ -94,3 +97,36 @@ def run_nightly(spark: SparkSession, dumps: str, out: str, countries: DataFrame)
     rows = load_raw(spark, dumps, out)
     build_models(spark, out, countries)
     return Run(rows, check(spark, out))
+
+
+# Extract file of the report, its columns and its encoding.
+EXTRACTS = {
+    "events": (schemas.CSV_EVENTS, "UTF-8"),
+    "tickets": (schemas.CSV_TICKETS, "1252"),
+    "customers": (schemas.CSV_CUSTOMERS, "UTF-8"),
+    "orders": (schemas.CSV_ORDERS, "1252"),
+}
+
+
+def build_report(
+    spark: SparkSession, extracts: str, out: str, cutoff: dt.date, as_of: dt.date
+) -> None:
+    """Prepare the fact, the four dimensions and the calendar, and keep them as tables.
+
+    The fact comes first: the events' ticket totals and the range of the calendar are
+    read from the stored one.
+    """
+    files = {
+        name: read_csv(spark, f"{extracts}/{name}", schema, encoding)
+        for name, (schema, encoding) in EXTRACTS.items()
+    }
+    fact = materialize(bi_tables.fact_orders(files["orders"]), f"{out}/fact_orders")
+    tables = {
+        "dim_events": bi_tables.dim_events(files["events"], fact, cutoff),
+        "dim_tickets": bi_tables.dim_tickets(files["tickets"]),
+        "dim_ticket_phase": bi_tables.dim_ticket_phase(files["tickets"]),
+        "dim_customers": bi_tables.dim_customers(files["customers"], as_of),
+        "dim_calendar": bi_tables.dim_calendar(bi_tables.calendar_bounds(fact), as_of),
+    }
+    for name, df in tables.items():
+        materialize(df, f"{out}/{name}")

@@ -127,3 +127,21 @@ def test_coarser_sums_equal_direct_ones(tables):
     fine = metrics.base_sums(tables.fact(), names, ["eventID", "paymentMethod"])
     up = metrics.finish(metrics.add_up(fine, ["eventID"]), names)
     assert values(up) == values(metrics.kpi(tables.fact(), names, ["eventID"]))
+
+
+def test_ranks_inside_groups_equal_a_window(rows):
+    rng = random.Random(8)
+    data = {(rng.choice("aaab"), f"n{i}"): rng.choice([None, 1, 2, 2]) for i in range(200)}
+    df = rows([(k, n, v) for (k, n), v in data.items()], "k string, name string, v int")
+    order = Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last(), F.col("name").asc())
+    literal = df.withColumn("rank", F.dense_rank().over(order))
+    assert values(ranking.rank_within(df, "v", "name", ["k"]), *literal.columns) == values(literal)
+
+
+def test_single_values_equal_distinct_counts(tables):
+    fact = tables.fact()
+    ours = metrics.single_values(fact, ["paymentMethod", "orderStatus"], ["id"])
+    one = [
+        F.when(F.count_distinct(c) == 1, F.min(c)).alias(c) for c in ("paymentMethod", "orderStatus")
+    ]
+    assert values(ours) == values(fact.groupBy("id").agg(*one))

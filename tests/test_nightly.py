@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import pytest
 
-from boxoffice.plans import nightly
+from boxoffice.catalog.bindings import AS_OF, CUTOFF
+from boxoffice.operators import metrics
+from boxoffice.plans import bi_tables, nightly
+from boxoffice.sources.csv_tables import write_csv
 from boxoffice.sources.json_array import write_json_arrays
 from tests.conftest import values
 
@@ -40,3 +43,30 @@ def test_run_twice(spark, tables, dumps, tmp_path):
     assert values(spark.read.parquet(f"{out}/stg_events")) == values(tables.stg_events())
     stored = spark.read.parquet(f"{out}/stg_orders").drop("bucket")
     assert values(stored) == values(tables.stg_orders().select(*stored.columns))
+
+
+def test_report_tables(spark, tables, tmp_path):
+    """Extracts written as CSV give the same star schema as the frames they came from."""
+    extracts, out = str(tmp_path / "extracts"), str(tmp_path / "report")
+    frames = {
+        "events": tables.csv_events(),
+        "tickets": tables.csv_tickets(),
+        "customers": tables.csv_customers(),
+        "orders": tables.csv_orders(),
+    }
+    for name, df in frames.items():
+        write_csv(df, f"{extracts}/{name}")
+    nightly.build_report(spark, extracts, out, CUTOFF, AS_OF)
+
+    def stored(name):
+        return spark.read.parquet(f"{out}/{name}")
+
+    fact = bi_tables.fact_orders(tables.csv_orders())
+    assert values(stored("fact_orders")) == values(fact)
+    assert values(stored("dim_tickets")) == values(tables.tickets())
+    assert values(stored("dim_ticket_phase")) == values(tables.phases())
+    assert values(stored("dim_customers")) == values(tables.customers())
+    calendar = bi_tables.dim_calendar(bi_tables.calendar_bounds(fact), AS_OF)
+    assert values(stored("dim_calendar")) == values(calendar)
+    sold = metrics.kpi(stored("fact_orders"), ["tickets"], ["eventID"])
+    assert values(stored("dim_events"), "id", "tickets") == values(sold)
