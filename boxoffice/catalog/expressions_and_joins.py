@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from boxoffice.catalog.bindings import Tables
 from boxoffice.catalog.oracle import measures
 from boxoffice.catalog.register import query
-from boxoffice.functions.text import lacks_words
+from boxoffice.functions.text import extract_or_null, lacks_words
 from boxoffice.operators.joins import (
     by_role,
     in_values,
@@ -18,7 +18,7 @@ from boxoffice.operators.joins import (
     with_membership,
 )
 from boxoffice.operators.metrics import kpi, single_values, without_filters
-from boxoffice.plans import models
+from boxoffice.plans import models, raw
 from boxoffice.session import stable
 
 
@@ -107,8 +107,6 @@ def casts(t: Tables) -> DataFrame:
 LEFT JOIN raw_login ON code = customer_code""",
 )
 def null_default(t: Tables) -> DataFrame:
-    from boxoffice.plans import raw
-
     login = raw.raw_login(t.dump_login()).select(F.col("customer_code").alias("code"), "type")
     rows = t.dump_customers().select("code").join(login, "code", "left")
     return rows.select("code", F.coalesce("type", F.lit("Website")).alias("account_type"))
@@ -195,8 +193,6 @@ WHERE product_name_en <> '' AND event_id IN (SELECT id FROM stg_events)""",
 )
 def self_join(t: Tables) -> DataFrame:
     """Each product name with every phase that occurs in the names of its product."""
-    from boxoffice.functions.text import extract_or_null
-
     names = models.named_products(t.order_items(), t.sale_orders(), t.stg_events())
     phase = extract_or_null(F.col("product_name"), ".* - (.*)").alias("phase")
     return names.join(names.select("product_id", phase).distinct(), "product_id")
@@ -243,8 +239,6 @@ def null_aware_anti_join(t: Tables) -> DataFrame:
 FROM raw_customers""",
 )
 def existence_join(t: Tables) -> DataFrame:
-    from boxoffice.plans import raw
-
     people = raw.raw_customers(t.dump_customers()).select("code", "nationality")
     return with_membership(people, "nationality", t.countries(), "alpha2_code", "is_country")
 

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxoffice.functions.numbers import divide, null_if_zero
+from boxoffice.functions.numbers import divide
 from boxoffice.operators.metrics import SUMS, is_ok, with_amounts
 from boxoffice.session import stable
 
@@ -43,26 +43,34 @@ def customer_contexts(
 
 
 def tagged_buyers(contexts: DataFrame, by: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """The buyers among ``contexts``, with ``is_new``.
+    """Buyers per context and day of their first purchase ever, with ``is_new``.
 
     ``keep`` is the part of ``by`` whose filter also holds for the past purchases (a
     payment method, a gender), while filters on event, ticket and date do not. The first
     date of a context counts orders of any status.
+
+    ``buyers`` and the sums are taken per day before the start of the context is joined.
+    So also a context with a third of all customers is only as many rows as there are
+    days, and is combined on the map side.
     """
-    start = F.min("first_order").alias("context_start")
+    sums = [c for c in contexts.columns if c in SUMS]
     first_ever = (
         contexts.where("first_bought IS NOT NULL")
         .groupBy("customerID", *keep)
         .agg(F.min("first_bought").alias("first_ever"))
     )
-    buyers = contexts.where("first_bought IS NOT NULL").join(first_ever, ["customerID", *keep])
+    days = (
+        contexts.where("first_bought IS NOT NULL")
+        .join(first_ever, ["customerID", *keep])
+        .groupBy(*by, "first_ever")
+        .agg(F.count(F.lit(1)).alias("buyers"), *[F.sum(c).alias(c) for c in sums])
+    )
+    start = F.min("first_order").alias("context_start")
     if by:
-        buyers = buyers.join(contexts.groupBy(*by).agg(start), list(by))
+        dated = days.join(contexts.groupBy(*by).agg(start), list(by))
     else:
-        buyers = buyers.withColumn("context_start", contexts.agg(start).scalar())
-    return buyers.withColumn("is_new", F.col("first_ever") >= F.col("context_start")).drop(
-        "first_ever", "context_start"
-    )
+        dated = days.withColumn("context_start", contexts.agg(start).scalar())
+    return dated.withColumn("is_new", F.col("first_ever") >= F.col("context_start"))
 
 
 def _is(kind: str) -> Column:
@@ -73,9 +81,9 @@ def _is(kind: str) -> Column:
 
 def _count_columns() -> list[Column]:
     return [
-        null_if_zero(F.count_if(_is("new"))).alias("new_customers"),
-        null_if_zero(F.count_if(_is("repeat"))).alias("repeat_customers"),
-        F.count(F.lit(1)).alias("total_customers"),
+        F.sum(F.when(_is("new"), F.col("buyers"))).alias("new_customers"),
+        F.sum(F.when(_is("repeat"), F.col("buyers"))).alias("repeat_customers"),
+        F.sum("buyers").alias("total_customers"),
     ]
 
 
