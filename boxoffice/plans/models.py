@@ -91,18 +91,21 @@ def stg_orders(sale_orders: DataFrame, order_items: DataFrame, events: DataFrame
     """Order items of known events with the money of paid orders.
 
     ``checkout_time`` counts from purchase back to creation, so an order that was paid
-    after it was created has 0 minutes; without a purchase date it is absent.
+    after it was created has 0 minutes; without a purchase date it is absent. What depends
+    on the order alone is computed once per order, before its items are joined.
     """
+    minutes = whole_minutes(F.col("purchased_at"), F.col("created_at"))
     orders = in_values(
         sale_orders.where(F.col("merchant_id").isNotNull()), "event_id", events, "id"
     ).select(
+        date_key(F.col("purchased_at")).alias("date_id"),
         F.col("code").alias("order_id"),
         "event_id",
         F.col("customer_code").alias("customer_id"),
         "order_status",
         code_label(F.col("payment_method")).alias("payment_method"),
-        "created_at",
-        "purchased_at",
+        F.when((minutes < 0) | (minutes > 15), 0).otherwise(minutes).alias("checkout_time"),
+        hour_label(F.col("purchased_at")).alias("order_tod"),
     )
     items = order_items.select(
         F.col("order_code").alias("order_id"),
@@ -111,9 +114,8 @@ def stg_orders(sale_orders: DataFrame, order_items: DataFrame, events: DataFrame
         "discount_amount",
         "grand_total",
     )
-    minutes = whole_minutes(F.col("purchased_at"), F.col("created_at"))
     return orders.join(items, "order_id").select(
-        date_key(F.col("purchased_at")).alias("date_id"),
+        "date_id",
         "order_id",
         "event_id",
         "customer_id",
@@ -123,8 +125,8 @@ def stg_orders(sale_orders: DataFrame, order_items: DataFrame, events: DataFrame
         _if_paid("grand_total").alias("net_revenue"),
         "order_status",
         "payment_method",
-        F.when((minutes < 0) | (minutes > 15), 0).otherwise(minutes).alias("checkout_time"),
-        hour_label(F.col("purchased_at")).alias("order_tod"),
+        "checkout_time",
+        "order_tod",
     )
 
 
@@ -214,40 +216,50 @@ def bi_orders(
 
     ``checkout_time`` counts whole minutes for orders paid within 900 seconds, else 0.
     """
+    created, purchased = F.col("created_at"), F.col("purchased_at")
+    in_time = whole_seconds(created, purchased).between(0, 900)
+    minutes = F.when(in_time, whole_minutes(created, purchased)).otherwise(0)
     orders = in_values(
         sale_orders.where(F.col("merchant_id").isNotNull()), "event_id", events, "id"
-    ).withColumnRenamed("code", "order_code")
+    ).select(
+        F.col("code").alias("order_code"),
+        date_key(purchased).alias("date_id"),
+        "event_id",
+        F.col("merchant_id").alias("organizer_id"),
+        F.col("customer_code").alias("customer_id"),
+        "order_status",
+        code_label(F.col("order_type")).alias("order_type"),
+        code_label(F.col("payment_method")).alias("payment_method"),
+        minutes.alias("checkout_time"),
+        hour_label(purchased).alias("order_tod"),
+    )
     present = attendants.select(
         F.col("item_id").alias("id"),
         "product_id",
         F.col("order_code").alias("order_id"),
         F.col("product_id").alias("attended_product"),
-        "category_en",
+        F.col("category_en").alias("category"),
     )
-    created, purchased = F.col("created_at"), F.col("purchased_at")
-    seconds = whole_seconds(created, purchased)
     rows = (
         order_items.join(orders, "order_code")
         .join(present, ["id", "product_id"], "left")
         .select(
-            date_key(purchased).alias("date_id"),
+            "date_id",
             "order_id",
             "event_id",
-            F.col("merchant_id").alias("organizer_id"),
-            F.col("customer_code").alias("customer_id"),
+            "organizer_id",
+            "customer_id",
             F.col("attended_product").alias("product_id"),
-            F.col("category_en").alias("category"),
+            "category",
             "quantity",
             _if_paid("subtotal").alias("gross_revenue"),
             _if_paid("discount_amount").alias("discount"),
             _if_paid("grand_total").alias("profit"),
             "order_status",
-            code_label(F.col("order_type")).alias("order_type"),
-            code_label(F.col("payment_method")).alias("payment_method"),
-            F.when(seconds.between(0, 900), whole_minutes(created, purchased))
-            .otherwise(0)
-            .alias("checkout_time"),
-            hour_label(purchased).alias("order_tod"),
+            "order_type",
+            "payment_method",
+            "checkout_time",
+            "order_tod",
         )
     )
     return rows.distinct().orderBy(
