@@ -25,7 +25,8 @@ def hour_label(c: Column) -> Column:
 
 
 def clock_time(c: Column) -> Column:
-    return F.date_format(c, "HH:mm:ss")
+    """The time of day as ``HH:mm:ss``, read off the text so that no zone can shift it."""
+    return F.substring(c.cast("string"), 12, 8)
 
 
 def parse_mixed(c: Column, formats: Sequence[str]) -> Column:
@@ -34,12 +35,17 @@ def parse_mixed(c: Column, formats: Sequence[str]) -> Column:
 
 
 def whole_minutes(start: Column, end: Column) -> Column:
-    """Whole minutes from ``start`` to ``end``, cut towards zero."""
-    return F.timestamp_diff("MINUTE", start, end)
+    """Whole minutes from ``start`` to ``end``, cut towards zero.
+
+    The difference is taken as an interval: on times without a zone it is the same in
+    every session, also across a change to summer time.
+    """
+    return (end - start).cast("interval minute").cast("bigint")
 
 
 def whole_seconds(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("SECOND", start, end)
+    """Whole seconds from ``start`` to ``end``, cut towards zero."""
+    return (end - start).cast("interval second").cast("bigint")
 
 
 def shift_date(c: Column, unit: str, n: int) -> Column:

@@ -100,6 +100,21 @@ def test_hour_labels(spark):
     assert got == ["12 AM", "01 AM", "11 AM", "12 PM", "01 PM", "11 PM"]
 
 
+def test_durations_do_not_depend_on_the_time_zone(spark):
+    """Just before two to just after three, in a night that lacks the hour between in one zone."""
+    start, end = (F.lit(f"1999-04-04 {t}").cast("timestamp_ntz") for t in ("01:59:00.9", "03:01:00.1"))
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    try:
+        for zone in ("UTC", "America/Los_Angeles"):
+            spark.conf.set(key, zone)
+            assert one(spark, dates.whole_seconds(start, end)) == 3719
+            assert one(spark, dates.whole_minutes(start, end)) == 61
+            assert one(spark, dates.whole_minutes(end, start)) == -61
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_strict_datetimes_fail(rows):
     bad = rows([(1, "x", "y", "2023-99-01", "2023-01-02")], "event_id long, event_name string, event_type string, start_date string, end_date string")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
