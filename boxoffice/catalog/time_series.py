@@ -16,6 +16,7 @@ from boxoffice.operators import metrics as m
 from boxoffice.operators import timeintel as w
 from boxoffice.operators.joins import star_join
 from boxoffice.session import stable
+from boxoffice.sources.parameters import MOVING_DAYS, MOVING_MONTHS
 
 # The eight figures on the cards of the report.
 CARD = [
@@ -169,7 +170,7 @@ def _avg(n: int, order: str, part: str = "") -> str:
     **_PROFIT_DAYS,
 )
 def moving_avg_day(t: Tables) -> DataFrame:
-    return w.moving_avg(daily(t, ["profit"]), "profit", [3, 7, 15, 24, 30])
+    return w.moving_avg(daily(t, ["profit"]), "profit", MOVING_DAYS)
 
 
 @query(
@@ -182,7 +183,7 @@ def moving_avg_day(t: Tables) -> DataFrame:
 def moving_avg_month(t: Tables) -> DataFrame:
     fact = t.fact().withColumn("month", month_index(F.col("creationDate")))
     monthly = m.kpi(fact, ["profit"], ["eventID", "month"])
-    return w.moving_avg(monthly, "profit", [3, 6, 9, 12], "month", ["eventID"])
+    return w.moving_avg(monthly, "profit", MOVING_MONTHS, "month", ["eventID"])
 
 
 _CHANGE = "CASE WHEN {v} IS NOT NULL OR {p} IS NOT NULL THEN coalesce({v}, 0) - coalesce({p}, 0) END"

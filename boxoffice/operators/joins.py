@@ -49,11 +49,6 @@ def with_membership(
     return joined.withColumn(name, F.col("_value").isNotNull()).drop("_value")
 
 
-def prefixed(df: DataFrame, prefix: str, key: str) -> DataFrame:
-    """Rename all columns but ``key`` to ``prefix`` + name."""
-    return df.select(*[F.col(c).alias(c if c == key else f"{prefix}{c}") for c in df.columns])
-
-
 def lookup(df: DataFrame, key: str, dim: DataFrame, dim_key: str, take: dict[str, str]) -> DataFrame:
     """Left join ``take`` (column to new name) of a dimension with unique ``dim_key``."""
     d = dim.select(

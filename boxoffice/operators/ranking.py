@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from boxoffice.functions.numbers import divide
-from boxoffice.operators.metrics import MEASURES, finish, max_of, total_of
+from boxoffice.operators.metrics import finish, max_of, total_of
 from boxoffice.session import stable
 
 
@@ -107,11 +107,6 @@ def hierarchical_share(inner: DataFrame, sums: Sequence[str], metric: str) -> Da
     )
 
 
-def sums_for(*metrics: str) -> list[str]:
-    """The base sums behind some measures, for frames that are added up further."""
-    return sorted({s for m in metrics for s in MEASURES[m].needs})
-
-
 def top_n(df: DataFrame, metric: str, n: int) -> DataFrame:
     """The ``n`` greatest rows, with all rows tied at the last place.
 

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from boxoffice.functions.dates import month_index, shift_date
+from boxoffice.functions.dates import shift_date
 from boxoffice.functions.labels import CARD_TEXTS, SINCE, arrow, card_label, card_parts
 from boxoffice.functions.numbers import difference, divide
 from boxoffice.operators.metrics import add_up, finish, kpi, max_of
