@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from boxoffice.catalog import ENTRIES
 from tests.conftest import SF
 from tools.check_oracles import compare, duck
 
@@ -15,12 +16,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert all(e.sql for e in ENTRIES.values())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(ENTRIES))
 def test_same_rows(spark, con, name):
-    assert compare(queries()[name](spark, SF), con, oracle_sql()[name]) is None
+    assert compare(ENTRIES[name].run(spark, SF), con, ENTRIES[name].sql) is None
 
 
 def test_entry(spark):
