@@ -141,24 +141,38 @@ def _slot(key: np.ndarray) -> np.ndarray:
     return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)).astype(np.int64)
 
 
-def align(patterns: np.ndarray, lengths: np.ndarray, regions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least edit distance of each pattern to any stretch of its region, and the stretch's end."""
+def align(
+    patterns: np.ndarray, lengths: np.ndarray, limits: np.ndarray, regions: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Least edit distance of each pattern to any stretch of its region, and the stretch's end.
+
+    A pair is given up when it can no longer stay within its limit; its distance is then some
+    number above it.
+    """
     n, width = regions.shape
-    # A 0 ends a text, so no stretch may hold one.
-    price = np.where(regions == 0, 1000, 1).astype(np.int32)
-    steps = np.concatenate([np.zeros((n, 1), np.int32), np.cumsum(price, axis=1, dtype=np.int32)], axis=1)
-    row = np.zeros((n, width + 1), np.int32)
-    best, end = np.full(n, 1 << 30), np.zeros(n, np.int64)
+    best, end = np.full(n, 1 << 14), np.zeros(n, np.int64)
+    left = np.arange(n)  # who may still stay within the limit
+    # A column for each pair. A 0 ends a text, so no stretch may hold one.
+    text = regions.T
+    price = np.where(text == 0, 100, 1).astype(np.int16)
+    steps = np.concatenate([np.zeros((1, n), np.int16), np.cumsum(price, axis=0, dtype=np.int16)])
+    row = np.zeros((width + 1, n), np.int16)
     for i in range(int(lengths.max(initial=0))):
-        miss = np.where(regions != patterns[:, i : i + 1], price, 0)
+        miss = np.where(text != patterns[left, i], price, np.int16(0))
         new = np.empty_like(row)
-        new[:, 0] = i + 1
-        new[:, 1:] = np.minimum(row[:, :-1] + miss, row[:, 1:] + 1)
-        row = np.minimum.accumulate(new - steps, axis=1) + steps
-        done = lengths == i + 1
+        new[0] = i + 1
+        np.minimum(row[:-1] + miss, row[1:] + np.int16(1), out=new[1:])
+        row = np.minimum.accumulate(new - steps, axis=0) + steps
+        least = row.min(axis=0)
+        done = lengths[left] == i + 1
         if done.any():
-            end[done] = row[done].argmin(axis=1)
-            best[done] = row[done].min(axis=1)
+            at = left[done]
+            best[at], end[at] = least[done], row[:, done].argmin(axis=0)
+        go = ~done & (least <= limits[left])
+        if done.any() or i % 8 == 7:
+            left, text, price, steps, row = left[go], text[:, go], price[:, go], steps[:, go], row[:, go]
+            if len(left) == 0:
+                break
     return best, end
 
 
@@ -176,7 +190,7 @@ def leaks(index: BandIndex, chars: np.ndarray, owner: np.ndarray) -> list[tuple[
         at = start[:, None] + np.arange(width)
         inside = (at >= 0) & (at < len(chars))
         regions = np.where(inside, chars[np.clip(at, 0, max(0, len(chars) - 1))], 0)
-        best, end = align(index.chars[w], index.length[w], regions)
+        best, end = align(index.chars[w], index.length[w], index.edits[w], regions)
         for j in np.flatnonzero(best <= index.edits[w]):
             stop = int(start[j] + end[j])
             first = max(0, stop - int(index.length[w[j]]))

@@ -1,59 +1,111 @@
-"""Encoding whole texts with a public tokenizer file inside Spark tasks."""
+"""Encoding whole texts with a public tokenizer file inside Spark tasks.
+
+A text is cut where no match of the tokenizer's pattern can reach across: before white space
+that follows other characters, and between letters and the punctuation after them. The ids of
+a text are those of its pieces one after the other, so pieces are remembered and looked up.
+"""
 
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
-from collections.abc import Iterable
+import string
 
 import numpy as np
 
 #: The characters with Unicode's White_Space property.
 _SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: White space with the run of other characters after it. Neither tokenizer's pattern has a
-#: match that starts in such a run and ends in white space, so pieces can be encoded alone.
+#: White space with the run of other characters after it.
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+#: Python takes these as white space, the tokenizers do not.
+_CONTROL = re.compile("[\x1c-\x1f]")
+#: Blanks that are not single ones between other characters.
+_RUN = re.compile(r" \s|\s ")
 #: Longest piece that is remembered, in characters.
 _LONGEST = 64
 
 
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte: itself if printable, else the next free one."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class _Pieces(dict):
+    """Ids (uint32, as bytes) of pieces that come after ``before``; unknown ones are encoded."""
+
+    def __init__(self, owner: Encoder, before: str):
+        super().__init__()
+        self._owner, self._before = owner, before
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._owner.encode_piece(self._before, piece)
+        if len(piece) <= _LONGEST:
+            if len(self) >= self._owner.remember:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Turns texts into ids; remembers the ids of short pieces.
 
     The memory only saves time: when it holds ``remember`` pieces it is emptied.
     """
 
-    def __init__(self, path: str, remember: int = 400_000):
+    def __init__(self, path: str, remember: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, bytes] = {}
-        self._remember = remember
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        # Both kinds of file map bytes to letters; one of them also drops white space and case.
+        self._folds = rules["normalizer"] is not None
+        self._model = self._tokenizer.model
+        self._letters = _byte_letters()
+        self.remember = remember
+        self._bare, self._spaced = _Pieces(self, ""), _Pieces(self, " ")
+
+    def _whole(self, text: str) -> bytes:
+        found = self._tokenizer.encode(text, add_special_tokens=False)
+        return np.array(found.ids, "<u4").tobytes()
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def encode_piece(self, before: str, piece: str) -> bytes:
+        own = self._spaced if before else self._bare
+        if "\n" in piece and not self._folds:
+            parts = piece.split("\n")
+            if all(parts) and not any(p[0].isspace() or p[-1].isspace() for p in parts):
+                line = self._bare["\n"] if piece != "\n" else b""
+                return line.join([own[parts[0]], *(self._bare[p] for p in parts[1:])])
+            return self._whole(before + piece)
+        if not piece.isalpha():
+            word = piece.rstrip(string.punctuation)
+            if len(word) < len(piece) and word.isalpha():
+                return own[word] + self._bare[piece[len(word) :]]
+        elif max(piece) < "Ā":
+            # One run of letters: the model may be asked without the steps before it.
+            if self._folds:
+                piece = piece.lower()
+            elif before:
+                piece = before + piece
+            shown = piece if piece.isalpha() and piece.isascii() else "".join(map(self._letters.get, piece.encode()))
+            return np.array([t.id for t in self._model.tokenize(shown)], "<u4").tobytes()
+        return self._whole(before + piece)
 
     def encode(self, text: str | None, end_id: int | None = None) -> np.ndarray:
         """The ids of the whole text (null counts as empty), then ``end_id`` if given."""
-        pieces = _PIECE.findall(text or "")
-        known = self._known
-        once: dict[str, bytes] = {}
-        missing = [p for p in set(pieces) if p not in known]
-        if missing:
-            if len(known) + len(missing) > self._remember:
-                # Keep what this text needs; everything else can be worked out again.
-                needed = {p: known[p] for p in set(pieces) if p in known}
-                known.clear()
-                known.update(needed)
-            for p, ids in zip(missing, self._encode(missing)):
-                (known if len(p) <= _LONGEST and len(known) < self._remember else once)[p] = ids
-        if once:
-            joined = b"".join([known[p] if p in known else once[p] for p in pieces])
+        text = text or ""
+        if self._folds and not _CONTROL.search(text):
+            joined = b"".join(map(self._bare.__getitem__, text.split()))
+        elif not self._folds and not _RUN.search(text) and not _CONTROL.search(text):
+            first, *rest = text.split(" ")
+            joined = self._bare[first] + b"".join(map(self._spaced.__getitem__, rest))
         else:
-            joined = b"".join([known[p] for p in pieces])
+            joined = b"".join(map(self._bare.__getitem__, _PIECE.findall(text)))
         ids = np.frombuffer(joined, "<u4")
         return ids if end_id is None else np.append(ids, np.uint32(end_id)).astype("<u4")
 
@@ -62,8 +114,3 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """One per Python worker and tokenizer file."""
     return Encoder(path)
-
-
-def encode_all(path: str, texts: Iterable[str | None], end_id: int | None) -> Iterable[np.ndarray]:
-    one = encoder(path)
-    return (one.encode(text, end_id) for text in texts)

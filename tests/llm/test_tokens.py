@@ -19,7 +19,20 @@ OWN = {p: Encoder(p, remember=50) for p in (WORD, BYTE)}
 
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from("aA'st \n\u00c9\u00ffre.,<"), max_size=24))
+def test_plain_pieces_give_the_ids_of_the_whole(path, text):
+    assert OWN[path].encode(text).tolist() == PLAIN[path].encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_whole_texts_of_the_test_table(path, small):
+    for _, text in small:
+        assert OWN[path].encode(text).tolist() == PLAIN[path].encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+@settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("aA'st \t\n\r\x0b\x0c\x1c\x85\u00a0\u2028\u30001\u00e9\u0301!<|>.\U0001f600\u01c5"), max_size=30))
 def test_pieces_give_the_ids_of_the_whole(path, text):
     assert OWN[path].encode(text).tolist() == PLAIN[path].encode(text, add_special_tokens=False).ids
