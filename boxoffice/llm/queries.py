@@ -16,6 +16,7 @@ from boxoffice.llm import (
     lines,
     packing,
     quality,
+    repeats,
     token_blocks,
     url_filter,
 )
@@ -61,6 +62,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, folder, "documents")).drop("removed")
+
+
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     out = lines.line_dedup(_table(spark, folder, "documents"))
     spans = F.transform("removed", lambda s: F.concat_ws(":", s["unit"], s["start"], s["length"]))
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_blocks": op2,
     "op3_url_filter": op3,
     "op4_packing": op4,
+    "op5_repeats": op5,
     "op6_line_dedup": op6,
     "op7_quality": op7,
     "op8_decontamination": op8,
