@@ -157,8 +157,8 @@ def title(expr: str) -> str:
 
 CTES["raw_customers"] = """
 SELECT code, is_activated, replace(nationality, 'vietnam', 'VN') AS nationality,
-  CAST(coalesce(try_strptime(birthday, '%Y-%m-%d'), try_strptime(birthday, '%d/%m/%Y'),
-    try_strptime(birthday, '%d %b %Y')) AS DATE) AS birthday, created_at, last_login_at
+  CAST(coalesce(try_strptime(birthday, '%Y-%m-%d'), try_strptime(birthday, '%m/%d/%Y'),
+    try_strptime(birthday, '%d/%m/%Y'), try_strptime(birthday, '%d %b %Y')) AS DATE) AS birthday, created_at, last_login_at
 FROM dump_customers"""
 
 CTES["raw_events"] = f"""

@@ -115,7 +115,7 @@ def share_of_total(t: Tables) -> DataFrame:
 @query(
     "S04_share_by_payment",
     f"""SELECT "eventID", "paymentMethod", CAST(profit AS DOUBLE) AS profit,
-  {div("profit", 'sum(profit) OVER (PARTITION BY "eventID")', "0")} AS share
+  {div("profit", 'sum(profit) OVER (PARTITION BY "eventID")')} AS share
 FROM (SELECT "eventID", "paymentMethod", {PROFIT} AS profit FROM fact GROUP BY ALL)""",
 )
 def share_by_payment(t: Tables) -> DataFrame:
@@ -125,7 +125,7 @@ def share_by_payment(t: Tables) -> DataFrame:
 
 @query(
     "S05_share_by_gender",
-    f"""SELECT "paymentMethod", gender, tickets, {div("tickets", 'sum(tickets) OVER (PARTITION BY "paymentMethod")', "0")} AS share
+    f"""SELECT "paymentMethod", gender, tickets, {div("tickets", 'sum(tickets) OVER (PARTITION BY "paymentMethod")')} AS share
 FROM (SELECT "paymentMethod", gender, CAST(sum("totalTickets") AS BIGINT) AS tickets FROM okf LEFT JOIN cust ON "customerID" = cust.id GROUP BY ALL)""",
 )
 def share_by_gender(t: Tables) -> DataFrame:
@@ -244,27 +244,28 @@ def sort(t: Tables) -> DataFrame:
 
 
 def _buyers(t: Tables, lo: int, hi: int) -> DataFrame:
+    """Buyers of a stretch of days; 0 begins with the first order."""
     return t.fact().where(m.is_ok() & F.col("creationDateID").between(lo, hi)).select("customerID")
 
 
 def _set_sql(op: str) -> str:
     part = 'SELECT "customerID" FROM okf WHERE "creationDateID" BETWEEN {} AND {}'
-    return f"{part.format(19990101, 19990331)} {op} {part.format(19980101, 19981231)}"
+    return f"{part.format(19990101, 19990331)} {op} {part.format(0, 19981231)}"
 
 
 @query("S15_union_distinct", _set_sql("UNION"))
 def union_distinct(t: Tables) -> DataFrame:
-    return _buyers(t, 19990101, 19990331).union(_buyers(t, 19980101, 19981231)).distinct()
+    return _buyers(t, 19990101, 19990331).union(_buyers(t, 0, 19981231)).distinct()
 
 
 @query("S16_intersect", _set_sql("INTERSECT"))
 def intersect(t: Tables) -> DataFrame:
-    return _buyers(t, 19990101, 19990331).intersect(_buyers(t, 19980101, 19981231))
+    return _buyers(t, 19990101, 19990331).intersect(_buyers(t, 0, 19981231))
 
 
 @query("S17_except", _set_sql("EXCEPT"))
 def except_(t: Tables) -> DataFrame:
-    return _buyers(t, 19990101, 19990331).subtract(_buyers(t, 19980101, 19981231))
+    return _buyers(t, 19990101, 19990331).subtract(_buyers(t, 0, 19981231))
 
 
 @query(
@@ -345,7 +346,7 @@ FROM (SELECT "eventID", p, CAST(p / 1000 AS DECIMAL(28,4)) AS small, t, CAST(CAS
   FROM (SELECT "eventID", CAST({PROFIT} AS DECIMAL(28,4)) AS p, CAST(sum("totalTickets") FILTER (WHERE {OK}) AS DECIMAL(28,4)) AS t FROM fact GROUP BY 1))""",
 )
 def compact_numbers(t: Tables) -> DataFrame:
-    per_event = r.share(m.kpi(t.fact(), ["profit", "tickets"], ["eventID"]), "profit")
+    per_event = r.share(m.kpi(t.fact(), ["profit", "tickets"], ["eventID"]), "profit", empty=0)
     small = (F.col("profit").cast("double") / 1000).cast("decimal(28,4)")
     return per_event.select(
         "eventID",
@@ -384,7 +385,7 @@ def trend_labels(t: Tables) -> DataFrame:
   ELSE printf('%.2f', CAST(round(p, -7) AS DOUBLE) / 1000000000) || 'B' END
   || ' | ' || printf('%.0f', CAST(round(CAST(share AS DECIMAL(28,10)) * 100, 0) AS DOUBLE)) || '%' AS label
 FROM (SELECT "eventID", "paymentMethod", CAST(profit AS DECIMAL(28,4)) AS p,
-  {div("profit", 'sum(profit) OVER (PARTITION BY "eventID")', "0")} AS share
+  {div("profit", 'sum(profit) OVER (PARTITION BY "eventID")')} AS share
   FROM (SELECT "eventID", "paymentMethod", {PROFIT} AS profit FROM fact GROUP BY ALL))""",
 )
 def share_labels(t: Tables) -> DataFrame:

@@ -82,10 +82,19 @@ def hierarchical_rank(inner: DataFrame, sums: Sequence[str], metric: str) -> Dat
     return events.withColumn("distance", F.lit(None).cast("string")).unionByName(distances)
 
 
-def share(df: DataFrame, metric: str, parent: Sequence[str] = (), name: str = "share") -> DataFrame:
-    """``metric`` divided by its total over the rows with the same ``parent``."""
+def share(
+    df: DataFrame,
+    metric: str,
+    parent: Sequence[str] = (),
+    name: str = "share",
+    empty: float | None = None,
+) -> DataFrame:
+    """``metric`` divided by its total over the rows with the same ``parent``.
+
+    ``empty`` is the share where that total is absent or zero; by default there is none.
+    """
     return total_of(df, metric, parent, "_total").select(
-        *df.columns, divide(F.col(metric), F.col("_total"), 0).alias(name)
+        *df.columns, divide(F.col(metric), F.col("_total"), empty).alias(name)
     )
 
 
@@ -96,8 +105,8 @@ def hierarchical_share(inner: DataFrame, sums: Sequence[str], metric: str) -> Da
     """
     wanted = [metric, "complete_orders"] if metric != "complete_orders" else [metric]
     event_sums = inner.groupBy("eventName").agg(*[F.sum(s).alias(s) for s in sums])
-    events = share(finish(event_sums, wanted), metric)
-    distances = share(finish(inner, wanted), metric, ["eventName"])
+    events = share(finish(event_sums, wanted), metric, empty=0)
+    distances = share(finish(inner, wanted), metric, ["eventName"], empty=0)
     both = events.withColumn("distance", F.lit(None).cast("string")).unionByName(distances)
     return both.select(
         "eventName",

@@ -263,7 +263,10 @@ def bi_orders(
         )
     )
     return rows.distinct().orderBy(
-        *[F.col(c).desc() for c in ("date_id", "event_id", "customer_id", "organizer_id")]
+        *[F.col(c).desc() for c in ("date_id", "event_id", "customer_id", "organizer_id")],
+        # Rows without a date are many; two more keys let them be split.
+        "order_id",
+        "product_id",
     )
 
 
@@ -289,5 +292,5 @@ def bi_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
         .select(
             *customers.columns, *[F.coalesce(F.col(t), F.lit(0)).alias(t) for t in totals]
         )
-        .orderBy("last_login_date_id")
+        .orderBy("last_login_date_id", "id")
     )

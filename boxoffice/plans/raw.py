@@ -12,8 +12,23 @@ from boxoffice.functions.dates import parse_mixed
 from boxoffice.functions.text import replace_text, title_case
 from boxoffice.operators.dedup import keep_first, keep_latest
 
-# Spark pattern letters; the dumps mix these forms.
-BIRTHDAY_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy-MM-dd HH:mm:ss", "dd MMM yyyy")
+# Spark pattern letters, first fit counts: the month comes first where both readings are
+# possible. Other forms (two-digit years, zones, weekdays) are not read and give null.
+BIRTHDAY_FORMATS = (
+    "yyyy-M-d",
+    "yyyy/M/d",
+    "M/d/yyyy",
+    "d/M/yyyy",
+    "M-d-yyyy",
+    "d-M-yyyy",
+    "yyyy-M-d H:m:s",
+    "yyyy-M-d'T'H:m:s",
+    "yyyy-M-d'T'H:m:s.SSS",
+    "d MMM yyyy",
+    "d MMMM yyyy",
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
+)
 
 
 def raw_customers(dump: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -33,12 +34,13 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a session without that setting, as in a plain local test, gets a
-    folder of its own; on a cluster that would be machine-local and is refused.
+    folder of its own; on a cluster, or where the master is not known, that would be
+    machine-local and is refused.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     own = tempfile.mkdtemp(prefix="boxoffice-")
     spark.conf.set("spark.checkpoint.dir", own)

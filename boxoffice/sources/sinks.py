@@ -75,12 +75,12 @@ def write_range_partitioned(
 ) -> None:
     """Write one folder per bucket.
 
-    Rows are range-partitioned by bucket and a salt taken from their content, so a bucket
-    that holds much of the table becomes several files written by several tasks. The salt
-    is a function of the row and comes out the same when a task is run again.
+    Rows are range-partitioned by bucket and a hash of their content, so a bucket that holds
+    much of the table becomes as many files and tasks as its share of the partitions. The
+    hash is a function of the row and comes out the same when a task is run again.
     """
     bucketed = with_range_bucket(df, column, start, end, width)
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(32)).alias("_salt")
+    salt = F.xxhash64(*df.columns).alias("_salt")
     (
         bucketed.select("*", salt)
         .repartitionByRange("bucket", "_salt")

@@ -87,7 +87,21 @@ def test_event_date(spark, written, expected):
 
 @pytest.mark.parametrize(
     "written, expected",
-    [("1990-02-01", D(1990, 2, 1)), ("01/02/1990", D(1990, 2, 1)), ("01 Feb 1990", D(1990, 2, 1)), ("n/a", None), (None, None)],
+    [
+        ("1990-02-01", D(1990, 2, 1)),
+        ("01/02/1990", D(1990, 1, 2)),
+        ("05/03/1990", D(1990, 5, 3)),
+        ("25/03/1990", D(1990, 3, 25)),
+        ("1990-05-03T10:00:00", D(1990, 5, 3)),
+        ("1990-05-03 10:00:00", D(1990, 5, 3)),
+        ("May 3, 1990", D(1990, 5, 3)),
+        ("3 May 1990", D(1990, 5, 3)),
+        ("1990/05/03", D(1990, 5, 3)),
+        ("01 Feb 1990", D(1990, 2, 1)),
+        ("13/13/1990", None),
+        ("n/a", None),
+        (None, None),
+    ],
 )
 def test_mixed_birthdays(spark, written, expected):
     c = F.lit(written).cast("string")
@@ -420,3 +434,23 @@ def test_period_value_counts_failed_orders_as_history(rows):
     contexts = cohorts.customer_contexts(fact, ["eventID", "day"])
     got = cohorts.period_cohort_value(contexts, ["eventID"], "day", F.col("day"))
     assert values(got.where("day = '2024-01-03'"), "total_new_customers_value")[0][0] == 5
+
+
+def test_share_of_an_empty_total_is_absent(spark, rows):
+    from boxoffice.operators.ranking import share
+
+    df = rows([("a", 3.0), ("a", 1.0), ("b", 0.0), ("c", None)], "g string, v double")
+    got = {(r.g, r.v): r.share for r in share(df, "v", ["g"]).collect()}
+    assert got == {("a", 3.0): 0.75, ("a", 1.0): 0.25, ("b", 0.0): None, ("c", None): None}
+    assert {r.share for r in share(df, "v", ["g"], empty=0).collect()} == {0.75, 0.25, 0.0}
+
+
+def test_machine_local_folders_are_refused_without_a_local_master():
+    from types import SimpleNamespace
+
+    from boxoffice.session import shared_dir
+
+    for master in ("", "spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        conf = SimpleNamespace(get=lambda k, d=None, m=master: m if k == "spark.master" else d)
+        with pytest.raises(ValueError):
+            shared_dir(SimpleNamespace(conf=conf))
