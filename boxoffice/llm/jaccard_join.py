@@ -15,8 +15,9 @@ enough for the overlap that t asks of the two sizes. N-grams of one document alo
 nothing, so only prefixes' repeated n-grams are looked at; they are few.
 
 Groups. Sets that are equal become one class first. Then the members of each prefix n-gram
-are compared with one of them, the hub (the set with the fewest n-grams of its own), and
-components are formed. Only then are members outside the hub's component compared with the
+are compared with one of them, the hub (the set with the fewest n-grams of its own): every set
+with its best hub first, and with its other hubs if it is not in their component then. Only
+then are members outside the hub's component compared with the
 rest, and only if their components differ. So a group of copies costs rows in proportion to
 its size, not all its pairs, and no link that could join two components is left out.
 
@@ -175,8 +176,8 @@ _SET = pa.schema(
         ("segments", pa.list_(pa.list_(pa.int64()))),
     ]
 )
-#: Fragments in which the overlaps of candidate pairs are counted.
-_PARTS = 4
+#: Parts of the order in which the overlaps of candidate pairs are counted, one after another.
+_PARTS = 2
 
 
 def _sets(percent: int, bits: int, table: pa.Table) -> pa.Table:
@@ -216,19 +217,21 @@ def _possible(percent: int) -> Column:
 def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y, x_n, y_n) that reach the similarity.
 
-    Overlaps are counted for each part of the order on its own, then summed per pair.
+    Overlaps are counted part by part of the order and summed per pair. A pair goes on to the
+    next part only if what is left of both sets could still make up the overlap it needs.
     """
-    each = pairs.withColumn("part", F.explode(F.array(*[F.lit(g) for g in range(_PARTS)])))
-    for side in ("x", "y"):
-        mine = segments.select(
-            F.col("node").alias(side), "part", F.col("segment").alias(f"{side}_segment")
-        )
-        each = each.join(mine, [side, "part"])
-    shared = F.size(F.array_intersect("x_segment", "y_segment")).cast("long")
-    partial = each.select("x", "y", "x_n", "y_n", shared.alias("shared")).where("shared > 0")
-    summed = partial.groupBy("x", "y", "x_n", "y_n").agg(F.sum("shared").alias("shared"))
-    union = F.col("x_n") + F.col("y_n") - F.col("shared")
-    return summed.where(100 * F.col("shared") >= percent * union).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    counted = pairs.select("x", "y", "x_n", "y_n", F.lit(0).cast("long").alias("shared"))
+    for part in range(_PARTS):
+        for side in ("x", "y"):
+            mine = segments.where(F.col("part") == part).select(
+                F.col("node").alias(side), F.col("segment").alias(f"{side}_segment"), F.col("after").alias(f"{side}_after")
+            )
+            counted = counted.join(mine, side)
+        most = F.col("shared") + F.size(F.array_intersect("x_segment", "y_segment"))
+        counted = counted.select("x", "y", "x_n", "y_n", most.alias("shared"), F.least("x_after", "y_after").alias("after"))
+        needed = percent * (F.col("x_n") + F.col("y_n"))
+        counted = counted.where((100 + percent) * (F.col("shared") + F.col("after")) >= needed)
+    return counted.select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def jaccard_groups(
@@ -265,7 +268,10 @@ def jaccard_groups(
     )
     alone = nodes.where("node = class").select("node")
     linkable = sets.where("size(prefix) > 0").join(alone, "node", "left_semi")
-    segments = linkable.select("node", F.posexplode("segments").alias("part", "segment"))
+    # With each segment goes how many repeated n-grams the later ones hold.
+    later = F.transform("segments", lambda _, i: F.aggregate(F.slice("segments", i + 2, _PARTS), F.lit(0).cast("long"), lambda n, s: n + F.size(s)))
+    segments = linkable.select("node", F.posexplode(F.arrays_zip("segments", later.alias("after"))).alias("part", "s"))
+    segments = segments.select("node", "part", F.col("s.segments").alias("segment"), F.col("s.after").alias("after"))
     postings = stable(
         linkable.select("node", "n", "own", F.posexplode("prefix").alias("at", "gram")).select(
             "gram", "node", "n", "own", (F.col("own") + F.col("at")).alias("pos")
@@ -275,12 +281,20 @@ def jaccard_groups(
         F.min(F.struct("own", "n", "node", "pos")).alias("hub"), F.count("*").alias("members")
     )
     hubs = hubs.where("members > 1").select(
-        "gram", F.col("hub.node").alias("y"), F.col("hub.n").alias("y_n"), F.col("hub.pos").alias("y_pos")
+        "gram", F.col("hub.own").alias("y_own"), F.col("hub.node").alias("y"), F.col("hub.n").alias("y_n"), F.col("hub.pos").alias("y_pos")
     )
     x = postings.select("gram", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("pos").alias("x_pos"))
-    spokes = x.join(hubs, "gram").where("x != y").where(_possible(percent))
-    spokes = spokes.select("x", "y", "x_n", "y_n").distinct()
-    links = stable(_linked(spokes, segments, percent))
+    spokes = stable(x.join(hubs, "gram").where("x != y").where(_possible(percent)))
+    # The best hub of each set first: a pair for each set, and most components are there.
+    near = spokes.groupBy("x", "x_n").agg(F.min(F.struct("y_own", "y_n", "y")).alias("hub"))
+    links = stable(_linked(near.select("x", F.col("hub.y").alias("y"), "x_n", F.col("hub.y_n").alias("y_n")), segments, percent))
+    # Then the other hubs, for sets that are not in their component yet.
+    others = spokes.select("x", "y", "x_n", "y_n").distinct()
+    known = components(links)
+    for side in ("x", "y"):
+        mine = known.select(F.col("node").alias(side), F.col("component").alias(f"{side}_comp"))
+        others = others.join(mine, side, "left").withColumn(f"{side}_comp", F.coalesce(f"{side}_comp", side))
+    links = stable(links.union(_linked(others.where("x_comp != y_comp").select("x", "y", "x_n", "y_n"), segments, percent)))
     first = components(links)
 
     # What the hub's component does not hold is compared with every other component's members.
