@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from boxoffice.llm.common import id_and_text, row_key, rows_to_batch, spark_schema, utf8_parts
 
 PASSAGE = 512
+#: Bytes that are encoded together; a task needs about 50 times as much memory for it.
+_PART = 1 << 20
 FIT_DOCS, FIT_PASSAGES = 6000, 64
 
 # Kinds of bytes; the lead bytes of non-ASCII letters count as "other".
@@ -229,7 +231,7 @@ def learn(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, targets, keys = (batch.column(i).to_pylist() for i in (0, 1, 3))
-            for first, data, starts in utf8_parts(batch.column(2)):
+            for first, data, starts in utf8_parts(batch.column(2), _PART):
                 vectors, owner = passages(data, starts)
                 cut = np.searchsorted(owner, np.arange(len(starts)))
                 yield rows_to_batch(
@@ -262,7 +264,7 @@ def with_scores(rows: DataFrame, model: Model, text_col: str = "text") -> DataFr
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, counts = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            for first, data, starts in utf8_parts(batch.column(1)):
+            for first, data, starts in utf8_parts(batch.column(1), _PART):
                 n = len(starts) - 1
                 scores[first : first + n], counts[first : first + n] = score_rows(model, data, starts)
             out = [batch.column(0), pa.array(scores), pa.array(counts)]
@@ -273,7 +275,7 @@ def with_scores(rows: DataFrame, model: Model, text_col: str = "text") -> DataFr
 
 
 #: Passages of one document that are encoded at a time.
-_STEP = 1 << 12
+_STEP = 1 << 11
 
 
 def score_rows(model: Model, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -56,7 +56,7 @@ class Encoder:
     The memory only saves time: when it holds ``remember`` pieces it is emptied.
     """
 
-    def __init__(self, path: str, remember: int = 800_000):
+    def __init__(self, path: str, remember: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
