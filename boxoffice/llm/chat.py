@@ -5,8 +5,8 @@ by self-joins that double the reach of every message's pointer in each round, so
 depth d takes log2(d) rounds. The rounds also add up scores; leaves are ranked by the score of
 their path, and each chosen path is written as one conversation.
 
-Scale. A round joins the messages with themselves by message; nothing is collected but the
-number of messages still on the way. Chosen paths are read back with the same pointers: a
+Scale. A round joins the messages still on the way with all by message; nothing is collected
+but whether any are left. Chosen paths are read back with the same pointers: a
 round doubles the part of each path that is known, so the rows are those of the paths, never
 all pairs of ancestors. A conversation's text must meet in one task, as it is one string.
 
@@ -49,9 +49,10 @@ def _unescape_role(role: Column) -> Column:
 def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Pointer tables by round, and for each message its depth, root and path score.
 
-    Table k leads from a message to its ancestor 2^k steps up.
+    Table k leads from a message to its ancestor 2^k steps up. A round joins and writes only
+    the messages that have not met their root, so a few deep trees cost no round of the rest.
     """
-    state = stable(
+    going = stable(
         nodes.select(
             "tree",
             "node",
@@ -61,14 +62,15 @@ def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
             F.col("node").alias("last"),
         )
     )
-    tables, total = [], state.count()
+    tables, total = [], going.count()
+    reached = going.where("up is null")
     while True:
-        links = state.where("up is not null").select("tree", "node", "up")
+        going = going.where("up is not null")
         # Who has not met a root after as many steps as there are messages hangs on a ring.
-        if (1 << len(tables)) > 2 * total or links.isEmpty():
-            return tables, state.where("up is null")
-        tables.append(links)
-        above = state.select(
+        if (1 << len(tables)) > 2 * total or going.isEmpty():
+            return tables, reached
+        tables.append(going.select("tree", "node", "up"))
+        above = reached.unionByName(going).select(
             F.col("tree").alias("a_tree"),
             F.col("node").alias("a_node"),
             F.col("up").alias("a_up"),
@@ -76,18 +78,18 @@ def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
             F.col("score").alias("a_score"),
         )
         met = (F.col("tree") == F.col("a_tree")) & (F.col("up") == F.col("a_node"))
-        joined = state.join(above, met, "left")
-        state = stable(
-            joined.select(
+        going = stable(
+            going.join(above, met).select(
                 "tree",
                 "node",
                 F.col("a_up").alias("up"),
                 # What lies above the pointer has been counted by the message it leads to.
-                (F.col("depth") + F.coalesce("a_depth", F.lit(0))).alias("depth"),
-                (F.col("score") + F.coalesce("a_score", F.lit(0.0))).alias("score"),
+                (F.col("depth") + F.col("a_depth")).alias("depth"),
+                (F.col("score") + F.col("a_score")).alias("score"),
                 "last",
             )
         )
+        reached = reached.unionByName(going.where("up is null"))
 
 
 def reply_paths(messages: DataFrame, paths_per_tree: int = 1) -> DataFrame:
