@@ -464,7 +464,7 @@ def card_labels(t: Tables) -> DataFrame:
 @query(
     "F02_overall_trend_label",
     f"""SELECT "eventID", CASE WHEN pct > 0 THEN '▲ ' || body WHEN pct = 0 THEN 'No Change' WHEN pct < 0 THEN '▼ ' || body END AS label
-FROM (SELECT *, {_fmt("abs(pct)")} || ' | $' || {_grouped("abs(change)")} AS body FROM
+FROM (SELECT *, {_grouped("CAST(abs(pct) AS DECIMAL(28,10)) * 100")} || '% | $' || {_grouped("abs(change)")} AS body FROM
 (SELECT e."eventID", {_compare("b.v", "a.v")} FROM (SELECT "eventID", min(date) AS d0, max(date) AS d1 FROM pdd GROUP BY 1) e
 JOIN pdd a ON a."eventID" = e."eventID" AND a.date = e.d0 JOIN pdd b ON b."eventID" = e."eventID" AND b.date = e.d1))""",
     **_PROFIT_DAYS,

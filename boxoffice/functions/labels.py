@@ -128,9 +128,10 @@ def card_label(metric: str, versus: str) -> Column:
 
 
 def overall_label(pct: Column, change: Column, money: bool) -> Column:
-    """``▲ 12% | $1,234``, or ``No Change``."""
+    """``▲ 1,235% | $1,234``, or ``No Change``; a share that rounds to 0 shows no digit."""
     size = compact_number(F.abs(change), "money" if money else "count")
-    return arrow(pct, F.concat(percent(F.abs(pct)), F.lit(" | "), size), "No Change")
+    shown = grouped(F.abs(pct).cast("decimal(28,10)") * 100)
+    return arrow(pct, F.concat(shown, F.lit("% | "), size), "No Change")
 
 
 def share_label(value: Column, share: Column, money: bool) -> Column:

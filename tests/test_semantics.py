@@ -400,6 +400,20 @@ def test_trend_labels(spark, pct, expected):
     assert one(spark, labels.trend_label(F.lit(pct).cast("double"), F.lit("x"))) == expected
 
 
+@pytest.mark.parametrize(
+    "pct, change, expected",
+    [
+        (0.99, 1234.0, "▲ 99% | $1,234"),
+        (12.345, 1234.0, "▲ 1,235% | $1,234"),
+        (-0.5, -20.0, "▼ 50% | $20"),
+        (0.001, 3.0, "▲ % | $3"),
+        (0.0, 0.0, "No Change"),
+    ],
+)
+def test_overall_labels(spark, pct, change, expected):
+    assert one(spark, labels.overall_label(F.lit(pct), F.lit(change), money=True)) == expected
+
+
 # Cohorts
 
 
