@@ -257,33 +257,35 @@ _LAST = " UNION ALL ".join(
         for n in (3, 7, 14, 30, 60)
     ]
     + [
-        f"""SELECT 'purchased', {n}, count(*), min("purchaseDateID"), max("purchaseDateID") FROM fact
-  WHERE "purchaseDate" >= (SELECT max("purchaseDate") FROM fact) - {n}"""
-        for n in (7, 30)
+        f"""SELECT 'purchased', {n}, count(*), min("creationDateID"), max("creationDateID") FROM fact
+  WHERE "creationDate" BETWEEN (SELECT max("purchaseDate") FROM fact) - {n} AND (SELECT max("purchaseDate") FROM fact)"""
+        for n in (7, 30, 180)
     ]
-    + ["""SELECT 'purchased', 0, count(*), min("purchaseDateID"), max("purchaseDateID") FROM fact"""]
+    + ["""SELECT 'purchased', 0, count(*), min("creationDateID"), max("creationDateID") FROM fact"""]
 )
 
 
 @query("W12_last_n_days_filter", _LAST)
 def last_n_days(t: Tables) -> DataFrame:
-    """Both filters at several lengths; orders are counted per day before the filter."""
-    fact = t.fact()
+    """Both filters at several lengths; orders are counted per day before the filter.
+
+    Both keep dates of creation: the first back from the last of them, the second back from
+    the last purchase.
+    """
+    days = t.fact().groupBy("creationDate", "creationDateID")
+    per_day = stable(days.agg(F.count(F.lit(1)).alias("orders"), F.max("purchaseDate").alias("bought")))
+    bought = per_day.agg(F.max("bought")).scalar()
     parts = []
-    for basis, date, key, lengths in (
-        ("created", "creationDate", "creationDateID", (3, 7, 14, 30, 60)),
-        ("purchased", "purchaseDate", "purchaseDateID", (7, 30, 0)),
-    ):
-        per_day = stable(fact.groupBy(date, key).agg(F.count(F.lit(1)).alias("orders")))
+    for basis, last, lengths in (("created", None, (3, 7, 14, 30, 60)), ("purchased", bought, (7, 30, 180, 0))):
         for n in lengths:
-            kept = w.last_n_days(per_day, n, date, zero_is_all=basis == "purchased")
+            kept = w.last_n_days(per_day, n, zero_is_all=basis == "purchased", last=last)
             parts.append(
                 kept.agg(
                     F.lit(basis).alias("basis"),
                     F.lit(n).alias("n"),
-                    F.sum("orders").alias("orders"),
-                    F.min(key).alias("lo"),
-                    F.max(key).alias("hi"),
+                    F.coalesce(F.sum("orders"), F.lit(0)).alias("orders"),
+                    F.min("creationDateID").alias("lo"),
+                    F.max("creationDateID").alias("hi"),
                 )
             )
     out = parts[0]

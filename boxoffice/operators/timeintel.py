@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -205,15 +205,22 @@ def markers(series: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def last_n_days(
-    df: DataFrame, n: int, date: str = "creationDate", zero_is_all: bool = False
+    df: DataFrame,
+    n: int,
+    date: str = "creationDate",
+    zero_is_all: bool = False,
+    last: Column | None = None,
 ) -> DataFrame:
     """Rows from the last date back to ``n`` days before it, both ends included.
 
-    No row lies after the last date, so one lower bound is enough.
+    ``last`` may come from elsewhere, as the last purchase for dates of creation; rows after
+    it are left out. By default it is the greatest ``date``.
     """
     if zero_is_all and n == 0:
         return df
-    return df.where(F.col(date) >= F.date_sub(df.agg(F.max(date)).scalar(), n))
+    if last is None:
+        last = df.agg(F.max(date)).scalar()
+    return df.where(F.col(date).between(F.date_sub(last, n), last))
 
 
 def visible_dates(calendar: DataFrame, fact: DataFrame) -> DataFrame:

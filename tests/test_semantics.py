@@ -327,6 +327,8 @@ def test_last_n_days_has_n_plus_one_days(rows):
     assert timeintel.last_n_days(df, 3).count() == 4
     assert timeintel.last_n_days(df, 0, zero_is_all=True).count() == 10
     assert timeintel.last_n_days(df, 0).count() == 1
+    kept = timeintel.last_n_days(df, 2, last=F.lit(D(2024, 1, 8)))
+    assert sorted(r.creationDate.day for r in kept.collect()) == [6, 7, 8]
 
 
 def test_markers_take_the_earliest_of_equal_peaks(rows):
