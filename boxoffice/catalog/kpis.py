@@ -156,11 +156,11 @@ _SALES_BASE = [v for v in m.SALES_CHOICE.values()]
 @query(
     "D02_sales_table",
     "SELECT ym, name, p.metric, position, \"group\", visible, value FROM (SELECT ym, metric, value FROM ("
-    + " UNION ALL ".join(f"SELECT ym, '{n}' AS metric, {dbl(n)} AS value FROM monthly" for n in _SALES_VALUES)
+    + " UNION ALL ".join(f"SELECT ym, '{n}' AS metric, {dbl(n)} AS value FROM months" for n in _SALES_VALUES)
     + " UNION ALL "
     + " UNION ALL ".join(
         f"""SELECT c.ym, '{n}_vs_pm', CASE WHEN p.{n} IS NULL OR p.{n} = 0 THEN 0
-  ELSE (coalesce({dbl("c." + n)}, 0) - {dbl("p." + n)}) / {dbl("p." + n)} END FROM monthly c LEFT JOIN monthly p ON p.mi = c.mi - 1"""
+  ELSE (coalesce({dbl("c." + n)}, 0) - {dbl("p." + n)}) / {dbl("p." + n)} END FROM months c LEFT JOIN monthly p ON p.mi = c.mi - 1"""
         for n in _SALES_BASE
     )
     + ")) v JOIN (VALUES "
@@ -170,13 +170,15 @@ _SALES_BASE = [v for v in m.SALES_CHOICE.values()]
   year("creationDate") * 12 + month("creationDate") AS mi,
   {measures("complete_orders", "completion_rate", "tickets", "avg_tickets_per_order", "revenue", "avg_revenue_per_order")},
   {measures("discount", "avg_discount_value_per_order", "profit", "profit_margin")} FROM fact GROUP BY ALL""",
+    months="""SELECT c.ym, c.mi, m.* EXCLUDE (ym, mi) FROM (SELECT DISTINCT year(d) * 100 + month(d) AS ym, year(d) * 12 + month(d) AS mi FROM cal) c
+  LEFT JOIN monthly m ON m.mi = c.mi LEFT JOIN monthly p ON p.mi = c.mi - 1 WHERE m.complete_orders IS NOT NULL OR p.complete_orders IS NOT NULL""",
 )
 def sales_table(t: Tables) -> DataFrame:
     """The fifteen entries of the sales table per month, with changes on the month before."""
     fact = t.fact().withColumn("month", month_index(F.col("creationDate")))
     wide = m.kpi(fact, _SALES_VALUES, ["month"])
     wide = wide.select("month", *[F.col(c).cast("double").alias(c) for c in _SALES_VALUES])
-    moved = previous_month(stable(wide), _SALES_BASE)
+    moved = previous_month(stable(wide), t.calendar(), _SALES_BASE)
     changes = moved.withColumnsRenamed({f"{name}_pct": f"{name}_vs_pm" for name in _SALES_BASE})
     names = [p[1] for p in parameters.SALES_METRICS]
     ym = F.floor((F.col("month") - 1) / 12) * 100 + (F.col("month") - 1) % 12 + 1

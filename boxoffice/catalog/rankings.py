@@ -365,14 +365,14 @@ def compact_numbers(t: Tables) -> DataFrame:
 (SELECT date, pct, printf('%.0f', round(CAST(abs(pct) AS DECIMAL(28,10)) * 100, 0)) || '%' AS pl, {_kpi_label("a")} AS cl
   FROM (SELECT c.date, CAST(abs(CAST(coalesce(c.v, 0) - coalesce(p.v, 0) AS DECIMAL(28,4))) AS DECIMAL(28,4)) AS a,
     CASE WHEN p.v IS NULL OR p.v = 0 THEN 0 ELSE (coalesce(c.v, 0) - p.v) / p.v END AS pct
-    FROM dv c LEFT JOIN dv p ON p.date = c.date - 1 WHERE c.v IS NOT NULL OR p.v IS NOT NULL))""",
+    FROM (SELECT d AS date, v FROM cal LEFT JOIN dv ON dv.date = d) c LEFT JOIN dv p ON p.date = c.date - 1 WHERE c.v IS NOT NULL OR p.v IS NOT NULL))""",
     dv=f"""SELECT "creationDate" AS date, {dbl(PROFIT)} AS v FROM fact GROUP BY 1""",
 )
 def trend_labels(t: Tables) -> DataFrame:
     dated = t.fact().withColumn("date", F.col("creationDate"))
     daily = m.kpi(dated, ["profit"], ["date"]).withColumn("v", F.col("profit").cast("double"))
-    moved = w.compare(w.shift_days(stable(daily.select("date", "v")), ["v"], "day", -1, "previous_"), "v", "previous_v")
-    moved = moved.where("change IS NOT NULL")
+    moved = w.shift_days(stable(daily.select("date", "v")), t.calendar(), ["v"], "day", -1, "previous_")
+    moved = w.compare(moved, "v", "previous_v")
     size = F.abs(F.col("change").cast("decimal(28,4)"))
     return moved.select("date", trend_label(F.col("pct"), compact_number(size, "kpi")).alias("label"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from boxoffice.catalog.oracle import MEASURE_SQL, OK, dbl, div, measures
 from boxoffice.catalog.register import query
 from boxoffice.functions.dates import month_index
 from boxoffice.functions.labels import SINCE, overall_label
+from boxoffice.functions.numbers import divide
 from boxoffice.operators import cohorts as c
 from boxoffice.operators import metrics as m
 from boxoffice.operators import timeintel as w
@@ -38,15 +41,15 @@ def daily(t: Tables, names: list[str], by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def daily_card(t: Tables) -> DataFrame:
-    """The card figures per day, all from one pass over the fact.
+    """The card figures per day.
 
     The frame has one row per day and is written, because every comparison uses it twice.
     """
-    contexts = c.customer_contexts(t.fact().withColumn("date", F.col("creationDate")), ["date"])
-    fresh = c.avg_new_customer_value(contexts, [], "date", F.col("date"))
-    fresh = fresh.select("date", "new_customers", "avg_new_customers_value")
-    sums = m.add_up(contexts, ["date"])
-    return stable(m.finish(sums, _FROM_SUMS).join(fresh, "date", "left"))
+    wide = daily(t, _FROM_SUMS).join(c.new_customers_by_day(t.fact()), "date", "left")
+    worth = divide(F.col("total_new_customers_value"), F.col("new_customers"), 0)
+    known = F.coalesce("complete_orders", "new_customers", "starters").isNotNull()
+    wide = wide.withColumn("avg_new_customers_value", F.when(known, worth))
+    return stable(wide.select("date", *CARD))
 
 
 _DAILY = {
@@ -66,12 +69,13 @@ FROM fact GROUP BY 1""",
 
 def _previous_sql(step: str) -> str:
     columns = ", ".join(f"p.{name} AS previous_{name}" for name in CARD)
-    return f"""SELECT CAST(c.date AS VARCHAR) AS date, {columns} FROM card c
-LEFT JOIN card p ON p.date = CAST(c.date - INTERVAL 1 {step} AS DATE)"""
+    known = " OR ".join(f"{side}.{name} IS NOT NULL" for name in CARD for side in ("c", "p"))
+    return f"""SELECT CAST(d AS VARCHAR) AS date, {columns} FROM cal LEFT JOIN card c ON c.date = d
+LEFT JOIN card p ON p.date = CAST(d - INTERVAL 1 {step} AS DATE) WHERE {known}"""
 
 
 def _previous(t: Tables, unit: str) -> DataFrame:
-    moved = w.shift_days(daily_card(t), CARD, unit, -1, "previous_")
+    moved = w.shift_days(daily_card(t), t.calendar(), CARD, unit, -1, "previous_")
     return moved.select("date", *[f"previous_{name}" for name in CARD])
 
 
@@ -113,11 +117,13 @@ def previous_month_shift(t: Tables) -> DataFrame:
 
 @query(
     "W04_mom_change",
-    f"""SELECT c."eventID", c.month, c.profit, p.profit AS profit_previous,
+    f"""SELECT "eventID", month, c.profit, p.profit AS profit_previous,
   CASE WHEN c.profit IS NOT NULL OR p.profit IS NOT NULL THEN coalesce(c.profit, 0) - coalesce(p.profit, 0) END AS profit_change,
   {div("(coalesce(c.profit, 0) - p.profit)", "p.profit", "0")} AS profit_pct,
   CAST(sign(coalesce(c.profit, 0) - coalesce(p.profit, 0)) AS INTEGER) AS profit_sign
-FROM monthly c LEFT JOIN monthly p ON c."eventID" = p."eventID" AND p.month = c.month - 1""",
+FROM (SELECT DISTINCT "eventID" FROM fact) CROSS JOIN (SELECT DISTINCT CAST(year(d) * 12 + month(d) AS INTEGER) AS month FROM cal) a
+LEFT JOIN monthly c USING ("eventID", month) LEFT JOIN (SELECT "eventID", month + 1 AS month, profit FROM monthly) p USING ("eventID", month)
+WHERE c.profit IS NOT NULL OR p.profit IS NOT NULL""",
     monthly=f"""SELECT "eventID", CAST(year("creationDate") * 12 + month("creationDate") AS INTEGER) AS month, {dbl(MEASURE_SQL["profit"])} AS profit
 FROM fact GROUP BY ALL""",
 )
@@ -125,7 +131,7 @@ def mom_change(t: Tables) -> DataFrame:
     fact = t.fact().withColumn("month", month_index(F.col("creationDate")))
     monthly = m.kpi(fact, ["profit"], ["eventID", "month"])
     monthly = monthly.withColumn("profit", F.col("profit").cast("double"))
-    return w.previous_month(stable(monthly), ["profit"], ["eventID"])
+    return w.previous_month(stable(monthly), t.calendar(), ["profit"], ["eventID"])
 
 
 _PROFIT_DAYS = {
@@ -133,6 +139,8 @@ _PROFIT_DAYS = {
   CAST(sum("totalTickets") FILTER (WHERE {OK}) AS BIGINT) AS tickets FROM fact GROUP BY 1""",
     "pde": f"""SELECT "eventID", "creationDate" AS date, sum(gross - dval) FILTER (WHERE {OK}) AS profit FROM fact GROUP BY ALL""",
     "dense": "SELECT d AS date, profit FROM cal LEFT JOIN pd ON d = pd.date",
+    "yoy": """SELECT d AS date, c.profit, p.profit AS sply FROM cal LEFT JOIN pd c ON c.date = d
+  LEFT JOIN pd p ON p.date = CAST(d - INTERVAL 1 YEAR AS DATE) WHERE c.profit IS NOT NULL OR p.profit IS NOT NULL""",
 }
 
 
@@ -148,14 +156,17 @@ def ytd(t: Tables) -> DataFrame:
 
 @query(
     "W06_qtd",
-    """SELECT "eventID", CAST(date AS VARCHAR) AS date, CAST(sum(profit) OVER (PARTITION BY "eventID", year(date), quarter(date)
-  ORDER BY date) AS DOUBLE) AS qtd FROM pde""",
+    """SELECT "eventID", CAST(date AS VARCHAR) AS date, CAST(qtd AS DOUBLE) AS qtd FROM
+(SELECT "eventID", d AS date, sum(profit) OVER (PARTITION BY "eventID", year(d), quarter(d) ORDER BY d) AS qtd
+  FROM (SELECT DISTINCT "eventID" FROM pde) CROSS JOIN cal LEFT JOIN (SELECT "eventID", date AS d, profit FROM pde) USING ("eventID", d))
+WHERE qtd IS NOT NULL""",
     **_PROFIT_DAYS,
 )
 def qtd(t: Tables) -> DataFrame:
-    """Per event, on the days with orders."""
-    series = daily(t, ["profit"], ("eventID",))
-    return w.to_date(series, "profit", "quarter", ["eventID"]).select("eventID", "date", "qtd")
+    """Per event, on every day from the first completed order of a quarter to its end."""
+    series = daily(t, ["profit"], ("eventID",)).where("profit IS NOT NULL")
+    running = w.to_date(series, "profit", "quarter", ["eventID"]).select("eventID", "date", "qtd")
+    return w.until_next(running, "quarter", ["eventID"])
 
 
 def _avg(n: int, order: str, part: str = "") -> str:
@@ -196,57 +207,106 @@ def _compare(v: str, p: str) -> str:
     return f"{change} AS change, {pct} AS pct, CAST(sign(coalesce({pct}, 0)) AS INTEGER) AS sign"
 
 
+def _long(metrics: list[str], source: str) -> str:
+    names = ", ".join(f"'{n}'" for n in metrics)
+    return f"SELECT date, unnest([{names}]) AS metric, unnest([{', '.join(dbl(n) for n in metrics)}]) AS value FROM {source}"
+
+
+def _compared(metrics: list[str], steps: dict[str, str]) -> dict[str, str]:
+    """Named subqueries: ``long`` must hold the values, ``compared`` has them beside earlier ones."""
+    arms = " ".join(f"WHEN '{name}' THEN CAST(d - INTERVAL 1 {step} AS DATE)" for name, step in steps.items())
+    return {
+        "axis": f"""SELECT d AS date, metric, versus, CASE versus {arms} END AS then_ FROM cal
+  CROSS JOIN (SELECT unnest([{", ".join(f"'{n}'" for n in metrics)}]) AS metric) CROSS JOIN (SELECT unnest([{", ".join(f"'{n}'" for n in steps)}]) AS versus)""",
+        "compared": f"""SELECT a.date, a.metric, versus, c.value, p.value AS previous, {_compare("c.value", "p.value")} FROM axis a
+  LEFT JOIN long c ON c.metric = a.metric AND c.date = a.date LEFT JOIN long p ON p.metric = a.metric AND p.date = a.then_
+  WHERE c.value IS NOT NULL OR p.value IS NOT NULL""",
+    }
+
+
+_CARD_STEPS = {"PD": "DAY", "PY": "YEAR"}
+_CARD_COMPARED = {**_DAILY, "long": _long(CARD, "card"), **_compared(CARD, _CARD_STEPS)}
+_COMPARED_SQL = "SELECT CAST(date AS VARCHAR) AS date, * EXCLUDE (date) FROM compared"
+
+
+def _compare_cards(t: Tables) -> DataFrame:
+    return w.kpi_comparison(daily_card(t), t.calendar(), CARD, {"PD": ("day", -1), "PY": ("year", -1)})
+
+
+@query("W09_kpi_comparison", _COMPARED_SQL, **_CARD_COMPARED)
+def kpi_comparison(t: Tables) -> DataFrame:
+    return _compare_cards(t)
+
+
+_SALES = list(m.SALES_CHOICE.values())
+
+
 @query(
-    "W09_kpi_comparison",
-    f"""SELECT CAST(c.date AS VARCHAR) AS date, c.metric, versus, c.value, p.value AS previous, {_compare("c.value", "p.value")}
-FROM (SELECT *, versus, CASE versus WHEN 'PD' THEN CAST(date - INTERVAL 1 DAY AS DATE) ELSE CAST(date - INTERVAL 1 YEAR AS DATE) END AS then_
-  FROM long, (VALUES ('PD'), ('PY')) x(versus)) c LEFT JOIN long p ON p.metric = c.metric AND p.date = c.then_""",
-    **_DAILY,
-    long=" UNION ALL ".join(f"SELECT date, '{n}' AS metric, {dbl(n)} AS value FROM card" for n in CARD),
+    "W09_sales_comparison",
+    _COMPARED_SQL,
+    **{
+        **_DAILY,
+        "long": _long(_SALES, "daily"),
+        **_compared(_SALES, {"PD": "DAY", "PM": "MONTH", "PY": "YEAR"}),
+    },
 )
-def kpi_comparison(t: Tables) -> DataFrame:
-    return w.kpi_comparison(daily_card(t), CARD, {"PD": ("day", -1), "PY": ("year", -1)})
+def sales_comparison(t: Tables) -> DataFrame:
+    """The five sales measures against the day before and the same day a month and a year back."""
+    shifts = {"PD": ("day", -1), "PM": ("month", -1), "PY": ("year", -1)}
+    return w.kpi_comparison(stable(daily(t, _SALES)), t.calendar(), _SALES, shifts)
+
+
+# The dates that a reader of the report has selected. Many events have no order on them.
+SELECTED = (dt.date(1995, 1, 1), dt.date(1999, 12, 31))
+_PICKED = {
+    **_PROFIT_DAYS,
+    "chosen": f"SELECT DATE '{SELECTED[0]}' AS d0, DATE '{SELECTED[1]}' AS d1",
+    "pdp": "SELECT pd.* FROM pd CROSS JOIN chosen WHERE date BETWEEN d0 AND d1",
+    "pdep": "SELECT pde.* FROM pde CROSS JOIN chosen WHERE date BETWEEN d0 AND d1",
+    "trend": f"""SELECT "eventID", d0, d1, av, bv, {_compare("bv", "av")} FROM (SELECT "eventID", any_value(d0) AS d0, any_value(d1) AS d1,
+  sum(CAST(profit AS DOUBLE)) FILTER (WHERE date = d0) AS av, sum(CAST(profit AS DOUBLE)) FILTER (WHERE date = d1) AS bv
+  FROM pdep CROSS JOIN chosen GROUP BY 1)""",
+}
 
 
 @query(
     "W10_overall_trend",
-    f"""SELECT e."eventID", CAST(e.d0 AS VARCHAR) AS first_date, CAST(e.d1 AS VARCHAR) AS last_date,
-  a.v AS first_value, b.v AS last_value, {_compare("b.v", "a.v")}
-FROM (SELECT "eventID", min(date) AS d0, max(date) AS d1 FROM pdd GROUP BY 1) e
-JOIN pdd a ON a."eventID" = e."eventID" AND a.date = e.d0 JOIN pdd b ON b."eventID" = e."eventID" AND b.date = e.d1""",
-    **_PROFIT_DAYS,
-    pdd='SELECT "eventID", date, CAST(profit AS DOUBLE) AS v FROM pde',
+    """SELECT "eventID", CAST(d0 AS VARCHAR) AS first_date, CAST(d1 AS VARCHAR) AS last_date,
+  av AS first_value, bv AS last_value, change, pct, sign FROM trend""",
+    **_PICKED,
 )
 def overall_trend(t: Tables) -> DataFrame:
-    series = daily(t, ["profit"], ("eventID",))
-    return w.overall_trend(series.withColumn("v", F.col("profit").cast("double")), "v", ["eventID"])
+    series = daily(t, ["profit"], ("eventID",)).withColumn("v", F.col("profit").cast("double"))
+    return w.overall_trend(series, "v", *SELECTED, by=["eventID"])
 
 
 @query(
     "W11_extremum_markers",
     """SELECT CAST(date AS VARCHAR) AS date, CAST(profit AS DOUBLE) AS profit,
-  CASE WHEN date = (SELECT min(date) FROM pd WHERE profit = hi) THEN CAST(hi AS DOUBLE) END AS peak,
-  CASE WHEN date = (SELECT min(date) FROM pd WHERE profit = lo) THEN CAST(lo AS DOUBLE) END AS low,
+  CASE WHEN date = (SELECT min(date) FROM pdp WHERE profit = hi) THEN CAST(hi AS DOUBLE) END AS peak,
+  CASE WHEN date = (SELECT min(date) FROM pdp WHERE profit = lo) THEN CAST(lo AS DOUBLE) END AS low,
   CASE WHEN date IN (d0, d1) THEN CAST(hi AS DOUBLE) * 1.5 END AS upper_line,
   CASE WHEN date = d0 THEN CAST(hi AS DOUBLE) * -0.5 END AS first_marker,
   CASE WHEN date = d1 THEN CAST(hi AS DOUBLE) * -0.5 END AS last_marker,
   strftime(d0, '%d/%m/%Y') AS first_label, strftime(d1, '%d/%m/%Y') AS last_label
-FROM pd, (SELECT max(profit) AS hi, min(profit) AS lo, min(date) AS d0, max(date) AS d1 FROM pd)""",
-    **_PROFIT_DAYS,
+FROM (SELECT d AS date, profit, d0, d1 FROM cal CROSS JOIN chosen LEFT JOIN pdp ON d = pdp.date WHERE pdp.date IS NOT NULL OR d IN (d0, d1)),
+  (SELECT max(profit) AS hi, min(profit) AS lo FROM pdp)""",
+    **_PICKED,
 )
 def markers(t: Tables) -> DataFrame:
-    return w.markers(daily(t, ["profit"]), "profit")
+    return w.markers(stable(daily(t, ["profit"])), "profit", *SELECTED)
 
 
 @query(
     "W11_extremum_markers_by_event",
-    """SELECT p."eventID", CAST(date AS VARCHAR) AS date, CAST(profit AS DOUBLE) AS peak FROM pde p JOIN
-(SELECT a."eventID", min(a.date) AS d FROM pde a JOIN (SELECT "eventID", max(profit) AS hi FROM pde GROUP BY 1) b
+    """SELECT p."eventID", CAST(date AS VARCHAR) AS date, CAST(profit AS DOUBLE) AS peak FROM pdep p JOIN
+(SELECT a."eventID", min(a.date) AS d FROM pdep a JOIN (SELECT "eventID", max(profit) AS hi FROM pdep GROUP BY 1) b
   ON a."eventID" = b."eventID" AND a.profit = b.hi GROUP BY 1) x ON p."eventID" = x."eventID" AND p.date = x.d""",
-    **_PROFIT_DAYS,
+    **_PICKED,
 )
 def event_peaks(t: Tables) -> DataFrame:
-    marked = w.markers(stable(daily(t, ["profit"], ("eventID",))), "profit", ["eventID"])
+    per_event = stable(daily(t, ["profit"], ("eventID",)))
+    marked = w.markers(per_event, "profit", *SELECTED, by=["eventID"])
     return marked.where("peak IS NOT NULL").select("eventID", "date", "peak")
 
 
@@ -312,32 +372,33 @@ def active_dates(t: Tables) -> DataFrame:
     return w.event_active_dates(t.fact())
 
 
-_YOY = "CASE WHEN coalesce(c.profit, 0) = 0 THEN 0 ELSE coalesce(c.profit, 0) - coalesce(p.profit, 0) END"
+_YOY = "CASE WHEN coalesce(profit, 0) = 0 THEN 0 ELSE coalesce(profit, 0) - coalesce(sply, 0) END"
 
 
 @query(
     "W15_yoy_bounds",
-    f"""SELECT CAST(c.date AS VARCHAR) AS date, CAST(c.profit AS DOUBLE) AS profit, CAST(p.profit AS DOUBLE) AS sply_profit,
-  CAST(CASE WHEN {_YOY} > 0 THEN c.profit ELSE p.profit END AS DOUBLE) AS positive_upper,
-  CAST(CASE WHEN {_YOY} < 0 THEN p.profit ELSE c.profit END AS DOUBLE) AS negative_upper
-FROM pd c LEFT JOIN pd p ON p.date = CAST(c.date - INTERVAL 1 YEAR AS DATE)""",
+    f"""SELECT CAST(date AS VARCHAR) AS date, CAST(profit AS DOUBLE) AS profit, CAST(sply AS DOUBLE) AS sply_profit,
+  CAST(CASE WHEN {_YOY} > 0 THEN profit ELSE sply END AS DOUBLE) AS positive_upper,
+  CAST(CASE WHEN {_YOY} < 0 THEN sply ELSE profit END AS DOUBLE) AS negative_upper FROM yoy""",
     **_PROFIT_DAYS,
 )
 def yoy_bounds(t: Tables) -> DataFrame:
-    moved = w.shift_days(stable(daily(t, ["profit"])), ["profit"], "year", -1, "sply_")
-    return w.yoy_bounds(moved, "profit", "sply_profit")
+    return w.yoy_bounds(_profit_and_last_year(t), "profit", "sply_profit")
+
+
+def _profit_and_last_year(t: Tables) -> DataFrame:
+    series = stable(daily(t, ["profit"]))
+    return w.shift_days(series, t.calendar(), ["profit"], "year", -1, "sply_")
 
 
 @query(
     "W16_group_max_scale",
     """SELECT CAST(date AS VARCHAR) AS date, CAST(max(greatest(profit, sply)) OVER (PARTITION BY year(date) * 12 + month(date)) AS DOUBLE) * 0.125 AS day_scale,
-  CAST(max(profit) OVER () AS DOUBLE) * 1.75 AS line_scale
-FROM (SELECT c.date, c.profit, p.profit AS sply FROM pd c LEFT JOIN pd p ON p.date = CAST(c.date - INTERVAL 1 YEAR AS DATE))""",
+  CAST(max(profit) OVER () AS DOUBLE) * 1.75 AS line_scale FROM yoy""",
     **_PROFIT_DAYS,
 )
 def day_scale(t: Tables) -> DataFrame:
-    moved = w.shift_days(stable(daily(t, ["profit"])), ["profit"], "year", -1, "sply_")
-    moved = moved.select(
+    moved = _profit_and_last_year(t).select(
         "date",
         "profit",
         month_index(F.col("date")).alias("month"),
@@ -452,25 +513,17 @@ _BODY = "CASE " + " ".join(
     "F02_card_labels",
     f"""SELECT CAST(date AS VARCHAR) AS date, metric, versus, CASE WHEN pct > 0 THEN '▲ ' || body WHEN pct = 0 THEN '—'
   WHEN pct < 0 THEN '▼ ' || body END AS label FROM (SELECT *, {_BODY} AS body FROM compared)""",
-    **_DAILY,
-    long=" UNION ALL ".join(f"SELECT date, '{n}' AS metric, {dbl(n)} AS value FROM card" for n in CARD),
-    compared=f"""SELECT c.date, c.metric, versus, p.value AS previous, {_compare("c.value", "p.value")}
-FROM (SELECT *, versus, CASE versus WHEN 'PD' THEN CAST(date - INTERVAL 1 DAY AS DATE) ELSE CAST(date - INTERVAL 1 YEAR AS DATE) END AS then_
-  FROM long, (VALUES ('PD'), ('PY')) x(versus)) c LEFT JOIN long p ON p.metric = c.metric AND p.date = c.then_""",
+    **_CARD_COMPARED,
 )
 def card_labels(t: Tables) -> DataFrame:
-    compared = w.kpi_comparison(daily_card(t), CARD, {"PD": ("day", -1), "PY": ("year", -1)})
-    return w.with_card_labels(compared).select("date", "metric", "versus", "label")
+    return w.with_card_labels(_compare_cards(t)).select("date", "metric", "versus", "label")
 
 
 @query(
     "F02_overall_trend_label",
     f"""SELECT "eventID", CASE WHEN pct > 0 THEN '▲ ' || body WHEN pct = 0 THEN 'No Change' WHEN pct < 0 THEN '▼ ' || body END AS label
-FROM (SELECT *, {_grouped("CAST(abs(pct) AS DECIMAL(28,10)) * 100")} || '% | $' || {_grouped("abs(change)")} AS body FROM
-(SELECT e."eventID", {_compare("b.v", "a.v")} FROM (SELECT "eventID", min(date) AS d0, max(date) AS d1 FROM pdd GROUP BY 1) e
-JOIN pdd a ON a."eventID" = e."eventID" AND a.date = e.d0 JOIN pdd b ON b."eventID" = e."eventID" AND b.date = e.d1))""",
-    **_PROFIT_DAYS,
-    pdd='SELECT "eventID", date, CAST(profit AS DOUBLE) AS v FROM pde',
+FROM (SELECT *, {_grouped("CAST(abs(pct) AS DECIMAL(28,10)) * 100")} || '% | $' || {_grouped("abs(change)")} AS body FROM trend)""",
+    **_PICKED,
 )
 def overall_trend_label(t: Tables) -> DataFrame:
     trend = overall_trend(t)

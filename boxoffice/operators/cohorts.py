@@ -151,6 +151,41 @@ def avg_new_customer_value(
     )
 
 
+def new_customers_by_day(fact: DataFrame) -> DataFrame:
+    """Per date: customers who buy for the first time, those who order for the first time
+    (``starters``), and the profit of the latter on that day.
+
+    The context is the day itself, so only the first dates of each customer count. Rows are
+    summed per customer and day, then per customer; nothing of that is written.
+    """
+    known = fact.where("customerID IS NOT NULL AND creationDate IS NOT NULL")
+    days = (
+        with_amounts(known)
+        .groupBy("customerID", "creationDate")
+        .agg(*[SUMS[s]().alias(s) for s in ("n_ok", "s_gross", "s_discount")])
+    )
+    profit = (F.col("s_gross") - F.col("s_discount")).alias("profit")
+    firsts = days.groupBy("customerID").agg(
+        F.min(F.struct(F.col("creationDate").alias("date"), profit)).alias("start"),
+        F.min(F.when(F.col("n_ok") > 0, F.col("creationDate"))).alias("bought"),
+    )
+    # Both dates of a customer as rows, so that the customers are formed once.
+    either = F.array(
+        F.struct(F.col("start.date").alias("date"), F.lit(True).alias("starts")),
+        F.struct(F.col("bought").alias("date"), F.lit(False).alias("starts")),
+    )
+    dated = firsts.select(F.explode(either).alias("e"), "start.profit").select("e.*", "profit")
+    return (
+        dated.where("date IS NOT NULL")
+        .groupBy("date")
+        .agg(
+            F.sum(F.when(~F.col("starts"), 1)).alias("new_customers"),
+            F.sum(F.when(F.col("starts"), 1)).alias("starters"),
+            F.sum(F.when(F.col("starts"), F.col("profit"))).alias("total_new_customers_value"),
+        )
+    )
+
+
 def new_users(customers: DataFrame, period: Column, name: str) -> DataFrame:
     """Accounts per creation period."""
     return customers.groupBy(period.alias(name)).agg(F.count_distinct("id").alias("new_users"))

@@ -1,5 +1,8 @@
 """Period comparisons, running totals, moving averages and date markers.
 
+Comparisons are made for the dates of the calendar, not of the fact: a day or month without
+rows shows what it is compared with, and is left out only if that is absent as well.
+
 Windows appear only over series that are already aggregated to days or months. Such a
 series has at most one row per calendar day and group, whatever the size of the fact, so
 also a window without partition keys sorts a few thousand rows.
@@ -7,28 +10,35 @@ also a window without partition keys sorts a few thousand rows.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from boxoffice.functions.dates import shift_date
+from boxoffice.functions.dates import month_index, shift_date
 from boxoffice.functions.labels import CARD_TEXTS, SINCE, arrow, card_label, card_parts
 from boxoffice.functions.numbers import difference, divide
 from boxoffice.operators.metrics import add_up, finish, kpi, max_of
 
 
-def shift_days(daily: DataFrame, values: Sequence[str], unit: str, n: int, prefix: str) -> DataFrame:
-    """Each date of ``daily`` with the values of the date ``n`` units away.
+def shift_days(
+    daily: DataFrame, calendar: DataFrame, values: Sequence[str], unit: str, n: int, prefix: str
+) -> DataFrame:
+    """Each calendar date with its values and those of the date ``n`` units away.
 
-    ``daily`` has one row per ``date``; dates without a counterpart get nulls.
+    ``daily`` has one row per ``date``. Dates that have none of ``values``, neither of
+    their own nor of the other date, are left out.
     """
     before = daily.select(
         F.col("date").alias("_then"), *[F.col(v).alias(f"{prefix}{v}") for v in values]
     )
     then = shift_date(F.col("date"), unit, n)
-    return daily.join(before, then == F.col("_then"), "left").drop("_then")
+    dense = calendar.select("date").join(daily, "date", "left")
+    moved = dense.join(before, then == F.col("_then"), "left").drop("_then")
+    known = [F.col(name).isNotNull() for v in values for name in (v, f"{prefix}{v}")]
+    return moved.where(F.greatest(*known))
 
 
 def shift_period(
@@ -57,9 +67,13 @@ def shift_period(
 
 
 def previous_month(
-    monthly: DataFrame, values: Sequence[str], by: Sequence[str] = ()
+    monthly: DataFrame, calendar: DataFrame, values: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Each month with the values of the calendar month before, and the changes.
+    """Each calendar month with its values, those of the month before, and the changes.
+
+    A month without rows follows from the month before it, so no product of months and
+    groups is formed. Months outside the calendar, and those without any of ``values`` on
+    either side, are left out.
 
     For each value ``v`` there are ``v_previous``, ``v_change``, ``v_pct`` and ``v_sign``.
     The sign follows the change itself, so a value after an empty month rises by 0 %.
@@ -69,7 +83,11 @@ def previous_month(
         (F.col("month") + 1).alias("month"),
         *[F.col(v).alias(f"{v}_previous") for v in values],
     )
-    joined = monthly.join(before, [*by, "month"], "left")
+    months = calendar.select(month_index(F.col("date")).alias("month")).distinct()
+    joined = monthly.join(before, [*by, "month"], "full").join(months, "month", "left_semi")
+    joined = joined.where(
+        F.greatest(*[F.col(name).isNotNull() for v in values for name in (v, f"{v}_previous")])
+    )
     out = []
     for v in values:
         change = difference(F.col(v), F.col(f"{v}_previous"))
@@ -91,6 +109,21 @@ def to_date(daily: DataFrame, value: str, unit: str, by: Sequence[str] = ()) ->
     return daily.withColumn(name, F.sum(value).over(running))
 
 
+def until_next(series: DataFrame, unit: str, by: Sequence[str] = ()) -> DataFrame:
+    """Each row on all days until the next row of its group, or the end of its year or quarter.
+
+    ``unit`` names the period, as for ``to_date``: a running total stays the same on days
+    without rows and starts again with the period.
+    """
+    months = {"year": 12, "quarter": 3}[unit]
+    start = F.trunc("date", unit)
+    following = F.lead("date").over(Window.partitionBy(*by, start).orderBy("date"))
+    until = F.coalesce(following, F.add_months(start, months))
+    days = F.explode(F.sequence("date", F.date_sub("_until", 1))).alias("date")
+    others = [c for c in series.columns if c != "date"]
+    return series.withColumn("_until", until).select(*others, days)
+
+
 def moving_avg(
     series: DataFrame, value: str, lengths: Sequence[int], unit: str = "day", by: Sequence[str] = ()
 ) -> DataFrame:
@@ -125,10 +158,16 @@ def compare(df: DataFrame, value: str, previous: str) -> DataFrame:
     )
 
 
-def kpi_comparison(daily: DataFrame, metrics: Sequence[str], previous: dict[str, tuple[str, int]]) -> DataFrame:
+def kpi_comparison(
+    daily: DataFrame,
+    calendar: DataFrame,
+    metrics: Sequence[str],
+    previous: dict[str, tuple[str, int]],
+) -> DataFrame:
     """All measures against earlier dates, as rows of ``(date, metric, versus, ...)``.
 
-    ``previous`` maps the name of a comparison to its unit and shift.
+    ``previous`` maps the name of a comparison to its unit and shift. There is a row for
+    each calendar date that has a value or a previous one.
     """
     doubles = [F.col(m).cast("double").alias(m) for m in metrics]
     long = daily.select("date", *doubles).unpivot(["date"], list(metrics), "metric", "value")
@@ -140,9 +179,13 @@ def kpi_comparison(daily: DataFrame, metrics: Sequence[str], previous: dict[str,
             ]
         )
     )
-    now = long.select("*", shifts.alias("s")).select("date", "metric", "value", "s.versus", "s.then")
+    every = F.explode(F.array(*[F.lit(name) for name in metrics]))
+    axis = calendar.select("date", every.alias("metric")).select("date", "metric", shifts.alias("s"))
+    axis = axis.select("date", "metric", "s.versus", "s.then")
     before = long.select(F.col("date").alias("then"), "metric", F.col("value").alias("previous"))
-    return compare(now.join(before, ["then", "metric"], "left").drop("then"), "value", "previous")
+    both = axis.join(long, ["date", "metric"], "left").join(before, ["then", "metric"], "left")
+    both = both.where("value IS NOT NULL OR previous IS NOT NULL").drop("then")
+    return compare(both, "value", "previous")
 
 
 def with_card_labels(compared: DataFrame) -> DataFrame:
@@ -156,25 +199,36 @@ def with_card_labels(compared: DataFrame) -> DataFrame:
     return compared.withColumns(parts).withColumn("label", arrow(F.col("pct"), body)).drop(*parts)
 
 
-def overall_trend(series: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """The value on the last date against the value on the first date of each group."""
-    ends = series.groupBy(*by).agg(
-        F.min("date").alias("first_date"),
-        F.max("date").alias("last_date"),
-        F.min(F.struct("date", F.col(value).alias("v"))).getField("v").alias("first_value"),
-        F.max(F.struct("date", F.col(value).alias("v"))).getField("v").alias("last_value"),
+def overall_trend(
+    series: DataFrame, value: str, first: dt.date, last: dt.date, by: Sequence[str] = ()
+) -> DataFrame:
+    """The value on the last date of a selection against the value on its first date.
+
+    ``first`` and ``last`` are calendar dates. A group without rows on one of them has no
+    value there; groups without rows in the selection are left out.
+    """
+    at = [F.col("date") == F.lit(d) for d in (first, last)]
+    ends = series.where(F.col("date").between(first, last)).groupBy(*by).agg(
+        F.lit(first).alias("first_date"),
+        F.lit(last).alias("last_date"),
+        F.max(F.when(at[0], F.col(value))).alias("first_value"),
+        F.max(F.when(at[1], F.col(value))).alias("last_value"),
     )
     return compare(ends, "last_value", "first_value")
 
 
-def markers(series: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def markers(
+    series: DataFrame, value: str, first: dt.date, last: dt.date, by: Sequence[str] = ()
+) -> DataFrame:
     """Peak, low and the outer dates of a series, marked on their rows.
 
-    Of several equal peaks or lows the earliest is marked. ``upper_line`` is 1.5 times the
-    maximum on the first and last date, ``first_marker`` and ``last_marker`` lie at minus
-    half of it.
+    ``first`` and ``last`` are the calendar dates of the selection; they get a row in each
+    group even where the series has none. Of several equal peaks or lows the earliest is
+    marked. ``upper_line`` is 1.5 times the maximum on the first and last date,
+    ``first_marker`` and ``last_marker`` lie at minus half of it.
     """
     v = F.col(value)
+    series = series.where(F.col("date").between(first, last))
     known = F.when(v.isNotNull(), F.struct((-v).alias("n"), F.col("date").alias("d")))
     lowest = F.when(v.isNotNull(), F.struct(v.alias("n"), F.col("date").alias("d")))
     ends = series.groupBy(*by).agg(
@@ -182,16 +236,16 @@ def markers(series: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
         F.min(v).alias("min_value"),
         F.min(known).getField("d").alias("peak_date"),
         F.min(lowest).getField("d").alias("low_date"),
-        F.min("date").alias("min_date"),
-        F.max("date").alias("max_date"),
     )
+    outer = F.explode(F.array_distinct(F.array(F.lit(first), F.lit(last)))).alias("date")
+    rows = series.join(ends.select(*by, outer), [*by, "date"], "full")
     if by:
-        joined = series.join(ends, list(by))
+        joined = rows.join(ends, list(by))
     else:
         end = ends.select(F.struct("*").alias("e")).scalar()
-        joined = series.withColumn("e", end).select("*", "e.*").drop("e")
+        joined = rows.withColumn("e", end).select("*", "e.*").drop("e")
     date, top = F.col("date"), F.col("max_value").cast("double")
-    at_first, at_last = date == F.col("min_date"), date == F.col("max_date")
+    at_first, at_last = date == F.lit(first), date == F.lit(last)
     return joined.select(
         *series.columns,
         F.when(date == F.col("peak_date"), F.col("max_value")).alias("peak"),
@@ -199,8 +253,8 @@ def markers(series: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
         F.when(at_first | at_last, top * 1.5).alias("upper_line"),
         F.when(at_first, top * -0.5).alias("first_marker"),
         F.when(at_last, top * -0.5).alias("last_marker"),
-        F.date_format("min_date", "dd/MM/yyyy").alias("first_label"),
-        F.date_format("max_date", "dd/MM/yyyy").alias("last_label"),
+        F.date_format(F.lit(first), "dd/MM/yyyy").alias("first_label"),
+        F.date_format(F.lit(last), "dd/MM/yyyy").alias("last_label"),
     )
 
 

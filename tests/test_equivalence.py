@@ -91,8 +91,10 @@ def test_median_equals_percentile(rows):
 def test_previous_day_equals_lag_on_a_dense_axis(tables):
     series = daily(tables, ["tickets"])
     dense = tables.calendar().select("date").join(series, "date", "left")
-    lagged = dense.select("date", F.lag("tickets").over(Window.orderBy("date")).alias("p_tickets"))
-    moved = timeintel.shift_days(dense, ["tickets"], "day", -1, "p_")
+    before = F.lag("tickets").over(Window.orderBy("date")).alias("p_tickets")
+    lagged = dense.select("date", "tickets", before)
+    lagged = lagged.where("tickets IS NOT NULL OR p_tickets IS NOT NULL").drop("tickets")
+    moved = timeintel.shift_days(series, tables.calendar(), ["tickets"], "day", -1, "p_")
     assert values(moved, "date", "p_tickets") == values(lagged)
 
 

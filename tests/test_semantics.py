@@ -39,9 +39,22 @@ def test_change_against_nothing(rows):
 
 
 def test_month_change_takes_its_sign_from_the_change(rows):
-    monthly = rows([(1, None), (2, 5.0), (3, 5.0), (5, 1.0)], "month int, v double")
-    got = {r["month"]: (r["v_change"], r["v_pct"], r["v_sign"]) for r in timeintel.previous_month(monthly, ["v"]).collect()}
-    assert got == {1: (None, 0.0, 0), 2: (5.0, 0.0, 1), 3: (0.0, 0.0, 0), 5: (1.0, 0.0, 1)}
+    start = 2024 * 12
+    monthly = rows([(start + 1, None), (start + 2, 5.0), (start + 3, 5.0), (start + 5, 1.0)], "month int, v double")
+    calendar = rows([(D(2024, m, d),) for m in range(1, 6) for d in (1, 2)], "date date")
+    moved = timeintel.previous_month(monthly, calendar, ["v"]).collect()
+    got = {r["month"] - start: (r["v_change"], r["v_pct"], r["v_sign"]) for r in moved}
+    # April has no rows but follows March; June is outside the calendar, January has nothing.
+    assert got == {2: (5.0, 0.0, 1), 3: (0.0, 0.0, 0), 4: (-5.0, -1.0, -1), 5: (1.0, 0.0, 1)}
+
+
+def test_month_after_the_last_row_of_a_group(rows):
+    start = 2024 * 12
+    monthly = rows([("a", start + 1, 5.0), ("b", start + 3, 2.0)], "k string, month int, v double")
+    calendar = rows([(D(2024, m, 1),) for m in range(1, 4)], "date date")
+    moved = timeintel.previous_month(monthly, calendar, ["v"], ["k"])
+    got = values(moved, "k", "month", "v", "v_previous")
+    assert got == [("a", start + 1, 5.0, None), ("a", start + 2, None, 5.0), ("b", start + 3, 2.0, None)]
 
 
 # Exact sums
@@ -304,10 +317,51 @@ def test_calendar_has_every_day(spark):
 
 def test_leap_day_moves_to_february_28(rows):
     daily = rows([(D(2023, 2, 28), 1), (D(2024, 2, 28), 2), (D(2024, 2, 29), 3)], "date date, v int")
-    got = values(timeintel.shift_days(daily, ["v"], "year", -1, "p_"), "date", "p_v")
+    got = values(timeintel.shift_days(daily, daily, ["v"], "year", -1, "p_"), "date", "p_v")
     assert got == [(D(2023, 2, 28), None), (D(2024, 2, 28), 1), (D(2024, 2, 29), 1)]
 
 
+def test_day_without_sales_shows_the_day_before(rows):
+    daily = rows([(D(2024, 1, 1), 4), (D(2024, 1, 3), 6)], "date date, v int")
+    calendar = rows([(D(2024, 1, d),) for d in range(1, 7)], "date date")
+    got = values(timeintel.shift_days(daily, calendar, ["v"], "day", -1, "p_"), "date", "v", "p_v")
+    assert got == [(D(2024, 1, 1), 4, None), (D(2024, 1, 2), None, 4), (D(2024, 1, 3), 6, None), (D(2024, 1, 4), None, 6)]
+
+
+def test_year_without_sales_is_compared_with_the_year_before(rows):
+    daily = rows([(D(2023, 12, 31), 4)], "date date, v int")
+    calendar = rows([(D(2023, 12, 31),), (D(2024, 12, 30),), (D(2024, 12, 31),)], "date date")
+    got = timeintel.kpi_comparison(daily, calendar, ["v"], {"PD": ("day", -1), "PY": ("year", -1)})
+    assert values(got, "date", "versus", "value", "previous", "change", "pct", "sign") == [
+        (D(2023, 12, 31), "PD", 4.0, None, 4.0, 0.0, 0),
+        (D(2023, 12, 31), "PY", 4.0, None, 4.0, 0.0, 0),
+        (D(2024, 12, 31), "PY", None, 4.0, -4.0, -1.0, -1),
+    ]
+
+
+def test_running_total_holds_until_the_next_sale_or_the_end(rows):
+    series = rows([(D(2024, 3, 29), 1), (D(2024, 4, 29), 2), (D(2024, 6, 29), 3)], "date date, qtd int")
+    got = values(timeintel.until_next(series, "quarter"), "date", "qtd")
+    assert got[:4] == [(D(2024, 3, 29), 1), (D(2024, 3, 30), 1), (D(2024, 3, 31), 1), (D(2024, 4, 29), 2)]
+    assert got[-3:] == [(D(2024, 6, 28), 2), (D(2024, 6, 29), 3), (D(2024, 6, 30), 3)]
+    assert len(got) == 3 + 61 + 2
+
+
+def test_trend_of_a_selection_that_starts_before_the_first_sale(rows):
+    daily = rows([("a", D(2024, 1, 2), 4.0), ("a", D(2024, 1, 5), 6.0), ("b", D(2024, 1, 1), 4.0), ("b", D(2024, 1, 5), 2.0), ("c", D(2024, 2, 1), 1.0)], "k string, date date, v double")
+    got = timeintel.overall_trend(daily, "v", D(2024, 1, 1), D(2024, 1, 5), ["k"])
+    assert values(got, "k", "first_value", "last_value", "change", "pct", "sign") == [("a", None, 6.0, 6.0, 0.0, 0), ("b", 4.0, 2.0, -2.0, -0.5, -1)]
+
+
+def test_new_customers_by_day(rows):
+    orders = rows(
+        [("x", D(2024, 1, 1), 0, 100), ("x", D(2024, 1, 2), 1, 200), ("y", D(2024, 1, 2), 1, 300), ("y", D(2024, 1, 2), 1, 50), ("y", D(2024, 1, 3), 1, 70), (None, D(2024, 1, 2), 1, 9)],
+        "customerID string, creationDate date, orderStatus int, grossUnits long",
+    ).withColumn("discount", F.lit(0.0))
+    got = values(cohorts.new_customers_by_day(orders), "date", "new_customers", "starters", "total_new_customers_value")
+    assert [(d, n, s, v if v is None else float(v)) for d, n, s, v in got] == [(D(2024, 1, 1), None, 1, None), (D(2024, 1, 2), 2, 1, 0.035)]
+
+
 def test_two_days_that_move_to_one_count_once(spark, rows):
     days = [D(2023, 2, 27), D(2023, 2, 28), D(2024, 2, 28), D(2024, 2, 29)]
     calendar = rows([(d, d.year * 100 + d.month) for d in days], "date date, ym int")
@@ -333,12 +387,22 @@ def test_last_n_days_has_n_plus_one_days(rows):
 
 def test_markers_take_the_earliest_of_equal_peaks(rows):
     daily = rows([(D(2024, 1, 1), 2), (D(2024, 1, 2), 9), (D(2024, 1, 3), 9), (D(2024, 1, 4), 2), (D(2024, 1, 5), None)], "date date, v int")
-    got = timeintel.markers(daily, "v").collect()
+    got = timeintel.markers(daily, "v", D(2024, 1, 1), D(2024, 1, 5)).collect()
     assert [r["date"] for r in got if r["peak"] is not None] == [D(2024, 1, 2)]
     assert [r["date"] for r in got if r["low"] is not None] == [D(2024, 1, 1)]
     assert {r["date"] for r in got if r["upper_line"] is not None} == {D(2024, 1, 1), D(2024, 1, 5)}
 
 
+def test_markers_stand_on_the_dates_of_the_selection(rows):
+    daily = rows([("a", D(2024, 1, 2), 8), ("a", D(2024, 1, 9), 99)], "k string, date date, v int")
+    got = timeintel.markers(daily, "v", D(2024, 1, 1), D(2024, 1, 5), ["k"])
+    assert values(got, "date", "v", "peak", "upper_line", "first_marker", "last_marker") == [
+        (D(2024, 1, 1), None, None, 12.0, -4.0, None),
+        (D(2024, 1, 2), 8, 8, None, None, None),
+        (D(2024, 1, 5), None, None, 12.0, None, -4.0),
+    ]
+
+
 def test_yoy_bounds(rows):
     df = rows([("up", 5, 3), ("down", 3, 5), ("zero", 0, 4), ("none", None, 4), ("first", 4, None)], "k string, v int, p int")
     got = {r["k"]: (r["positive_upper"], r["negative_upper"]) for r in timeintel.yoy_bounds(df, "v", "p").collect()}
