@@ -54,8 +54,8 @@ def like_filter(t: Tables) -> DataFrame:
 
 @query(
     "C04_regex_filter",
-    """SELECT event_id, event_name_en FROM dump_order_events
-WHERE regexp_matches(lower(event_name_en), '(run|marathon|trail|tri|duathlon|race)')""",
+    f"""SELECT event_id, event_name_en FROM dump_order_events
+WHERE regexp_matches(lower(event_name_en), '{models.SPORTS}')""",
 )
 def regex_filter(t: Tables) -> DataFrame:
     sports = F.lower("event_name_en").rlike(models.SPORTS)

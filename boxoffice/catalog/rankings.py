@@ -15,7 +15,7 @@ from boxoffice.operators import metrics as m
 from boxoffice.operators import quality as q
 from boxoffice.operators import ranking as r
 from boxoffice.operators import timeintel as w
-from boxoffice.operators.cohorts import cohort_counts, customer_contexts
+from boxoffice.operators.cohorts import customer_contexts, first_purchases, tagged_buyers
 from boxoffice.operators.joins import star_join
 from boxoffice.plans import raw, schemas
 from boxoffice.session import stable
@@ -64,13 +64,27 @@ def rank_events(t: Tables) -> DataFrame:
 @query(
     "S01_rank_events_by_new_customers",
     """SELECT name, new_customers, dense_rank() OVER (ORDER BY new_customers DESC NULLS LAST, name) AS rank
-FROM ev LEFT JOIN newc ON id = "eventID" WHERE id IN (SELECT "eventID" FROM okf)""",
+FROM (SELECT DISTINCT name FROM ev) LEFT JOIN newn USING (name)""",
     **_EV,
+    nfact='SELECT name, fact.* FROM fact JOIN ev ON ev.id = "eventID"',
+    newn="""SELECT name, count(DISTINCT "customerID") AS new_customers FROM nfact
+  JOIN (SELECT name, min("creationDate") AS s FROM nfact GROUP BY 1) USING (name)
+  JOIN (SELECT "customerID", min("creationDate") AS d FROM okf GROUP BY 1) USING ("customerID")
+  WHERE "orderStatus" = 1 AND d >= s GROUP BY 1""",
 )
 def rank_events_by_new_customers(t: Tables) -> DataFrame:
-    counts = cohort_counts(customer_contexts(t.fact(), ["eventID"], ()), ["eventID"])
-    named = star_join(counts, events=t.events()).select(F.col("eventName").alias("name"), "new_customers")
-    return r.rank_by(named, "new_customers", "name")
+    """All event names; those that won no customer come last.
+
+    Events of one name are one context, so a customer of two of them counts once.
+    """
+    contexts = customer_contexts(t.fact(), ["eventID"], ())
+    named = star_join(contexts, events=t.events()).withColumnRenamed("eventName", "name")
+    dates = ("first_order", "first_bought")
+    by_name = named.groupBy("name", "customerID").agg(*[F.min(d).alias(d) for d in dates])
+    tagged = tagged_buyers(by_name, ["name"], first_ever=first_purchases(contexts))
+    won = tagged.groupBy("name").agg(F.sum(F.when(F.col("is_new"), F.col("buyers"))).alias("new_customers"))
+    names = t.events().select("name").distinct()
+    return r.rank_by(stable(names.join(won, "name", "left")), "new_customers", "name")
 
 
 def event_distance_sums(t: Tables, *names: str) -> tuple[DataFrame, list[str]]:
@@ -292,7 +306,7 @@ _DUP = "SELECT '{0}.{1}' AS \"check\", count(*) AS failures FROM (SELECT {1} FRO
         [
             _DUP.format("stg_customers", "id"),
             _DUP.format("order_items", "id"),
-            "SELECT 'stg_organizers.id', 0",
+            _DUP.format("stg_organizers", "id"),
         ]
     ),
 )

@@ -42,23 +42,32 @@ def customer_contexts(
     )
 
 
-def tagged_buyers(contexts: DataFrame, by: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def first_purchases(contexts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The day of each customer's first purchase ever."""
+    bought = contexts.where("first_bought IS NOT NULL")
+    return bought.groupBy("customerID", *keep).agg(F.min("first_bought").alias("first_ever"))
+
+
+def tagged_buyers(
+    contexts: DataFrame,
+    by: Sequence[str],
+    keep: Sequence[str] = (),
+    first_ever: DataFrame | None = None,
+) -> DataFrame:
     """Buyers per context and day of their first purchase ever, with ``is_new``.
 
     ``keep`` is the part of ``by`` whose filter also holds for the past purchases (a
     payment method, a gender), while filters on event, ticket and date do not. The first
-    date of a context counts orders of any status.
+    date of a context counts orders of any status. ``first_ever`` is given where the
+    contexts do not hold all purchases.
 
     ``buyers`` and the sums are taken per day before the start of the context is joined.
     So also a context with a third of all customers is only as many rows as there are
     days, and is combined on the map side.
     """
     sums = [c for c in contexts.columns if c in SUMS]
-    first_ever = (
-        contexts.where("first_bought IS NOT NULL")
-        .groupBy("customerID", *keep)
-        .agg(F.min("first_bought").alias("first_ever"))
-    )
+    if first_ever is None:
+        first_ever = first_purchases(contexts, keep)
     days = (
         contexts.where("first_bought IS NOT NULL")
         .join(first_ever, ["customerID", *keep])

@@ -182,6 +182,19 @@ def product_phases(products: DataFrame) -> DataFrame:
     return products.select("product_id", clean_phase(raw).alias("phase")).distinct()
 
 
+def filled_phases(products: DataFrame) -> DataFrame:
+    """Distinct phases per product, an absent one filled from the phase before it.
+
+    In the order of name and phase, absent last, every name of a product is followed by all
+    its phases. So the phase before an absent one is the greatest of the product, and no
+    window over the names is needed; it stays absent where the product has no phase.
+    """
+    phases = product_phases(products)
+    greatest = phases.groupBy("product_id").agg(F.max("phase").alias("greatest"))
+    filled = F.coalesce("phase", "greatest").alias("phase")
+    return phases.join(greatest, "product_id").select("product_id", filled).distinct()
+
+
 def stg_product(order_items: DataFrame, sale_orders: DataFrame, events: DataFrame) -> DataFrame:
     """Products with each of their sale phases.
 
