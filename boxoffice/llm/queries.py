@@ -66,12 +66,20 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, folder, "documents")).drop("removed")
 
 
-def op6(spark: SparkSession, folder: str) -> DataFrame:
-    out = lines.line_dedup(_table(spark, folder, "documents"))
+def _spans(out: DataFrame) -> DataFrame:
     spans = F.transform("removed", lambda s: F.concat_ws(":", s["unit"], s["start"], s["length"]))
     return out.select("doc_id", "n_units", "n_removed", F.array_join(spans, " ").alias("removed"), F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return _spans(lines.line_dedup(_table(spark, folder, "documents")))
+
+
+def op6_any_length(spark: SparkSession, folder: str) -> DataFrame:
+    """op6 without the floor of 40 characters that its SQL states: any non-empty line."""
+    return _spans(lines.line_dedup(_table(spark, folder, "documents"), least_chars=1))
+
+
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score_documents(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -114,6 +122,7 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4,
     "op5_repeats": op5,
     "op6_line_dedup": op6,
+    "op6_line_dedup_any_length": op6_any_length,
     "op7_quality": op7,
     "op8_decontamination": op8,
     "op9_jaccard_join": op9,

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from boxoffice.llm.lines import line_dedup
+from boxoffice.llm.queries import QUERIES
 from tests.llm.conftest import ODD
 
 LINE = "This line has more than forty characters, in all of its forms."
@@ -63,3 +64,16 @@ def test_odd_rows(odd, none):
     assert by_id[1][2] == 0 and by_id[2][2] == 1 and by_id[3][1:] == (1, 0, [], "")
     assert by_id[5][4] == " \n\t " and by_id[8][2] == 0
     assert line_dedup(none).collect() == []
+
+
+def test_registered_query_without_floor(spark, small):
+    from tests.conftest import SF
+
+    got = {r.doc_id: (r.n_units, r.n_removed, r.removed) for r in QUERIES["op6_line_dedup_any_length"](spark, SF).collect()}
+    want = {
+        i: (units, gone, " ".join(":".join(map(str, s)) for s in spans))
+        for i, units, gone, spans, _ in brute(sorted(small), least=1)
+    }
+    assert got == want
+    removed = [len(normal(small_text[a : a + n])) for i, small_text in small for _, a, n in (map(int, s.split(":")) for s in got[i][2].split())]
+    assert 1 <= min(removed) < 40
