@@ -1,11 +1,15 @@
 """Benchmark passages in documents: q-gram lemma filter, then banded alignment.
 
-A benchmark item is cut into overlapping windows of ``WINDOW`` characters. A document holds a
-window if some stretch of its text is within the window's edit budget (a tenth of its length).
-By the q-gram lemma such a stretch shares at least ``length + 1 - Q * (edits + 1)`` q-grams with
-the window, all on diagonals that differ by no more than twice the budget. So shared q-grams
-are counted in overlapping bands of diagonals; bands that reach the bound are kept, and an
-alignment within the band verifies them.
+A document holds a benchmark item if some window of ``WINDOW`` characters of the item, wherever
+it starts, is within its edit budget (a tenth of its length) of some stretch of the text. By
+the q-gram lemma such a stretch shares at least ``length + 1 - Q * (edits + 1)`` q-grams with
+the window, all on diagonals that differ by no more than twice the budget. So the q-grams that
+a text shares with an item are put into overlapping bands of diagonals; every window that has
+as many of them in a band as the bound asks is verified, by plain comparison where its q-grams
+follow each other on one diagonal and by an alignment within the band elsewhere.
+
+Items under ``LEAST_CHARS`` characters have no budget worth filtering. On demand (``short``)
+they are looked for as they are, between word bounds.
 
 Texts are compared in lower case (A-Z, and capitals from U+00C0 to U+00DE), every run of white
 space as one space. Places are reported in code points of the original text.
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +34,15 @@ from pyspark.sql import functions as F
 from boxoffice.llm.common import utf8_parts
 
 Q = 8
-WINDOW, STRIDE = 80, 40
-#: Items with fewer characters are no evidence of a leak and are left out.
+WINDOW = 80
+#: Items with fewer characters are matched only exactly, and only on demand.
 LEAST_CHARS = 24
 #: Diagonals in one cell; a band is two neighbouring cells. At least twice the edit budget.
 _CELL = 16
 SLICE_CHARS = 4_000_000
 _PART = 1 << 20
+#: Longer items are indexed in pieces of so many window starts.
+_PIECE = 1 << 16
 _BITS = 22
 
 
@@ -71,51 +78,66 @@ def grams(chars: np.ndarray) -> np.ndarray:
     return four[:-4] | (four[4:] << np.uint64(32))
 
 
+def item_chars(text: str | None) -> np.ndarray:
+    """An item's compared form."""
+    return plain(code_points((text or "").strip(" \t\n\v\f\r").replace("\0", " ")))[0]
+
+
 def item_windows(text: str | None) -> list[np.ndarray]:
-    """Overlapping windows of an item's compared form."""
-    chars, _ = plain(code_points((text or "").strip(" \t\n\v\f\r").replace("\0", " ")))
+    """All windows of an item's compared form."""
+    chars = item_chars(text)
     if len(chars) < LEAST_CHARS:
         return []
-    last = max(0, len(chars) - WINDOW)
-    return [chars[s : s + WINDOW] for s in sorted({*range(0, last + 1, STRIDE), last})]
+    return [chars[s : s + WINDOW] for s in range(max(0, len(chars) - WINDOW) + 1)]
 
 
 @dataclass
 class BandIndex:
-    """The q-grams of windows: which window and where, by gram."""
+    """The q-grams of items: which piece of an item and where, by gram."""
 
-    item: np.ndarray  # of each window
-    chars: np.ndarray  # a row for each window, 0 beyond its length
-    length: np.ndarray
+    item: np.ndarray  # of each piece
+    chars: np.ndarray  # pieces one after the other
+    begin: np.ndarray  # of each piece in chars
+    size: np.ndarray
     gram: np.ndarray  # sorted, one for each posting
-    window: np.ndarray
+    piece: np.ndarray
     place: np.ndarray
+    short: list[tuple[int, np.ndarray]]  # items that are matched as they are
 
     @classmethod
-    def of(cls, items: list[tuple[int | None, str | None]]) -> BandIndex:
-        found = [(i, w) for i, (_, text) in enumerate(items) for w in item_windows(text)]
-        chars = np.zeros((len(found), WINDOW), np.uint32)
-        for row, (_, w) in zip(chars, found):
-            row[: len(w)] = w
-        length = np.array([len(w) for _, w in found], np.int64)
-        each = [grams(w) for _, w in found]
+    def of(cls, items: list[tuple[int | None, str | None]], short: bool = False) -> BandIndex:
+        found, exact = [], []
+        for i, (_, text) in enumerate(items):
+            chars = item_chars(text)
+            if len(chars) >= LEAST_CHARS:
+                starts = range(0, max(1, len(chars) - WINDOW + 1), _PIECE)
+                found += [(i, chars[s : s + _PIECE + WINDOW - 1]) for s in starts]
+            elif short and len(chars):
+                exact.append((i, chars))
+        size = np.array([len(c) for _, c in found], np.int64)
+        each = [grams(c) for _, c in found]
         gram = np.concatenate(each) if each else np.zeros(0, np.uint64)
-        window = np.repeat(np.arange(len(found)), [len(g) for g in each]).astype(np.int64)
+        piece = np.repeat(np.arange(len(found)), [len(g) for g in each]).astype(np.int64)
         place = np.concatenate([np.arange(len(g)) for g in each]) if each else np.zeros(0, np.int64)
         order = np.argsort(gram, kind="stable")
+        chars = np.concatenate([c for _, c in found]) if found else np.zeros(0, np.uint32)
         item = np.array([i for i, _ in found], np.int64)
-        return cls(item, chars, length, gram[order], window[order], place[order])
+        return cls(item, chars, np.cumsum(size) - size, size, gram[order], piece[order], place[order], exact)
 
     def prepare(self) -> None:
         """What a task works out once."""
         self.table = np.zeros(1 << _BITS, bool)
         self.distinct, self.first, self.count = np.unique(self.gram, return_index=True, return_counts=True)
         self.table[_slot(self.distinct)] = True
+        self.length = np.minimum(self.size, WINDOW)
         self.edits = np.array([edit_budget(n) for n in self.length], np.int64)
         self.bound = self.length + 1 - Q * (self.edits + 1)
+        # Added to diagonals, so that none is negative and a cell comes before the first.
+        self.shift = _CELL * (int(self.size.max(initial=0)) // _CELL + 2)
+        self.words = _word_hashes(self.short)
 
-    def candidates(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, first diagonal of the band) of every band that reaches the bound."""
+    def hits(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(piece, place, shifted diagonal) of shared q-grams in bands that reach the bound."""
         key = grams(chars)
         at = np.flatnonzero(self.table[_slot(key)])
         slot = np.searchsorted(self.distinct, key[at])
@@ -124,17 +146,125 @@ class BandIndex:
         at, slot = at[real], slot[real]
         n = self.count[slot]
         posting = np.repeat(self.first[slot] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        cell = (np.repeat(at, n) - self.place[posting] + WINDOW) // _CELL
-        cells, counts = np.unique((self.window[posting] << 40) | cell, return_counts=True)
+        piece, place = self.piece[posting], self.place[posting]
+        diagonal = np.repeat(at, n) - place + self.shift
+        cells, of, counts = np.unique((piece << 40) | (diagonal // _CELL), return_inverse=True, return_counts=True)
         # A band is a cell with the one after it, whether or not either has hits.
-        follows = np.zeros(len(cells), np.int64)
+        beside = np.zeros((2, len(cells)), np.int64)
         if len(cells) > 1:
-            follows[:-1] = np.where(cells[1:] == cells[:-1] + 1, counts[1:], 0)
-        full = counts + follows >= self.bound[cells >> 40]
-        good = cells[full]
-        # Hits in the second cell only: the band that begins one cell earlier is kept by the
-        # cell itself, whose own band reaches the same diagonals and 16 more.
-        return good >> 40, (good & ((1 << 40) - 1)) * _CELL - WINDOW
+            next_to = cells[1:] == cells[:-1] + 1
+            beside[0, :-1], beside[1, 1:] = np.where(next_to, counts[1:], 0), np.where(next_to, counts[:-1], 0)
+        full = (counts + beside.max(axis=0) >= self.bound[cells >> 40])[of]
+        return piece[full], place[full], diagonal[full]
+
+    def exact(self, chars: np.ndarray, piece, place, diagonal) -> Iterator[tuple[int, int, int, int]]:
+        """(piece, first place, shifted diagonal, characters) of equal stretches of a window or more."""
+        order = np.lexsort((place, diagonal, piece))
+        piece, place, diagonal = piece[order], place[order], diagonal[order]
+        if len(piece) == 0:
+            return
+        new = np.r_[True, (piece[1:] != piece[:-1]) | (diagonal[1:] != diagonal[:-1]) | (place[1:] != place[:-1] + 1)]
+        first = np.flatnonzero(new)
+        reach = np.diff(np.append(first, len(piece))) + Q - 1
+        for f, n in zip(first, reach):
+            if n < self.length[piece[f]]:
+                continue
+            at, there = place[f] + diagonal[f] - self.shift, self.begin[piece[f]] + place[f]
+            # Unequal q-grams may have equal numbers; such stretches are left to the alignment.
+            if np.array_equal(chars[at : at + n], self.chars[there : there + n]):
+                yield int(piece[f]), int(place[f]), int(diagonal[f]), int(n)
+
+    def candidates(self, piece, place, diagonal, equal) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(piece, start of the window, first diagonal of the band) of windows that reach the bound.
+
+        Without those that ``exact`` has found in the band.
+        """
+        if len(piece) == 0:
+            return piece, place, diagonal
+        bands, places = int(diagonal.max()) // _CELL + 2, int(self.size.max()) + 1
+        own = np.unique((piece * bands + diagonal // _CELL) * places + place)
+        # The band one cell earlier counts if it has hits of its own in that cell; if not,
+        # the cell's own band has all of them.
+        before = own - places
+        cells = np.unique(own // places)
+        at = np.minimum(np.searchsorted(cells, before // places), len(cells) - 1)
+        keys = np.unique(np.concatenate([own, before[cells[at] == before // places]]))
+        group, where = keys // places, keys % places
+        of = group // bands
+        last = np.arange(len(keys)) + self.bound[of] - 1
+        inside = last < len(keys)
+        last = np.minimum(last, len(keys) - 1)
+        span = self.length[of] - Q
+        full = inside & (group[last] == group) & (where[last] - where <= span)
+        low = np.maximum(0, where[last] - span)[full]
+        high = np.minimum(where, (self.size - self.length)[of])[full]
+        n = high - low + 1
+        start = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        windows = np.unique(np.repeat(group[full], n) * places + start)
+        done = [
+            (p * bands + d // _CELL - back) * places + np.arange(s, s + m - self.length[p] + 1)
+            for p, s, d, m in equal
+            for back in (0, 1)
+        ]
+        if done:
+            windows = np.setdiff1d(windows, np.concatenate(done), assume_unique=False)
+        group, start = windows // places, windows % places
+        return group // bands, start, group % bands * _CELL - self.shift
+
+    def shorts(self, chars: np.ndarray, opens: bool, ends: bool) -> Iterator[tuple[int, int, int]]:
+        """(item, first character, end) of short items between word bounds.
+
+        Unless the text ``opens`` or ``ends`` with ``chars``, a place at that edge is left to
+        the part beside it.
+        """
+        if not self.words:
+            return
+        word = _word_table()[chars]
+        bound = np.r_[opens, ~(word[1:] & word[:-1]), ends] if len(chars) else np.zeros(1, bool)
+        power, back = _powers(len(chars))
+        total = np.concatenate(([np.uint64(0)], np.cumsum((chars.astype(np.uint64) + np.uint64(1)) * power)))
+        for n, (hashes, items) in self.words.items():
+            at = np.flatnonzero(bound[: max(0, len(bound) - n)] & bound[n:])
+            if len(at) == 0:
+                continue
+            value = (total[at + n] - total[at]) * back[at]
+            low, high = np.searchsorted(hashes, value, "left"), np.searchsorted(hashes, value, "right")
+            for j in np.flatnonzero(high > low):
+                for k in range(low[j], high[j]):
+                    item, text = items[k]
+                    if np.array_equal(chars[at[j] : at[j] + n], text):
+                        yield item, int(at[j]), int(at[j]) + n
+
+
+#: Any odd number and its inverse: sums of characters times powers of it name stretches.
+_BASE = 0x9E3779B97F4A7C15
+_BACK = pow(_BASE, -1, 1 << 64)
+
+
+@lru_cache(maxsize=4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASE, _BACK):
+        each = np.full(max(1, n), base, np.uint64)
+        each[0] = 1
+        out.append(np.multiply.accumulate(each)[:n])
+    return out[0], out[1]
+
+
+def _word_hashes(short: list[tuple[int, np.ndarray]]) -> dict[int, tuple[np.ndarray, list[tuple[int, np.ndarray]]]]:
+    """By length: hashes in order, and their items."""
+    out: dict[int, list] = {}
+    for item, chars in short:
+        value = ((chars.astype(np.uint64) + np.uint64(1)) * _powers(len(chars))[0]).sum(dtype=np.uint64)
+        out.setdefault(len(chars), []).append((int(value), item, chars))
+    sets = {n: sorted(x, key=lambda y: y[:2]) for n, x in out.items()}
+    return {n: (np.array([v for v, _, _ in x], np.uint64), [(i, c) for _, i, c in x]) for n, x in sets.items()}
+
+
+@lru_cache(maxsize=1)
+def _word_table() -> np.ndarray:
+    """For each code point: is it a letter or digit?"""
+    return np.array([chr(i).isalnum() for i in range(0x110000)], bool)
 
 
 def _slot(key: np.ndarray) -> np.ndarray:
@@ -176,26 +306,37 @@ def align(
     return best, end
 
 
-def leaks(index: BandIndex, chars: np.ndarray, owner: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-    """(row, window, first character, end, distance) of verified windows.
+def leaks(
+    index: BandIndex, chars: np.ndarray, owner: np.ndarray, opens: bool = True, ends: bool = True
+) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(row, item, first character, end, end of the closest window, distance) of verified windows.
 
     ``chars`` are texts one after the other with a 0 after each, ``owner`` the row of each
-    character.
+    character. Windows that follow each other without an edit come as one stretch. The first
+    character is the end less the window's length.
     """
-    window, diagonal = index.candidates(chars)
-    found = []
+    for item, first, stop in index.shorts(chars, opens, ends):
+        yield int(owner[first]), item, first, stop, stop, 0
+    found = index.hits(chars)
+    equal = list(index.exact(chars, *found))
+    for piece, place, diagonal, n in equal:
+        first = place + diagonal - index.shift
+        yield int(owner[first]), int(index.item[piece]), first, first + n, first + int(index.length[piece]), 0
+    pieces, starts, diagonals = index.candidates(*found, equal)
     width = 2 * _CELL + WINDOW + 2 * (WINDOW // 10)
-    for a in range(0, len(window), 2048):
-        w, start = window[a : a + 2048], diagonal[a : a + 2048] - WINDOW // 10
+    for a in range(0, len(pieces), 2048):
+        w, s = pieces[a : a + 2048], starts[a : a + 2048]
+        start = diagonals[a : a + 2048] + s - WINDOW // 10
         at = start[:, None] + np.arange(width)
         inside = (at >= 0) & (at < len(chars))
         regions = np.where(inside, chars[np.clip(at, 0, max(0, len(chars) - 1))], 0)
-        best, end = align(index.chars[w], index.length[w], index.edits[w], regions)
+        place = (index.begin[w] + s)[:, None] + np.arange(WINDOW)
+        patterns = index.chars[np.minimum(place, len(index.chars) - 1)]
+        best, end = align(patterns, index.length[w], index.edits[w], regions)
         for j in np.flatnonzero(best <= index.edits[w]):
             stop = int(start[j] + end[j])
             first = max(0, stop - int(index.length[w[j]]))
-            found.append((int(owner[stop - 1]), int(w[j]), first, stop, int(best[j])))
-    return found
+            yield int(owner[stop - 1]), int(index.item[w[j]]), first, stop, stop, int(best[j])
 
 
 _HIT = "array<struct<item_id:bigint,start:bigint,length:bigint,distance:int>>"
@@ -215,20 +356,20 @@ def _slices(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str | None]
         yield sorted(((r["item_id"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
-def with_leaks(rows: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+def with_leaks(rows: DataFrame, benchmark: DataFrame, text_col: str = "text", short: bool = False) -> DataFrame:
     """``row`` (a struct of all columns of ``rows``) and ``leaks``, row by row.
 
     ``leaks`` has for each benchmark item that the text holds its closest window: item_id,
     start and length in code points of the text, edit distance. Nothing leaks into a null or
-    empty text, nor from items that are null or shorter than ``LEAST_CHARS``; repeated items
-    count once, items of one id together.
+    empty text, nor from items that are null or empty, nor, unless ``short``, from those under
+    ``LEAST_CHARS``; repeated items count once, items of one id together.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
     out = rows.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"), F.array().cast(_HIT).alias("leaks"))
     spark = rows.sparkSession
     schema = f"row {out.schema['row'].dataType.simpleString()}, text string, leaks {_HIT}"
     for items in _slices(benchmark):
-        index = spark.sparkContext.broadcast(BandIndex.of(items))
+        index = spark.sparkContext.broadcast(BandIndex.of(items, short))
         names = spark.sparkContext.broadcast([i for i, _ in items])
         out = out.mapInArrow(_finder(index, names), schema)
     return out.select("row", "leaks")
@@ -241,9 +382,9 @@ def _finder(index_, names_):
         for batch in batches:
             held: list[dict] = [{} for _ in range(batch.num_rows)]
             for first, data, starts in utf8_parts(batch.column(1), _PART):
-                for row, window, start, length, distance in _part(index, data, starts):
+                for row, number, start, _, length, distance in _part(index, data, starts):
                     hit = (distance, start, length)
-                    item = names[index.item[window]]
+                    item = names[number]
                     held[first + row][item] = min(hit, held[first + row].get(item, hit))
             new = [
                 [dict(item_id=i, start=s, length=n, distance=d) for i, (d, s, n) in sorted(x.items(), key=lambda y: (y[0] is None, y[0] or 0))]
@@ -256,8 +397,8 @@ def _finder(index_, names_):
     return find
 
 
-def _part(index: BandIndex, data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
-    """Hits (row, window, start, length, distance) in consecutive rows of UTF-8 bytes."""
+def _part(index: BandIndex, data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """Hits (row, item, start, length, length of the closest window, distance) in consecutive rows of UTF-8 bytes."""
     codes = code_points(data.tobytes().decode("utf-8", "replace"))
     lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
     begin = lead[starts]
@@ -270,19 +411,21 @@ def _part(index: BandIndex, data: np.ndarray, starts: np.ndarray) -> Iterator[tu
     seen = set()
     for a in range(0, max(1, len(chars)), step):
         b = min(len(chars), a + step + overlap)
-        for row, window, first, stop, distance in leaks(index, chars[a:b], owner[a:b]):
+        for row, item, first, stop, close, distance in leaks(index, chars[a:b], owner[a:b], a == 0, b == len(chars)):
             start = max(int(at[a + first]), int(begin[row]))
-            length = int(at[a + stop - 1]) + 1 - start
-            hit = (row, window, start - int(begin[row]), length, distance)
+            length, window = (int(at[a + x - 1]) + 1 - start for x in (stop, close))
+            hit = (row, item, start - int(begin[row]), length, window, distance)
             if hit not in seen:
                 seen.add(hit)
                 yield hit
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False
+) -> DataFrame:
     """One row per document: doc_id, contaminated, n_items, leaks (see ``with_leaks``)."""
     picked = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    return with_leaks(picked, benchmark).select(
+    return with_leaks(picked, benchmark, short=short).select(
         F.col("row.doc_id").alias("doc_id"),
         (F.size("leaks") > 0).alias("contaminated"),
         F.size("leaks").cast("long").alias("n_items"),
@@ -290,6 +433,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, short: bool = False) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage, with all their columns."""
-    return with_leaks(docs, benchmark).where(F.size("leaks") == 0).select("row.*")
+    return with_leaks(docs, benchmark, short=short).where(F.size("leaks") == 0).select("row.*")

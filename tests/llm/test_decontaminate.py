@@ -121,3 +121,40 @@ def test_budget_and_bound():
     assert [d.edit_budget(n) for n in (80, 24, 40)] == [8, 2, 4]
     assert all(n + 1 - d.Q * (d.edit_budget(n) + 1) >= 1 for n in range(24, 81))
     assert np.all(d.plain(d.code_points("A \t B"))[0] == d.code_points("a b"))
+
+
+def one_item(items):
+    return [(i, "".join(map(chr, d.item_chars(t)))) for i, t in items if len(t) > 230][:1]
+
+
+def test_quotes_may_start_anywhere_in_an_item(spark, items):
+    ((item, text),) = bench = one_item(items)
+    starts = range(len(text) - 79)
+    quotes = [(s, f"zq jx vk wq {text[s : s + 80]} qz xj kv qw") for s in starts]
+    got = found(spark, quotes, bench)
+    assert [s for s in starts if [x.item_id for x in got[s].leaks] != [item]] == []
+    # Eight edits far apart, the first and the last at the edges.
+    apart = {0, 11, 22, 33, 44, 55, 66, 79}
+    worn = [(s, "".join("§" if k in apart else c for k, c in enumerate(text[s : s + 80]))) for s in starts]
+    got = found(spark, worn, bench)
+    assert [s for s in starts if not got[s].contaminated] == []
+
+
+def test_short_items_stand_between_word_bounds(spark, items):
+    bench = [(1, "Blue  whale"), (2, "42"), (3, "(x)"), (4, "été"), (None, "end"), (5, " "), *((9, t) for _, t in one_item(items))]
+    rows = [(1, "a BLUE\nwhale, 42"), (2, "blue whales 421 142 weekend étés"), (3, "f(x)=42."), (4, "ÉTÉ end"), (5, None), (6, "")]
+    rows += [(7, "a" * (1 << 20) + " " + "b" * 1000 + " blue whale"), (8, "x" * ((1 << 20) - 3) + "blue whale" + " y" * 300)]
+    docs, few = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    got = {r.doc_id: [(x.item_id, x.start, x.length, x.distance) for x in r.leaks] for r in d.find_leaks(docs, few, short=True).collect()}
+    assert got[1] == [(1, 2, 10, 0), (2, 14, 2, 0)] and got[2] == []
+    assert got[3] == [(2, 5, 2, 0), (3, 1, 3, 0)] and got[4] == [(4, 0, 3, 0), (None, 4, 3, 0)]
+    assert got[5] == got[6] == got[8] == [] and [x[0] for x in got[7]] == [1]
+    assert {r.doc_id for r in d.drop_contaminated(docs, few, short=True).collect()} == {2, 5, 6, 8}
+    assert not any(r.contaminated for r in d.find_leaks(docs, few).collect())
+
+
+def test_long_items_are_indexed_in_pieces(spark, items, monkeypatch):
+    ((item, text),) = bench = one_item(items)
+    monkeypatch.setattr(d, "_PIECE", 50)
+    quotes = [(s, f"zq jx vk {text[s : s + 80]} qz xj") for s in range(0, len(text) - 79, 7)]
+    assert all(r.contaminated for r in found(spark, quotes, bench).values())
