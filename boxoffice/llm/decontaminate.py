@@ -22,7 +22,7 @@ benchmark means more slices, not larger ones.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -343,6 +343,7 @@ _HIT = "array<struct<item_id:bigint,start:bigint,length:bigint,distance:int>>"
 _HITS = pa.list_(
     pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("distance", pa.int32())])
 )
+_FOUND = ["leaks", "regions"]
 
 
 def _slices(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str | None]]]:
@@ -357,22 +358,37 @@ def _slices(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str | None]
 
 
 def with_leaks(rows: DataFrame, benchmark: DataFrame, text_col: str = "text", short: bool = False) -> DataFrame:
-    """``row`` (a struct of all columns of ``rows``) and ``leaks``, row by row.
+    """``row`` (a struct of all columns of ``rows``), ``leaks`` and ``regions``, row by row.
 
     ``leaks`` has for each benchmark item that the text holds its closest window: item_id,
-    start and length in code points of the text, edit distance. Nothing leaks into a null or
+    start and length in code points of the text, edit distance. ``regions`` has, for the same
+    items, all stretches that verified windows cover, in order of item and start: windows that
+    overlap or touch are one region, with the least distance among them. A stretch that was
+    aligned begins its window's length before its end. Nothing leaks into a null or
     empty text, nor from items that are null or empty, nor, unless ``short``, from those under
     ``LEAST_CHARS``; repeated items count once, items of one id together.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    out = rows.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"), F.array().cast(_HIT).alias("leaks"))
+    out = rows.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"), *[F.array().cast(_HIT).alias(c) for c in _FOUND])
     spark = rows.sparkSession
-    schema = f"row {out.schema['row'].dataType.simpleString()}, text string, leaks {_HIT}"
+    schema = f"row {out.schema['row'].dataType.simpleString()}, text string, leaks {_HIT}, regions {_HIT}"
     for items in _slices(benchmark):
         index = spark.sparkContext.broadcast(BandIndex.of(items, short))
         names = spark.sparkContext.broadcast([i for i, _ in items])
         out = out.mapInArrow(_finder(index, names), schema)
-    return out.select("row", "leaks")
+    return out.select("row", *_FOUND)
+
+
+def _united(spans: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Maximal (start, end, least distance) of spans that overlap or touch."""
+    out: list[tuple[int, int, int]] = []
+    for start, end, distance in sorted(spans):
+        if out and start <= out[-1][1]:
+            first, last, least = out[-1]
+            out[-1] = (first, max(last, end), min(least, distance))
+        else:
+            out.append((start, end, distance))
+    return out
 
 
 def _finder(index_, names_):
@@ -381,18 +397,25 @@ def _finder(index_, names_):
         index.prepare()
         for batch in batches:
             held: list[dict] = [{} for _ in range(batch.num_rows)]
+            spans: list[dict] = [{} for _ in range(batch.num_rows)]
             for first, data, starts in utf8_parts(batch.column(1), _PART):
-                for row, number, start, _, length, distance in _part(index, data, starts):
-                    hit = (distance, start, length)
+                for row, number, start, length, window, distance in _part(index, data, starts):
+                    hit = (distance, start, window)
                     item = names[number]
                     held[first + row][item] = min(hit, held[first + row].get(item, hit))
-            new = [
-                [dict(item_id=i, start=s, length=n, distance=d) for i, (d, s, n) in sorted(x.items(), key=lambda y: (y[0] is None, y[0] or 0))]
-                for x in held
+                    spans[first + row].setdefault(item, []).append((start, start + length, distance))
+            by_id = lambda x: sorted(x.items(), key=lambda y: (y[0] is None, y[0] or 0))
+            close = [[dict(item_id=i, start=s, length=n, distance=d) for i, (d, s, n) in by_id(x)] for x in held]
+            whole = [
+                [dict(item_id=i, start=s, length=e - s, distance=d) for i, x in by_id(y) for s, e, d in _united(x)]
+                for y in spans
             ]
-            if any(batch.column(2).value_lengths().to_pylist()):
-                new = [a + b for a, b in zip(batch.column(2).to_pylist(), new)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(new, _HITS)], names=["row", "text", "leaks"])
+            columns = [batch.column(0), batch.column(1)]
+            for place, new in ((2, close), (3, whole)):
+                if any(batch.column(place).value_lengths().to_pylist()):
+                    new = [a + b for a, b in zip(batch.column(place).to_pylist(), new)]
+                columns.append(pa.array(new, _HITS))
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "text", *_FOUND])
 
     return find
 
@@ -423,13 +446,13 @@ def _part(index: BandIndex, data: np.ndarray, starts: np.ndarray) -> Iterator[tu
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False
 ) -> DataFrame:
-    """One row per document: doc_id, contaminated, n_items, leaks (see ``with_leaks``)."""
+    """One row per document: doc_id, contaminated, n_items, leaks, regions (see ``with_leaks``)."""
     picked = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     return with_leaks(picked, benchmark, short=short).select(
         F.col("row.doc_id").alias("doc_id"),
         (F.size("leaks") > 0).alias("contaminated"),
         F.size("leaks").cast("long").alias("n_items"),
-        "leaks",
+        *_FOUND,
     )
 
 

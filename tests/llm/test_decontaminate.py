@@ -158,3 +158,21 @@ def test_long_items_are_indexed_in_pieces(spark, items, monkeypatch):
     monkeypatch.setattr(d, "_PIECE", 50)
     quotes = [(s, f"zq jx vk {text[s : s + 80]} qz xj") for s in range(0, len(text) - 79, 7)]
     assert all(r.contaminated for r in found(spark, quotes, bench).values())
+
+
+def test_regions_cover_all_that_was_copied(spark, items):
+    ((item, text),) = bench = one_item(items)
+    other = next(b for b in items if b[0] != item)
+    worn = text[:110] + "§" + text[111:]
+    foreign = " zq jx vk wq" * 20
+    rows = [(1, f"{foreign} {text} {foreign} {text[20:130]}{foreign}"), (2, f"{foreign} {worn}{foreign}"), (3, f"{text} {other[1]}"), (4, foreign)]
+    got = {i: found(spark, rows, [*bench, other])[i] for i in range(1, 5)}
+    cut = lambda n: [(x.item_id, rows[n - 1][1][x.start : x.start + x.length], x.distance) for x in got[n].regions]
+    (a, whole, da), (b, part, db) = cut(1)
+    assert a == b == item and da == db == 0 and text in whole and text[20:130] in part
+    # The windows at the edges may lie within the budget with some foreign characters.
+    assert len(whole) <= len(text) + 16 and len(part) <= 110 + 16
+    ((_, stretch, distance),) = cut(2)
+    assert worn in stretch and len(stretch) <= len(worn) + 16 and distance == 0
+    assert sorted({x.item_id for x in got[3].regions}) == sorted([item, other[0]]) == sorted(x.item_id for x in got[3].leaks)
+    assert got[1].n_items == 1 and len(got[1].leaks) == 1 and got[4].regions == []
