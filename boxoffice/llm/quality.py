@@ -8,8 +8,8 @@ documents; a document's score is the sigmoid of the classifier on the weighted m
 passages.
 
 Scale. The model is fitted on the driver from at most ``FIT_DOCS`` labelled documents, chosen
-by a hash of their ids, and at most ``FIT_PASSAGES`` passages of each; both bounds are
-parameters and the only place where rows are sampled. Scoring reads every whole text once,
+by a hash of their ids, with all passages of each (64 bytes for a passage); the bound is a
+parameter and the only place where rows are sampled. Scoring reads every whole text once,
 where it lies, without a shuffle; attention is a weighted sum, so a very long document is
 scored in parts that are added up.
 """
@@ -29,7 +29,7 @@ from boxoffice.llm.common import id_and_text, row_key, rows_to_batch, spark_sche
 PASSAGE = 512
 #: Bytes that are encoded together; a task needs about 50 times as much memory for it.
 _PART = 1 << 20
-FIT_DOCS, FIT_PASSAGES = 6000, 64
+FIT_DOCS = 6000
 
 # Kinds of bytes; the lead bytes of non-ASCII letters count as "other".
 _SPACE, _LOWER, _UPPER, _DIGIT, _STOP, _SIGN, _OTHER, _REST = range(8)
@@ -207,14 +207,13 @@ def learn(
     labels: DataFrame,
     label_col: str = "quality",
     fit_docs: int = FIT_DOCS,
-    fit_passages: int = FIT_PASSAGES,
     seed: int = 5,
 ) -> Model:
     """Fit on labelled documents that are not held out.
 
     ``docs`` has doc_id and text, ``labels`` doc_id and 0 or 1. Labels without id or value are
     left out; several labels of a document are averaged. At most ``fit_docs`` labelled ids are
-    used, the first by a hash, and the first ``fit_passages`` passages of each text.
+    used, the first by a hash, each with all passages of its text.
     """
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull())
@@ -232,15 +231,14 @@ def learn(
         for batch in batches:
             ids, targets, keys = (batch.column(i).to_pylist() for i in (0, 1, 3))
             for first, data, starts in utf8_parts(batch.column(2), _PART):
-                vectors, owner = passages(data, starts)
-                cut = np.searchsorted(owner, np.arange(len(starts)))
-                yield rows_to_batch(
-                    [
-                        (ids[first + i], keys[first + i], targets[first + i], vectors[a : min(b, a + fit_passages)].tobytes())
-                        for i, (a, b) in enumerate(zip(cut, cut[1:]))
-                    ],
-                    _FIT,
-                )
+                if len(starts) == 2:
+                    bags = [b"".join(v.tobytes() for v in in_parts(data))]
+                else:
+                    vectors, owner = passages(data, starts)
+                    cut = np.searchsorted(owner, np.arange(len(starts)))
+                    bags = [vectors[a:b].tobytes() for a, b in zip(cut, cut[1:])]
+                at = range(first, first + len(bags))
+                yield rows_to_batch([(ids[i], keys[i], targets[i], x) for i, x in zip(at, bags)], _FIT)
 
     bags = met.mapInArrow(encode, spark_schema(_FIT)).dropDuplicates(["doc_id", "row"])
     # An id that many rows share must not outgrow the bound.
@@ -278,23 +276,31 @@ def with_scores(rows: DataFrame, model: Model, text_col: str = "text") -> DataFr
 _STEP = 1 << 11
 
 
-def score_rows(model: Model, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    n = len(starts) - 1
-    if n > 1 or len(data) <= _STEP * PASSAGE:
-        vectors, owner = passages(data, starts)
-        return model.score(vectors, owner, n), np.bincount(owner, minlength=n)
-    weights = votes = count = 0.0
+def in_parts(data: np.ndarray) -> Iterator[np.ndarray]:
+    """The vectors of one text's passages, in parts of about ``_STEP`` of them."""
+    if len(data) <= _STEP * PASSAGE:
+        yield passages(data, np.array([0, len(data)]))[0]
+        return
     at = 0
     while at < len(data):
         # A part ends before the first word of a passage, so it has whole passages only.
         end = min(len(data), (at // PASSAGE + _STEP) * PASSAGE)
         while end < len(data) and (_KIND[data[end]] == _SPACE or _KIND[data[end - 1]] != _SPACE):
             end += 1
-        vectors, _ = passages(data[at:end], np.array([0, end - at]), at)
+        yield passages(data[at:end], np.array([0, end - at]), at)[0]
+        at = end
+
+
+def score_rows(model: Model, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n = len(starts) - 1
+    if n > 1 or len(data) <= _STEP * PASSAGE:
+        vectors, owner = passages(data, starts)
+        return model.score(vectors, owner, n), np.bincount(owner, minlength=n)
+    weights = votes = count = 0.0
+    for vectors in in_parts(data):
         attention, vote = model.parts(vectors)
         weight = np.exp(attention)
         weights, votes, count = weights + weight.sum(), votes + (weight * vote).sum(), count + len(vote)
-        at = end
     return np.array([1 / (1 + np.exp(-np.clip(votes / weights, -500, 500)))]), np.array([int(count)])
 
 

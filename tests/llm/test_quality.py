@@ -77,3 +77,19 @@ def test_odd_rows(spark, odd, none):
     kept = quality.keep_good(odd, some.where("false"))
     assert kept.columns == odd.columns and kept.count() == len(ODD)
     assert len(bag(LONG)) == len(LONG) // 512 + 1
+
+
+def test_the_fit_takes_all_passages(spark, monkeypatch):
+    clean = "The band plays its second concert in the old town hall tonight, and seats are left. " * 420
+    texts = {1: clean + "$$ BUY !!! 99 " * 600, 2: clean, 3: LONG, 4: "", 6: "word"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
+    held = []
+    monkeypatch.setattr(quality, "fit", lambda vectors, owner, target, seed: held.append((vectors, owner, target)))
+    quality.learn(docs, labels)
+    ((vectors, owner, target),) = held
+    used = {r.doc_id for r in docs.where(~quality.held_out(F.col("doc_id"))).collect()}
+    assert {1, 3} & used and len(target) == len(used)
+    bags = sorted(vectors[owner == i].astype(np.float32).tobytes() for i in range(len(target)))
+    assert bags == sorted(bag(texts[i]).tobytes() for i in used)
+    assert max(len(bag(texts[i])) for i in used) > 64
