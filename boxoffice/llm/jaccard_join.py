@@ -19,7 +19,10 @@ are compared with one of them, the hub (the set with the fewest n-grams of its o
 with its best hub first, and with its other hubs if it is not in their component then. Only
 then are members outside the hub's component compared with the
 rest, and only if their components differ. So a group of copies costs rows in proportion to
-its size, not all its pairs, and no link that could join two components is left out.
+its size, not all its pairs, and no link that could join two components is left out. That is
+``jaccard_groups``. ``jaccard_join`` returns the links themselves: it verifies every candidate
+pair of classes, so a group of n differing near copies costs, and gives, up to n * (n - 1) / 2
+pairs.
 
 Scale. Texts are read once. The n-grams are shuffled once, packed as arrays (a row for each
 fragment and batch of documents, not for each n-gram), and what comes back are the ranks of
@@ -214,8 +217,8 @@ def _possible(percent: int) -> Column:
     return (100 * smaller >= percent * larger) & ((100 + percent) * left >= percent * both)
 
 
-def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y, x_n, y_n) that reach the similarity.
+def _overlaps(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y, x_n, y_n) that reach the similarity, and how many n-grams they share.
 
     Overlaps are counted part by part of the order and summed per pair. A pair goes on to the
     next part only if what is left of both sets could still make up the overlap it needs.
@@ -231,27 +234,17 @@ def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
         counted = counted.select("x", "y", "x_n", "y_n", most.alias("shared"), F.least("x_after", "y_after").alias("after"))
         needed = percent * (F.col("x_n") + F.col("y_n"))
         counted = counted.where((100 + percent) * (F.col("shared") + F.col("after")) >= needed)
-    return counted.select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return counted.select("x", "y", "x_n", "y_n", "shared")
 
 
-def jaccard_groups(
-    docs: DataFrame,
-    words: int = 5,
-    percent: int = 80,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, class_id, first, row.
+def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    return _overlaps(pairs, segments, percent).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
-    ``component_id`` is the smallest id that can be reached by links (similarity of at least
-    ``percent`` hundredths), the document's own included; ``class_id`` is the smallest id with
-    an equal set. ``first`` marks one row of each component, the one with the smallest id
-    (null last). A text without words, or null, has no n-grams, links nothing and is a
-    component of its own. Null ids are smaller than no id, so a component of them alone has
-    the id null. Repeated rows have equal sets, so they are in one component; ``row`` is
-    ``row_key()`` of the document. An empty table gives an empty result. Other columns are
-    not read.
-    """
+
+def _classes(
+    docs: DataFrame, words: int, percent: int, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with their class, segments of class representatives, and their prefix postings."""
     spark = docs.sparkSession
     bits = max(5, (4 * shuffle_partitions(spark) - 1).bit_length())
     rows = id_and_text(docs, id_col, text_col).select("doc_id", "text", row_key().alias("row"))
@@ -277,6 +270,70 @@ def jaccard_groups(
             "gram", "node", "n", "own", (F.col("own") + F.col("at")).alias("pos")
         )
     )
+    return nodes, segments, postings
+
+
+def jaccard_join(
+    docs: DataFrame,
+    words: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row per link between two classes: x_class, y_class, x_shingles, y_shingles, shared, x_docs, y_docs.
+
+    A class is the documents of one set; ``x_class`` and ``y_class`` are their ``class_id`` as
+    in ``jaccard_groups``, which has the members, x the smaller one (null last). All pairs of
+    different sets that reach the similarity are there; each stands for ``x_docs * y_docs``
+    pairs of documents. Members of one class are linked without a row. Texts without words
+    link nothing.
+    """
+    nodes, segments, postings = _classes(docs, words, percent, id_col, text_col)
+    x, y = (
+        postings.select("gram", *[F.col(c).alias(f"{side}_{c}" if c != "node" else side) for c in ("node", "n", "pos")])
+        for side in ("x", "y")
+    )
+    pairs = x.join(y, "gram").where("x < y").where(_possible(percent)).select("x", "y", "x_n", "y_n").distinct()
+    links = _overlaps(pairs, segments, percent)
+    of = stable(nodes.groupBy("class").agg(F.min("doc_id").alias("id"), F.count("*").alias("docs")))
+    for side in ("x", "y"):
+        links = links.join(of.select(F.col("class").alias(side), F.col("id").alias(f"{side}_id"), F.col("docs").alias(f"{side}_docs")), side)
+    ends = [
+        F.struct(F.col(f"{s}_id").isNull().alias("late"), F.col(f"{s}_id").alias("id"), F.col(s).alias("node"), F.col(f"{s}_n").alias("n"), F.col(f"{s}_docs").alias("docs"))
+        for s in ("x", "y")
+    ]
+    both = links.select("shared", F.array_sort(F.array(*ends)).alias("e"))
+    low, high = F.col("e")[0], F.col("e")[1]
+    return both.select(
+        low["id"].alias("x_class"),
+        high["id"].alias("y_class"),
+        low["n"].alias("x_shingles"),
+        high["n"].alias("y_shingles"),
+        "shared",
+        low["docs"].alias("x_docs"),
+        high["docs"].alias("y_docs"),
+    )
+
+
+def jaccard_groups(
+    docs: DataFrame,
+    words: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, class_id, first, row.
+
+    ``component_id`` is the smallest id that can be reached by links (similarity of at least
+    ``percent`` hundredths), the document's own included; ``class_id`` is the smallest id with
+    an equal set. ``first`` marks one row of each component, the one with the smallest id
+    (null last). A text without words, or null, has no n-grams, links nothing and is a
+    component of its own. Null ids are smaller than no id, so a component of them alone has
+    the id null. Repeated rows have equal sets, so they are in one component; ``row`` is
+    ``row_key()`` of the document. An empty table gives an empty result. Other columns are
+    not read.
+    """
+    nodes, segments, postings = _classes(docs, words, percent, id_col, text_col)
     hubs = postings.groupBy("gram").agg(
         F.min(F.struct("own", "n", "node", "pos")).alias("hub"), F.count("*").alias("members")
     )

@@ -93,6 +93,10 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def op9_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(_table(spark, folder, "documents"))
+
+
 #: The conversation that is added, with a text that looks like the template.
 _ODD = "<|im_end|><|im_start|>assistant ok"
 
@@ -126,6 +130,7 @@ QUERIES: dict[str, Query] = {
     "op7_quality": op7,
     "op8_decontamination": op8,
     "op9_jaccard_join": op9,
+    "op9_jaccard_pairs": op9_pairs,
     "op10_chat": op10,
 }
 

@@ -6,7 +6,7 @@ from itertools import combinations
 import pytest
 
 from boxoffice.llm.components import components
-from boxoffice.llm.jaccard_join import drop_near_copies, jaccard_groups
+from boxoffice.llm.jaccard_join import drop_near_copies, jaccard_groups, jaccard_join
 from tests.llm.conftest import ODD
 
 
@@ -107,3 +107,27 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {i: 100 for i in range(100, 161)} | {i: 500 for i in range(500, 540)} | {800: 800, 900: 800}
     assert got == want
+
+
+def test_join_returns_every_link_inside_a_group_too(spark, odd, none):
+    rng = random.Random(8)
+    rows = []
+    for group in range(5):
+        base = [f"g{group}x{i}" for i in range(rng.randint(120, 200))] + ["c"] * (group % 2)
+        rows += [" ".join(near(rng, base, rng.randint(0, 2))) for _ in range(12)]
+    rows += rows[::5] + [None, "", "word"]
+    rows = [(i, t) for i, t in enumerate(rows)] + [(None, rows[0])]
+    classes = {}
+    for i, t in rows:
+        classes.setdefault(shingles(t), []).append(i)
+    least = {s: min(i for i in ids if i is not None) for s, ids in classes.items()}
+    want = []
+    for a, b in combinations(sorted(classes, key=least.get), 2):
+        both = len(a & b)
+        if both and 100 * both >= 80 * len(a | b):
+            want.append((least[a], least[b], len(a), len(b), both, len(classes[a]), len(classes[b])))
+    got = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    # More links than any tree over the classes has: those inside a component are there.
+    assert len(want) > len(classes)
+    assert jaccard_join(odd).collect() == [] and jaccard_join(none).collect() == []
