@@ -15,7 +15,7 @@ from boxoffice.operators import metrics as m
 from boxoffice.operators import quality as q
 from boxoffice.operators import ranking as r
 from boxoffice.operators import timeintel as w
-from boxoffice.operators.cohorts import customer_contexts, first_purchases, tagged_buyers
+from boxoffice.operators.cohorts import cohort_counts, customer_contexts, first_purchases, tagged_buyers
 from boxoffice.operators.joins import star_join
 from boxoffice.plans import raw, schemas
 from boxoffice.session import stable
