@@ -12,9 +12,11 @@ from boxoffice.llm import (
     chat,
     decontaminate,
     exact_dedup,
+    fim,
     jaccard_join,
     lines,
     packing,
+    prefix_trie,
     quality,
     repeats,
     token_blocks,
@@ -119,6 +121,26 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    out = fim.fill_in_middle(_table(spark, folder, "documents"))
+    cut = F.col("form") != "plain"
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return out.select(
+        "doc_id",
+        "n",
+        "form",
+        F.when(cut, F.col("cut_a")).alias("prefix_chars"),
+        F.when(cut, F.col("cut_b") - F.col("cut_a")).alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.numbered_turns(_table(spark, folder, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.share_openings(turns))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1,
     "op2_token_blocks": op2,
@@ -132,6 +154,8 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard_join": op9,
     "op9_jaccard_pairs": op9_pairs,
     "op10_chat": op10,
+    "op12_fill_in_middle": op12,
+    "op13_prefix_trie": op13,
 }
 
 __all__ = ["QUERIES", "SQL"]

@@ -96,9 +96,84 @@ SELECT conv_id,
 FROM escaped GROUP BY conv_id
 """
 
+_OP12 = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), hashed AS (
+  SELECT doc_id, text, n,
+    CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS x, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS y,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+      WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM t
+), cut AS (
+  SELECT *, substr(text, 1, least(x, y)) AS p, substr(text, least(x, y) + 1, greatest(x, y) - least(x, y)) AS m,
+    substr(text, greatest(x, y) + 1) AS s
+  FROM hashed
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN least(x, y) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN greatest(x, y) - least(x, y) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+    ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""
+
+#: crc32 is taken bit by bit, as DuckDB has no function for it; 3988292384 and 4294967295 are its fixed values.
+_OP13 = r"""
+WITH RECURSIVE ids AS (
+  SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM conversations WHERE conv_id IS NOT NULL
+), bits AS (
+  SELECT conv_id, s, CAST(0 AS BIGINT) AS i, CAST(4294967295 AS BIGINT) AS c FROM ids
+  UNION ALL
+  SELECT conv_id, s, i + 1,
+    CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END
+  FROM (SELECT conv_id, s, i, CASE WHEN i % 8 = 0 THEN xor(c, CAST(ascii(substr(s, i // 8 + 1, 1)) AS BIGINT)) ELSE c END AS x
+    FROM bits WHERE i < 8 * length(s))
+), t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(c, 4294967295) % 9 AS h FROM bits WHERE i = 8 * length(s)
+), built AS (
+  SELECT o.conv_id, 0 AS part, t.pos, t.role, t.text FROM own o JOIN t ON t.conv_id = o.base AND t.pos < o.h
+  UNION ALL SELECT o.conv_id, 1, t.pos, t.role, t.text FROM own o JOIN t ON t.conv_id = o.conv_id AND t.pos >= o.h
+), paths AS (
+  SELECT conv_id, row_number() OVER w AS depth, list({'role': role, 'text': text}) OVER w AS path, strlen(text) AS n_bytes
+  FROM built WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)
+  UNION ALL SELECT conv_id, 0, [], 0 FROM ids
+), named AS (
+  SELECT conv_id, depth, n_bytes, min(conv_id) OVER (PARTITION BY depth, path) AS node,
+    depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+  FROM paths
+), nodes AS (
+  SELECT node, depth, count(*) AS n_convs, max(n_bytes) AS n_bytes,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM named GROUP BY node, depth
+), linked AS (
+  SELECT n.*, p.node AS parent FROM nodes n LEFT JOIN named p ON p.conv_id = n.node AND p.depth = n.depth - 1
+), counted AS (
+  SELECT l.*, coalesce(k.n, 0) AS n_children
+  FROM linked l LEFT JOIN (SELECT parent, depth - 1 AS depth, count(*) AS n FROM linked WHERE depth > 0 GROUP BY ALL) k
+    ON k.parent = l.node AND k.depth = l.depth
+), below AS (
+  SELECT u.node, u.depth, count(*) FILTER (v.n_children = 0) AS n_leaves, sum((v.n_convs - 1) * v.n_bytes) AS saved
+  FROM counted v JOIN named u ON u.conv_id = v.node AND u.depth <= v.depth GROUP BY u.node, u.depth
+)
+SELECT c.node AS conv_id, c.depth, c.parent AS parent_conv_id, c.n_convs, c.n_children, b.n_leaves,
+  CAST(b.saved AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN below b ON b.node = c.node AND b.depth = c.depth
+"""
+
 SQL: dict[str, str] = {
     "op1_exact_dedup": _OP1,
     "op3_url_filter": _OP3,
     "op6_line_dedup": _OP6,
     "op10_chat": _OP10,
+    "op12_fill_in_middle": _OP12,
+    "op13_prefix_trie": _OP13,
 }
