@@ -13,8 +13,8 @@ from boxoffice.functions.text import replace_text, title_case
 from boxoffice.operators.dedup import keep_first, keep_latest
 from boxoffice.plans import raw, schemas
 from boxoffice.session import scratch_path
-from boxoffice.sources.json_array import read_json_array, write_json_arrays
-from boxoffice.sources.sinks import overwrite_load
+from boxoffice.sources.json_array import CountedDump, write_json_arrays
+from boxoffice.sources.sinks import current_table, overwrite_load
 
 
 @query("B01_parse_mixed_date_coerce", "SELECT code, CAST(birthday AS VARCHAR) AS birthday FROM raw_customers")
@@ -82,12 +82,12 @@ def strict_datetimes(t: Tables) -> DataFrame:
 
 
 def _loaded(t: Tables, dump: DataFrame, schema, name: str, clean=None) -> DataFrame:
-    """Dump to JSON arrays, scan, clean, load, and read the loaded table."""
+    """Dump to JSON arrays; scan, count, clean and load in one pass; read the loaded table."""
     source, target = scratch_path(t.spark, f"{name}-dump"), scratch_path(t.spark, name)
     write_json_arrays(dump, source)
-    rows = read_json_array(t.spark, source, schema)
-    overwrite_load(clean(rows) if clean else rows, target)
-    return t.spark.read.parquet(target)
+    found = CountedDump(t.spark, source, schema)
+    overwrite_load(clean(found.rows) if clean else found.rows, target, verify=found.verify)
+    return current_table(t.spark, target)
 
 
 @query(

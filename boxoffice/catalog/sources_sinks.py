@@ -12,9 +12,11 @@ from boxoffice.functions.dates import date_key
 from boxoffice.plans import models, raw, schemas
 from boxoffice.session import scratch_path
 from boxoffice.sources import parameters
+from boxoffice.sources.changes import merge_load
 from boxoffice.sources.csv_tables import read_csv, write_csv
 from boxoffice.sources.json_array import read_json_array, write_json_arrays
 from boxoffice.sources.sinks import (
+    current_table,
     load_metrics,
     materialize,
     overwrite_load,
@@ -47,7 +49,7 @@ def replaced(t: Tables) -> DataFrame:
     rows = t.sale_orders().select("event_id", "code", "merchant_id")
     overwrite_load(rows, path, schema)
     overwrite_load(rows, path, schema)
-    return t.spark.read.parquet(path)
+    return current_table(t.spark, path)
 
 
 @query(
@@ -71,6 +73,25 @@ def row_counts(t: Tables) -> DataFrame:
     return load_metrics(loads)
 
 
+@query(
+    "A04_changes_load",
+    """SELECT code, event_id, status, CAST(w.rows AS BIGINT) AS written_last FROM (
+  SELECT code, event_id, CASE WHEN CAST(code AS BIGINT) % 10 = 1 THEN 'paid' ELSE order_status END AS status
+  FROM sale_orders WHERE CAST(code AS BIGINT) % 12 <> 0),
+  (SELECT count(*) AS rows FROM sale_orders WHERE CAST(code AS BIGINT) % 10 = 1 AND CAST(code AS BIGINT) % 12 <> 0
+    AND order_status <> 'paid') AS w""",
+)
+def changed_rows(t: Tables) -> DataFrame:
+    """Three dumps of the orders. The last changes some and lacks some; only the changed ones are written."""
+    path, code = scratch_path(t.spark, "changes"), F.col("code").cast("long")
+    every = t.sale_orders().select("code", "event_id", F.col("order_status").alias("status"))
+    paid = F.when(code % 10 == 1, "paid").otherwise(F.col("status"))
+    merge_load(every.where("event_id < 150"), path, ["code"])
+    merge_load(every, path, ["code"])
+    written, _ = merge_load(every.where(code % 12 != 0).withColumn("status", paid), path, ["code"])
+    return current_table(t.spark, path).withColumn("written_last", F.lit(written).cast("long"))
+
+
 @query(
     "A05_csv_scan",
     """SELECT id, name, location, type, CAST(CAST(date AS TIMESTAMP) AS VARCHAR) AS date,

@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from boxoffice.operators import quality
 from boxoffice.plans import bi_tables, models, raw, schemas
 from boxoffice.sources.csv_tables import read_csv
-from boxoffice.sources.json_array import read_json_array
-from boxoffice.sources.sinks import materialize, overwrite_load, write_range_partitioned
+from boxoffice.sources.json_array import CountedDump
+from boxoffice.sources.sinks import current_table, materialize, overwrite_load, write_range_partitioned
 
 # Raw table, folder of its dump, declared columns, cleaning.
 LOADS: list[tuple[str, str, T.StructType, Callable[[DataFrame], DataFrame] | None]] = [
@@ -50,8 +50,9 @@ def load_raw(spark: SparkSession, dumps: str, out: str) -> dict[str, int]:
     """Replace every raw table from its dump; returns the rows loaded per table."""
     rows = {}
     for table, folder, schema, clean in LOADS:
-        dump = read_json_array(spark, f"{dumps}/{folder}", schema)
-        rows[table] = overwrite_load(clean(dump) if clean else dump, f"{out}/{table}")
+        dump = CountedDump(spark, f"{dumps}/{folder}", schema)
+        loaded = clean(dump.rows) if clean else dump.rows
+        rows[table] = overwrite_load(loaded, f"{out}/{table}", verify=dump.verify)
     return rows
 
 
@@ -59,7 +60,7 @@ def build_models(spark: SparkSession, out: str, countries: DataFrame) -> None:
     """Build every model from stored tables, so that each is computed once."""
 
     def stored(name: str) -> DataFrame:
-        return spark.read.parquet(f"{out}/{name}")
+        return current_table(spark, f"{out}/{name}")
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         if name in PARTITIONED:
@@ -83,10 +84,10 @@ def build_models(spark: SparkSession, out: str, countries: DataFrame) -> None:
 def check(spark: SparkSession, out: str) -> dict[str, int]:
     """Failing rows or values of each declared check."""
     found = [
-        quality.failures(f"not_null {t}.{c}", quality.null_rows(spark.read.parquet(f"{out}/{t}"), c))
+        quality.failures(f"not_null {t}.{c}", quality.null_rows(current_table(spark, f"{out}/{t}"), c))
         for t, c in NOT_NULL
     ] + [
-        quality.failures(f"unique {t}.{c}", quality.duplicates(spark.read.parquet(f"{out}/{t}"), c))
+        quality.failures(f"unique {t}.{c}", quality.duplicates(current_table(spark, f"{out}/{t}"), c))
         for t, c in UNIQUE
     ]
     return {r["check"]: r["failures"] for r in reduce(DataFrame.unionByName, found).collect()}

@@ -9,6 +9,7 @@ from boxoffice.operators import metrics
 from boxoffice.plans import bi_tables, nightly
 from boxoffice.sources.csv_tables import write_csv
 from boxoffice.sources.json_array import write_json_arrays
+from boxoffice.sources.sinks import current_table
 from tests.conftest import values
 
 MODELS = ["stg_organizers", "stg_events", "stg_orders", "stg_customers", "stg_product", "bi_orders", "bi_customers"]
@@ -34,14 +35,14 @@ def dumps(tables, tmp_path_factory):
 def test_run_twice(spark, tables, dumps, tmp_path):
     out = str(tmp_path / "warehouse")
     first = nightly.run_nightly(spark, dumps, out, tables.countries())
-    before = {m: values(spark.read.parquet(f"{out}/{m}")) for m in MODELS}
+    before = {m: values(current_table(spark, f"{out}/{m}")) for m in MODELS}
     second = nightly.run_nightly(spark, dumps, out, tables.countries())
     assert first == second
     assert first.rows["raw_sale_orders"] == tables.read("orders").count()
     assert set(first.failures.values()) == {0}
-    assert before == {m: values(spark.read.parquet(f"{out}/{m}")) for m in MODELS}
-    assert values(spark.read.parquet(f"{out}/stg_events")) == values(tables.stg_events())
-    stored = spark.read.parquet(f"{out}/stg_orders").drop("bucket")
+    assert before == {m: values(current_table(spark, f"{out}/{m}")) for m in MODELS}
+    assert values(current_table(spark, f"{out}/stg_events")) == values(tables.stg_events())
+    stored = current_table(spark, f"{out}/stg_orders").drop("bucket")
     assert values(stored) == values(tables.stg_orders().select(*stored.columns))
 
 
@@ -59,7 +60,7 @@ def test_report_tables(spark, tables, tmp_path):
     nightly.build_report(spark, extracts, out, CUTOFF, AS_OF)
 
     def stored(name):
-        return spark.read.parquet(f"{out}/{name}")
+        return current_table(spark, f"{out}/{name}")
 
     fact = bi_tables.fact_orders(tables.csv_orders())
     assert values(stored("fact_orders")) == values(fact)

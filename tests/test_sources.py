@@ -28,11 +28,78 @@ def test_array_file_keeps_declared_columns(spark, tmp_path):
 def test_a_record_without_a_declared_column_fails(spark, tmp_path):
     (tmp_path / "d.json").write_text('[{"a": 1, "b": "x"}, {"a": 2}]')
     wanted = schema(a=T.LongType(), b=T.StringType())
-    with pytest.raises(json_array.MissingColumn, match="b"):
-        json_array.read_json_array(spark, str(tmp_path), wanted)
+    with pytest.raises(Exception, match="a record lacks b"):
+        json_array.read_json_array(spark, str(tmp_path), wanted).collect()
+    with pytest.raises(Exception, match="a record lacks b"):
+        json_array.read_json_array(spark, str(tmp_path), wanted).select("a").collect()
+    assert values(json_array.read_json_array(spark, str(tmp_path), wanted, strict=False)) == [(1, "x"), (2, None)]
     assert values(json_array.missing_columns(spark, str(tmp_path), wanted)) == [("b", 1)]
 
 
+def test_a_json_null_is_no_absent_key(spark, tmp_path):
+    (tmp_path / "d.json").write_text('[{"a": null, "b": null}]')
+    wanted = schema(a=T.LongType(), b=T.StringType())
+    assert values(json_array.read_json_array(spark, str(tmp_path), wanted)) == [(None, None)]
+    assert json_array.missing_columns(spark, str(tmp_path), wanted).count() == 0
+
+
+def test_several_files_are_one_scan(spark, tmp_path):
+    """Files with and without records, keys in any order; values in their declared types."""
+    (tmp_path / "a.json").write_text('[{"a": 1, "m": 12.3400, "t": "2024-05-06 07:08:09", "s": {"x": [1, null]}}]')
+    (tmp_path / "b.json").write_text("[]")
+    (tmp_path / "c.json").write_text('[\n{"s": 1.5, "t": "2024-05-06T00:00:00", "m": 7, "a": 2},\n\n{"s": "z", "t": null, "m": null, "a": 3}]')
+    wanted = schema(a=T.LongType(), m=T.DecimalType(18, 4), t=T.TimestampNTZType(), s=T.StringType())
+    df = json_array.read_json_array(spark, str(tmp_path), wanted)
+    text = [(r.a, str(r.m), str(r.t), r.s) for r in df.orderBy("a").collect()]
+    assert text == [
+        (1, "12.3400", "2024-05-06 07:08:09", '{"x":[1,null]}'),
+        (2, "7.0000", "2024-05-06 00:00:00", "1.5"),
+        (3, "None", "None", "z"),
+    ]
+    assert df.schema == wanted
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan json") == 1 and "wholetext" not in plan
+
+
+def test_absent_keys_are_counted_by_the_load_itself(spark, tmp_path):
+    dump, path = tmp_path / "dump", str(tmp_path / "table")
+    dump.mkdir()
+    wanted = schema(a=T.LongType(), b=T.StringType(), c=T.LongType())
+    (dump / "1.json").write_text('[{"a": 1, "b": "x", "c": null}]')
+    whole = json_array.CountedDump(spark, str(dump), wanted)
+    assert sinks.overwrite_load(whole.rows, path, verify=whole.verify) == 1
+    (dump / "2.json").write_text('[{"a": 2, "c": 5}, {"a": 3}]')
+    lacking = json_array.CountedDump(spark, str(dump), wanted)
+    with pytest.raises(json_array.MissingColumn, match="'b': 2, 'c': 1"):
+        sinks.overwrite_load(lacking.rows, path, verify=lacking.verify)
+    assert values(sinks.current_table(spark, path)) == [(1, "x", None)]
+
+
+def test_a_failed_load_leaves_the_old_rows(spark, tmp_path):
+    """The second load dies in some of its tasks after others have written their files."""
+    path = str(tmp_path / "t")
+    sinks.overwrite_load(spark.range(0, 100, 1, 4), path)
+    poor = spark.range(0, 100, 1, 4).select(F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("bad row"))).alias("id"))
+    with pytest.raises(Exception, match="bad row"):
+        sinks.overwrite_load(poor, path)
+    assert sinks.current_table(spark, path).count() == 100 and len(sinks.loads(spark, path)) == 1
+    # A table can be replaced by what is computed from itself.
+    sinks.overwrite_load(sinks.current_table(spark, path).where("id < 10"), path)
+    assert sinks.current_table(spark, path).count() == 10
+
+
+def test_old_versions_can_be_dropped(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (5, 6, 7):
+        sinks.overwrite_load(spark.range(n), path)
+    old = sinks.current_table(spark, path, load=2)
+    assert len(sinks.drop_old_versions(spark, path, keep=2)) == 1
+    assert sinks.current_table(spark, path).count() == 7 and old.count() == 6
+    assert sinks.drop_old_versions(spark, path, keep=2) == []
+    with pytest.raises(sinks.NoTable):
+        sinks.current_table(spark, str(tmp_path / "nothing"))
+
+
 def test_array_files_have_a_bounded_size(spark, tmp_path):
     path = str(tmp_path / "dump")
     json_array.write_json_arrays(spark.range(0, 95, 1, 3).withColumn("s", F.lit(None).cast("string")), path, 10)
@@ -74,7 +141,8 @@ def test_load_replaces_and_counts(spark, tmp_path):
     wanted = schema(b=T.StringType(), a=T.LongType())
     assert sinks.overwrite_load(spark.range(5).select(F.col("id").alias("a"), F.lit("x").alias("b")), path, wanted) == 5
     assert sinks.overwrite_load(spark.range(3).select(F.col("id").alias("a"), F.lit("y").alias("b")), path, wanted) == 3
-    assert values(spark.read.parquet(path)) == [("y", 0), ("y", 1), ("y", 2)]
+    assert values(sinks.current_table(spark, path)) == [("y", 0), ("y", 1), ("y", 2)]
+    assert [r["rows"] for r in sinks.loads(spark, path)] == [5, 3]
 
 
 def test_load_refuses_a_missing_column(spark, tmp_path):
@@ -82,7 +150,7 @@ def test_load_refuses_a_missing_column(spark, tmp_path):
     sinks.overwrite_load(spark.range(2), path)
     with pytest.raises(Exception):
         sinks.overwrite_load(spark.range(9), path, T.StructType([T.StructField("gone", T.LongType(), False)]))
-    assert spark.read.parquet(path).count() == 2
+    assert sinks.current_table(spark, path).count() == 2
 
 
 def test_row_counts_against_the_run_before(rows):
