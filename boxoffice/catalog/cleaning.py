@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxoffice.catalog.bindings import Tables
 from boxoffice.catalog.oracle import title
 from boxoffice.catalog.register import query
-from boxoffice.functions.dates import parse_mixed
+from boxoffice.functions.dates import parse_date
 from boxoffice.functions.text import replace_text, title_case
 from boxoffice.operators.dedup import keep_first, keep_latest
 from boxoffice.plans import raw, schemas
@@ -20,10 +22,35 @@ from boxoffice.sources.sinks import current_table, overwrite_load
 @query("B01_parse_mixed_date_coerce", "SELECT code, CAST(birthday AS VARCHAR) AS birthday FROM raw_customers")
 def mixed_dates(t: Tables) -> DataFrame:
     return t.dump_customers().select(
-        "code", parse_mixed(F.col("birthday"), raw.BIRTHDAY_FORMATS).alias("birthday")
+        "code", parse_date(F.col("birthday"), 2026).alias("birthday")
     )
 
 
+# Forms of a date as a Spark pattern, and how many days the reading may drop: to the month's or year's first.
+_FORMS = [
+    "yyyy-MM-dd", "yyyy-MM-dd HH:mm", "MM/dd/yyyy HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss'Z'",
+    "yyyyMMdd", "d-MMM-yyyy", "' 'yyyy-MM-dd' '", "MMM yyyy", "yyyy-MM", "yyyy", "MM/dd/yyyy hh:mm a", "E, dd MMM yyyy",
+    "EEEE d MMMM yyyy", "MMMM d, yyyy", "yyyy.MM.dd", "yyyy MM dd", "MMM-dd-yyyy", "yyyy/MMM/d", "dd MMM yyyy HH:mm:ss'+07:00'",
+    "'born' yyyy-MM-dd", "yyyy'_'MM'_'dd", "M/d/yyyy", "yyyyMMddHHmmss",
+]
+
+
+@query(
+    "B01_date_forms",
+    """SELECT code, CAST(CASE WHEN k % 24 IN (20, 21) THEN NULL WHEN k % 24 IN (8, 9) THEN date_trunc('month', born)
+  WHEN k % 24 = 10 THEN date_trunc('year', born) ELSE born END AS DATE)::VARCHAR AS birthday
+FROM (SELECT CAST(c_custkey AS VARCHAR) AS code, c_custkey AS k,
+  DATE '1950-01-01' + CAST(c_custkey * 37 % 20000 AS INTEGER) AS born FROM customer)""",
+)
+def date_forms(t: Tables) -> DataFrame:
+    """Birthdays written in two dozen forms, two of which are no dates, read back."""
+    k = F.col("c_custkey")
+    born = F.date_add(F.lit(dt.date(1950, 1, 1)), (k * 37 % 20000).cast("int")).cast("timestamp_ntz")
+    text = F.element_at(F.array(*[F.date_format(born, f) for f in _FORMS]), (k % len(_FORMS) + 1).cast("int"))
+    written = t.read("customer").select(k.cast("string").alias("code"), text.alias("birthday"))
+    return written.select("code", parse_date(F.col("birthday"), 2026).alias("birthday"))
+
+
 @query("B02_substring_replace", "SELECT code, nationality FROM raw_customers")
 def replaced_text(t: Tables) -> DataFrame:
     return t.dump_customers().select(

@@ -5,15 +5,16 @@ Sale orders, order items and attendants are loaded as they are.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxoffice.functions.dates import parse_mixed
+from boxoffice.functions.dates import parse_date
 from boxoffice.functions.text import replace_text, title_case
 from boxoffice.operators.dedup import keep_first, keep_latest
 
-# Spark pattern letters, first fit counts: the month comes first where both readings are
-# possible. Other forms (two-digit years, zones, weekdays) are not read and give null.
+# Spark pattern letters, first fit counts: a closed list for dumps whose forms are known.
 BIRTHDAY_FORMATS = (
     "yyyy-M-d",
     "yyyy/M/d",
@@ -31,11 +32,15 @@ BIRTHDAY_FORMATS = (
 )
 
 
-def raw_customers(dump: DataFrame) -> DataFrame:
-    """Birthdays in any known format, else null; ``vietnam`` in the nationality becomes ``VN``."""
+def raw_customers(dump: DataFrame, this_year: int | None = None) -> DataFrame:
+    """Birthdays read from text of any format, else null; ``vietnam`` in the nationality becomes ``VN``.
+
+    Years of two digits are taken to be near ``this_year``, by default the current one.
+    """
+    this_year = this_year or dt.date.today().year
     return dump.withColumns(
         {
-            "birthday": parse_mixed(F.col("birthday"), BIRTHDAY_FORMATS),
+            "birthday": parse_date(F.col("birthday"), this_year),
             "nationality": replace_text(F.col("nationality"), "vietnam", "VN"),
         }
     )
