@@ -128,11 +128,18 @@ def reply_paths(messages: DataFrame, paths_per_tree: int = 1) -> DataFrame:
 def format_paths(paths: DataFrame, messages: DataFrame) -> DataFrame:
     """One row per path: tree, path, n_turns, formatted, loss_spans.
 
-    ``messages`` has tree, node, role, text (null: empty). ``loss_spans`` are (start, length)
+    ``messages`` has tree, node, role, text (null: empty); of rows with equal tree and node one
+    counts (smallest role, then text), and further columns are not read. ``loss_spans`` are (start, length)
     in code points of ``formatted``, one for each message of the assistant, in order.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    turns = paths.join(messages, ["tree", "node"]).select(
+    said = messages.select("tree", "node", role.alias("role"), text.alias("text"))
+    # Grouped by the keys of the join that follows, so this is no further shuffle.
+    first = F.row_number().over(Window.partitionBy("tree", "node").orderBy("role", "text"))
+    said = said.withColumn("first", first).where("first = 1").drop("first")
+    paths = paths.select("tree", "path", "position", "node")
+    role, text = F.col("role"), F.col("text")
+    turns = paths.join(said, ["tree", "node"]).select(
         "tree",
         "path",
         F.struct(

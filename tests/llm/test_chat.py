@@ -101,3 +101,33 @@ def test_turns_as_trees(spark):
 def test_empty(spark):
     messages = spark.createDataFrame([], SCHEMA)
     assert chat.format_paths(chat.reply_paths(messages), messages).collect() == []
+
+
+def test_repeated_messages_and_clashing_columns(spark):
+    """A message that is there twice is one turn; the smallest role and text count; other columns are not read."""
+    rows = [
+        ("t", 1, None, 0.0, "user", "hi"),
+        ("t", 1, None, 0.0, "user", "hi"),
+        ("t", 2, 1, 0.0, "assistant", "b"),
+        ("t", 2, 1, 0.0, "assistant", "a"),
+        ("t", 2, 1, 0.0, "assistant", None),
+    ]
+    schema = "tree string, node long, parent long, score double, role string, text string"
+    messages = spark.createDataFrame(rows, schema)
+    for extra in ("position", "path", "turn", "first", "path_score", "body"):
+        messages = messages.withColumn(extra, F.lit(7))
+    out = chat.format_paths(chat.reply_paths(messages), messages).collect()
+    assert [(r.n_turns, r.formatted) for r in out] == [(2, "<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\n<|im_end|>\n")]
+
+
+def test_a_long_conversation(spark):
+    rows = spark.range(700).select(
+        F.lit(5).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.col("id").cast("string").alias("text"),
+    )
+    messages = chat.turns_as_trees(rows)
+    out = chat.format_paths(chat.reply_paths(messages), messages)
+    turns = out.select(F.explode(chat.read_back(F.col("formatted"))).alias("t")).select("t.text").collect()
+    assert [r.text for r in turns] == [str(i) for i in range(700)]
+    empty = chat.turns_as_trees(rows.where("false"))
+    assert chat.format_paths(chat.reply_paths(empty), empty).count() == 0
