@@ -2,7 +2,7 @@
 
 Units are lines (or paragraphs: runs of lines between blank ones). A unit is normalised by
 lower-casing A-Z, by turning every run of ``[\\x20\\x09-\\x0D]`` into one space and trimming;
-units that are shorter than ``least_chars`` then are never removed. Of the occurrences of a
+units that are empty then (or shorter than ``least_chars``) are never removed. Of the occurrences of a
 digest the earliest (smallest document id, then place) stays, also within a document.
 
 Scale. Only digests, ids and places are shuffled, not texts. The earliest occurrence and the
@@ -30,7 +30,7 @@ def normalised(unit: Column) -> Column:
 def line_dedup(
     docs: DataFrame,
     unit: str = "line",
-    least_chars: int = 40,
+    least_chars: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:

@@ -66,12 +66,20 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.remove_repeats(_table(spark, folder, "documents")).drop("removed")
+    out = repeats.remove_repeats(_table(spark, folder, "documents")).drop("removed")
+    return out.withColumn("repeated", F.col("n_removed") > 0)
 
 
 def _spans(out: DataFrame) -> DataFrame:
     spans = F.transform("removed", lambda s: F.concat_ws(":", s["unit"], s["start"], s["length"]))
-    return out.select("doc_id", "n_units", "n_removed", F.array_join(spans, " ").alias("removed"), F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+    return out.select(
+        "doc_id",
+        "n_units",
+        "n_removed",
+        (F.col("n_removed") > 0).alias("repeated"),
+        F.array_join(spans, " ").alias("removed"),
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
+    )
 
 
 def op6(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,7 +87,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_any_length(spark: SparkSession, folder: str) -> DataFrame:
-    """op6 without the floor of 40 characters that its SQL states: any non-empty line."""
+    """op6 with its least length stated: any non-empty line."""
     return _spans(lines.line_dedup(_table(spark, folder, "documents"), least_chars=1))
 
 

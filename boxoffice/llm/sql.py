@@ -67,13 +67,14 @@ WITH units AS (
   FROM units
 ), marked AS (
   SELECT doc_id, unit, words,
-    length(normal) >= 40 AND row_number() OVER (PARTITION BY normal ORDER BY doc_id, unit) > 1 AS gone,
+    length(normal) >= 1 AND row_number() OVER (PARTITION BY normal ORDER BY doc_id, unit) > 1 AS gone,
     CAST(sum(length(words) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - length(words) - 1 AS BIGINT) AS start
   FROM plain
 )
 SELECT doc_id,
   count(*) AS n_units,
   count(*) FILTER (gone) AS n_removed,
+  count(*) FILTER (gone) > 0 AS repeated,
   coalesce(string_agg(unit || ':' || start || ':' || length(words), ' ' ORDER BY unit) FILTER (gone), '') AS removed,
   sha256(coalesce(string_agg(words, chr(10) ORDER BY unit) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
@@ -173,6 +174,7 @@ SQL: dict[str, str] = {
     "op1_exact_dedup": _OP1,
     "op3_url_filter": _OP3,
     "op6_line_dedup": _OP6,
+    "op6_line_dedup_any_length": _OP6,
     "op10_chat": _OP10,
     "op12_fill_in_middle": _OP12,
     "op13_prefix_trie": _OP13,
