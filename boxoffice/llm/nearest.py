@@ -27,12 +27,16 @@ them as large as a task's memory allows (a row takes about 8 * (dimension + 2 *
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from boxoffice.llm.common import rows_to_batch, spark_schema
+
+_SHAPE = pa.schema([("d", pa.int64()), ("n", pa.int64()), ("norm", pa.float64())])
 _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 #: Count of a row that has been verified: so low that no window lifts it to a threshold.
@@ -41,8 +45,11 @@ _DONE = -(1 << 14)
 
 def usable(embedding: Column) -> Column:
     """True for vectors with no null or non-finite component and at least one that is not zero."""
-    fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    return F.coalesce(F.forall(embedding, fine) & F.exists(embedding, lambda x: x != 0), F.lit(False))
+    top, bottom = F.array_max(embedding), F.array_min(embedding)
+    # Not found, in an array with a null, is null and not false.
+    whole = ~F.array_contains(embedding, F.lit(float("nan")))
+    finite = (top < float("inf")) & (bottom > -float("inf"))
+    return F.coalesce(whole & finite & ((top != 0) | (bottom != 0)), F.lit(False))
 
 
 def vectors_of(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -75,17 +82,24 @@ def threshold(projections: int, width: float, miss: float) -> int:
     return projections
 
 
-def _norm(vec: Column) -> Column:
-    """Length of a vector, scaled so that no square overflows or vanishes."""
-    top = F.array_max(F.transform(vec, lambda x: F.abs(x)))
-    return top * F.sqrt(F.aggregate(vec, F.lit(0.0), lambda a, x: a + (x / top) * (x / top)))
-
-
 def _norms(vectors: np.ndarray) -> np.ndarray:
     top = np.abs(vectors).max(axis=1)
     return top * np.linalg.norm(vectors / top[:, None], axis=1)
 
 
+def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number and greatest norm of the vectors of each length, batch by batch."""
+    for batch in batches:
+        column = batch.column("vec")
+        sizes = np.diff(np.asarray(column.offsets))
+        out = []
+        for size in np.unique(sizes):
+            picked = column.take(pa.array(np.flatnonzero(sizes == size))).flatten()
+            norms = _norms(np.asarray(picked, np.float64).reshape(-1, size))
+            out.append((int(size), len(norms), float(norms.max())))
+        yield rows_to_batch(out, _SHAPE)
+
+
 class SortedProjections:
     """A block of rows as one sorted array per projection."""
 
@@ -190,9 +204,10 @@ def nearest_neighbours(
     """
     spark = rows.sparkSession
     base = vectors_of(rows, id_col, vector_col)
-    sizes = base.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max(_norm(F.col("vec"))).alias("norm"))
-    shape = sizes.orderBy(F.desc("n"), "d").first()
-    if shape is None or shape["n"] == 0:
+    sizes = base.select("vec").mapInArrow(_shapes, spark_schema(_SHAPE)).groupBy("d")
+    shape = sizes.agg(F.sum("n").alias("n"), F.max("norm").alias("norm"))
+    shape = shape.orderBy(F.desc("n"), "d").first()
+    if shape is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dimension, norm = shape["d"], shape["norm"]
     base = base.where(F.size("vec") == dimension)
