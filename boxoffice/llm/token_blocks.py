@@ -39,6 +39,8 @@ _BLOCK = np.dtype([("start", "<u8"), ("least", "<u4"), ("width", "u1"), ("except
 _DOC = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("n", "<u8")])
 #: Ids, or documents, after which a shard is closed.
 SHARD_IDS, SHARD_DOCS = 1 << 20, 1 << 16
+#: Pieces of text that a worker remembers, in each of two generations.
+_REMEMBER = 450_000
 
 
 class Shard(NamedTuple):
@@ -51,30 +53,33 @@ def write_shard(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, p
     """The bytes of a shard file; ``counts`` says how many of ``ids`` each document has."""
     n = len(ids)
     blocks = -(-n // BLOCK)
-    padded = np.zeros(blocks * BLOCK, np.int64)
+    padded = np.zeros(blocks * BLOCK, np.uint32)
     padded[:n] = ids
     if n % BLOCK:
         padded[n:] = ids[n - 1]
     grid = padded.reshape(blocks, BLOCK)
-    least = grid.min(axis=1) if blocks else np.zeros(0, np.int64)
+    least = grid.min(axis=1) if blocks else np.zeros(0, np.uint32)
     rest = grid - least[:, None]
     place = min(BLOCK - 1, BLOCK * percentile // 100)
-    chosen = np.partition(rest, place, axis=1)[:, place] if blocks else np.zeros(0, np.int64)
+    chosen = np.partition(rest, place, axis=1)[:, place].astype(np.int64) if blocks else np.zeros(0, np.int64)
     width = np.ceil(np.log2(chosen + 1)).astype(np.uint8)
-    outlier = rest >> width[:, None].astype(np.int64)
+    outlier = (rest.astype(np.uint64) >> width[:, None].astype(np.uint64)).astype("<u4")
     table = np.zeros(blocks, _BLOCK)
     table["least"], table["width"] = least, width
     table["exceptions"] = (outlier > 0).sum(axis=1)
     packed: list[bytes] = [b""] * blocks
     for w in np.unique(width[width > 0]):
         at = np.flatnonzero(width == w)
-        bits = (rest[at][:, :, None] >> np.arange(w)) & 1
-        rows = np.packbits(bits.astype(np.uint8).reshape(len(at), -1), axis=1, bitorder="little")
+        bits = np.unpackbits(rest[at].astype("<u4", copy=False).view(np.uint8).reshape(len(at), BLOCK, 4), axis=2, bitorder="little")
+        rows = np.packbits(bits[:, :, :w].reshape(len(at), -1), axis=1, bitorder="little")
         for i, row in zip(at, rows):
             packed[i] = row.tobytes()
-    for i in np.flatnonzero(table["exceptions"]):
-        places = np.flatnonzero(outlier[i])
-        packed[i] += places.astype(np.uint8).tobytes() + outlier[i, places].astype("<u4").tobytes()
+    block, place_in = np.nonzero(outlier)
+    places, high = place_in.astype(np.uint8).tobytes(), outlier[block, place_in].tobytes()
+    ends = np.cumsum(table["exceptions"], dtype=np.int64)
+    for i, end in zip(np.flatnonzero(table["exceptions"]).tolist(), ends[table["exceptions"] > 0].tolist()):
+        first = end - int(table["exceptions"][i])
+        packed[i] += places[first:end] + high[4 * first : 4 * end]
     docs = np.zeros(len(doc_ids), _DOC)
     docs["doc_id"] = [0 if d is None else d for d in doc_ids]
     docs["known"] = [d is not None for d in doc_ids]
@@ -103,13 +108,18 @@ def _unpack(file: bytes, table: np.ndarray) -> np.ndarray:
         at = np.flatnonzero(table["width"] == w)
         size = BLOCK * int(w) // 8
         bits = np.unpackbits(raw[starts[at][:, None] + np.arange(size)], axis=1, bitorder="little")
-        values = bits.reshape(len(at), BLOCK, int(w)).astype(np.int64)
-        out[at] = (values << np.arange(int(w))).sum(axis=2)
-    for i in np.flatnonzero(table["exceptions"]):
-        k, w = int(table["exceptions"][i]), int(table["width"][i])
-        at = int(starts[i]) + BLOCK * w // 8
-        high = np.frombuffer(file, "<u4", k, at + k).astype(np.int64)
-        out[i, raw[at : at + k]] |= high << w
+        whole = np.zeros((len(at), BLOCK, 32), np.uint8)
+        whole[:, :, :w] = bits.reshape(len(at), BLOCK, int(w))
+        out[at] = np.packbits(whole, axis=2, bitorder="little").view("<u4")[:, :, 0]
+    patched = np.flatnonzero(table["exceptions"])
+    count = table["exceptions"][patched].astype(np.int64)
+    if len(patched):
+        # Places follow the packed bits of their block, high bits follow its places.
+        first = starts[patched] + BLOCK // 8 * table["width"][patched].astype(np.int64)
+        block = np.repeat(np.arange(len(patched)), count)
+        order = np.arange(len(block)) - (np.cumsum(count) - count)[block]
+        high = raw[((first + count)[block] + 4 * order)[:, None] + np.arange(4)].view("<u4")[:, 0].astype(np.int64)
+        out[patched[block], raw[first[block] + order]] |= high << table["width"][patched][block].astype(np.int64)
     return out + table["least"].astype(np.int64)[:, None]
 
 
@@ -158,7 +168,7 @@ def write_token_files(
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, shard, origin = encoder(tokenizer_path), 0, None
+        one, shard, origin = encoder(tokenizer_path, _REMEMBER), 0, None
         names: list[int | None] = []
         held: list[np.ndarray] = []
         n = 0

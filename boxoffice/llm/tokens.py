@@ -12,6 +12,8 @@ import json
 import os
 import re
 import string
+import struct
+from operator import itemgetter
 
 import numpy as np
 
@@ -20,7 +22,7 @@ _SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u2
 #: White space with the run of other characters after it.
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: Python takes these as white space, the tokenizers do not.
-_CONTROL = re.compile("[\x1c-\x1f]")
+_CONTROL = "\x1c\x1d\x1e\x1f"
 #: Blanks that are not single ones between other characters.
 _RUN = re.compile(r" \s|\s ")
 #: Longest piece that is remembered, in characters.
@@ -35,28 +37,42 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Pieces(dict):
-    """Ids (uint32, as bytes) of pieces that come after ``before``; unknown ones are encoded."""
+    """Ids (uint32, as bytes) of pieces that come after ``before``; unknown ones are encoded.
+
+    Two generations: when this one is full it becomes the older one and a new one begins, into
+    which pieces that are met again come back. So frequent pieces are never forgotten.
+    """
 
     def __init__(self, owner: Encoder, before: str):
         super().__init__()
-        self._owner, self._before = owner, before
+        self._owner, self._before, self._older = owner, before, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self._owner.encode_piece(self._before, piece)
+        ids = self._older.get(piece)
+        if ids is None:
+            ids = self._owner.encode_piece(self._before, piece)
         if len(piece) <= _LONGEST:
             if len(self) >= self._owner.remember:
+                self._older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
 
+def _found(known: _Pieces, pieces: list[str]) -> bytes:
+    """The ids of all pieces, looked up in one call."""
+    if len(pieces) < 2:
+        return known[pieces[0]] if pieces else b""
+    return b"".join(itemgetter(*pieces)(known))
+
+
 class Encoder:
     """Turns texts into ids; remembers the ids of short pieces.
 
-    The memory only saves time: when it holds ``remember`` pieces it is emptied.
+    The memory only saves time: it has two generations of ``remember`` pieces each.
     """
 
-    def __init__(self, path: str, remember: int = 600_000):
+    def __init__(self, path: str, remember: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -84,33 +100,38 @@ class Encoder:
             return self._whole(before + piece)
         if not piece.isalpha():
             word = piece.rstrip(string.punctuation)
-            if len(word) < len(piece) and word.isalpha():
+            # Some letters become a letter and a mark in lower case, which would join the punctuation.
+            if len(word) < len(piece) and word.isalpha() and (word.isascii() or word.lower().isalpha()):
                 return own[word] + self._bare[piece[len(word) :]]
-        elif max(piece) < "Ā":
+        elif piece.isascii() or max(piece) < "Ā":
             # One run of letters: the model may be asked without the steps before it.
             if self._folds:
-                piece = piece.lower()
+                lower = piece.lower()
+                if lower != piece:
+                    return own[lower]
             elif before:
                 piece = before + piece
             shown = piece if piece.isalpha() and piece.isascii() else "".join(map(self._letters.get, piece.encode()))
-            return np.array([t.id for t in self._model.tokenize(shown)], "<u4").tobytes()
+            ids = [t.id for t in self._model.tokenize(shown)]
+            return struct.pack(f"<{len(ids)}I", *ids)
         return self._whole(before + piece)
 
     def encode(self, text: str | None, end_id: int | None = None) -> np.ndarray:
         """The ids of the whole text (null counts as empty), then ``end_id`` if given."""
         text = text or ""
-        if self._folds and not _CONTROL.search(text):
-            joined = b"".join(map(self._bare.__getitem__, text.split()))
-        elif not self._folds and not _RUN.search(text) and not _CONTROL.search(text):
+        control = any(c in text for c in _CONTROL)
+        if self._folds and not control:
+            joined = _found(self._bare, text.split())
+        elif not self._folds and not control and not _RUN.search(text):
             first, *rest = text.split(" ")
-            joined = self._bare[first] + b"".join(map(self._spaced.__getitem__, rest))
+            joined = self._bare[first] + _found(self._spaced, rest)
         else:
-            joined = b"".join(map(self._bare.__getitem__, _PIECE.findall(text)))
+            joined = _found(self._bare, _PIECE.findall(text))
         ids = np.frombuffer(joined, "<u4")
         return ids if end_id is None else np.append(ids, np.uint32(end_id)).astype("<u4")
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remember: int = 300_000) -> Encoder:
     """One per Python worker and tokenizer file."""
-    return Encoder(path)
+    return Encoder(path, remember)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -158,3 +159,21 @@ def test_windows_are_full_but_one(lengths):
     groups = packing.step_groups(windows, 3)
     load = [sum(w.size - w.gap for w, g in zip(windows, groups) if g == k) for k in range(3)]
     assert max(load) - min(load) <= 2048
+
+
+def test_letters_that_gain_a_mark_in_lower_case():
+    for path in (WORD, BYTE):
+        plain = Tokenizer.from_file(path)
+        for text in ("DİYARBAKIR ve İ. Çelik", "İ, K", "Iİ! İI?", "İİ...", "aİ b"):
+            assert Encoder(path).encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_random_texts_with_a_small_memory():
+    rng = random.Random(1)
+    letters = list("abcABCéÉñßİıÅø漢字かΣςσжЖ😀'’-–.,!?%&#*()[]<>|/\\_019 \t\n\r\x0b\x0c\x85\xa0\x1c\x00\u0301\u0307ǅﬁ")
+    letters += [" "] * 15 + list("abcdefghij") * 3
+    for path in (WORD, BYTE):
+        plain, own = Tokenizer.from_file(path), Encoder(path, remember=100)
+        for _ in range(10_000):
+            text = "".join(rng.choices(letters, k=rng.randrange(40)))
+            assert own.encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids, text
