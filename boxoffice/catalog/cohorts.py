@@ -10,12 +10,23 @@ from boxoffice.catalog.oracle import PROFIT, TICKETS, div
 from boxoffice.catalog.register import query
 from boxoffice.functions.dates import month_start
 from boxoffice.operators import cohorts as c
+from boxoffice.session import scratch_path
+from boxoffice.sources.first_dates import first_bought, first_ordered, merge_first_dates
 
 
 def with_ym(fact: DataFrame, date: str = "creationDate") -> DataFrame:
     return fact.withColumn("ym", F.year(date) * 100 + F.month(date))
 
 
+def by_month_loads(t: Tables, keep: tuple[str, ...] = ()) -> str:
+    """The table of first dates after three loads, the middle one late; returns its path."""
+    path = scratch_path(t.spark, "first-dates")
+    until, since = F.col("creationDateID") < 19950000, F.col("creationDateID") >= 19970000
+    for part in (until, since, ~until & ~since):
+        merge_first_dates(t.fact().where(part), path, keep)
+    return path
+
+
 def event_months(t: Tables, sums: tuple[str, ...] = ()) -> DataFrame:
     """Customers per event and month, the contexts of most cohort queries."""
     return c.customer_contexts(with_ym(t.fact()), ["eventID", "ym"], sums)
@@ -45,6 +56,34 @@ def new_customers(t: Tables) -> DataFrame:
     return counts.where("new_customers IS NOT NULL").select("eventID", "ym", "new_customers")
 
 
+@query(
+    "H01_customers_from_first_dates",
+    """SELECT "eventID", ym, nullif(count(*) FILTER (WHERE NOT past), 0) AS new_customers,
+  nullif(count(*) FILTER (WHERE past), 0) AS repeat_customers, count(*) AS total_customers FROM tagged GROUP BY ALL""",
+    **_CTES,
+)
+def customers_from_first_dates(t: Tables) -> DataFrame:
+    """New and repeat customers of all months, with first purchases from the stored table."""
+    first_ever = first_bought(t.spark, by_month_loads(t))
+    return c.cohort_counts(event_months(t), ["eventID", "ym"], first_ever=first_ever)
+
+
+@query(
+    "H01_by_payment_from_first_dates",
+    """SELECT b."eventID", b."paymentMethod", nullif(count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM okf p
+  WHERE p."customerID" = b."customerID" AND p."paymentMethod" = b."paymentMethod" AND p."creationDate" < x.start)), 0) AS new_customers
+FROM by_payment b JOIN (SELECT "eventID", "paymentMethod", min("creationDate") AS start FROM fact GROUP BY ALL) x
+  ON b."eventID" = x."eventID" AND b."paymentMethod" = x."paymentMethod" GROUP BY ALL""",
+    **_CTES,
+)
+def by_payment_from_first_dates(t: Tables) -> DataFrame:
+    """The stored table has one row per customer and payment method here."""
+    by, keep = ["eventID", "paymentMethod"], ("paymentMethod",)
+    first_ever = first_bought(t.spark, by_month_loads(t, keep), keep)
+    counts = c.cohort_counts(c.customer_contexts(t.fact(), by, ()), by, keep, first_ever)
+    return counts.select("eventID", "paymentMethod", "new_customers")
+
+
 @query(
     "H01_new_customers_by_payment",
     """SELECT b."eventID", b."paymentMethod", nullif(count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM okf p
@@ -121,6 +160,30 @@ def avg_new_value(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "H06_value_from_first_dates",
+    f"""SELECT coalesce(n."eventID", fresh."eventID") AS "eventID", coalesce(n.ym, fresh.ym) AS ym, new_customers,
+  CAST(v AS DOUBLE) AS total_new_customers_value, {div("v", "new_customers", "0")} AS avg_new_customers_value
+FROM (SELECT "eventID", ym, nullif(count(*) FILTER (WHERE NOT past), 0) AS new_customers FROM tagged
+  WHERE ym >= 199701 GROUP BY ALL) n
+FULL JOIN (SELECT * FROM fresh WHERE ym >= 199701) fresh ON n."eventID" = fresh."eventID" AND n.ym = fresh.ym""",
+    fresh=_PERIOD,
+    **_CTES,
+)
+def value_from_first_dates(t: Tables) -> DataFrame:
+    """The months of a late selection: orders before it are read by the stored tables only."""
+    late = with_ym(t.fact().where(F.col("creationDateID") >= 19970101))
+    contexts = c.customer_contexts(late, ["eventID", "ym"], _AMOUNTS[:2])
+    return c.avg_new_customer_value(
+        contexts,
+        ["eventID"],
+        "ym",
+        month_start(F.col("first_order")),
+        first_bought(t.spark, by_month_loads(t)),
+        first_ordered(t.spark, by_month_loads(t, ("eventID",)), ["eventID"]),
+    )
+
+
 @query(
     "H07_new_users",
     "SELECT CAST(strftime(created_at, '%Y%m') AS INTEGER) AS ym, count(DISTINCT customer_id) AS new_users FROM csv_customers GROUP BY 1",
@@ -195,3 +258,26 @@ def metric_by_gender(t: Tables) -> DataFrame:
     return c.share_against(out, "male", "total", "male_share")
 
 
+_BY_GENDER = ("complete_orders", "tickets", "revenue", "discount", "profit", "total_orders")
+
+
+@query(
+    "H10_measures_by_gender",
+    " UNION ALL ".join(
+        f"""SELECT "eventID", '{name}' AS metric, female, male, total, female / nullif(greatest(female, total), 0) AS female_share,
+  male / nullif(greatest(male, total), 0) AS male_share FROM (SELECT "eventID",
+  CAST(sum(v) FILTER (WHERE gender = 'Female') AS DOUBLE) AS female, CAST(sum(v) FILTER (WHERE gender = 'Male') AS DOUBLE) AS male,
+  CAST(sum(v) AS DOUBLE) AS total FROM (SELECT "eventID", gender, {value} AS v FROM fact LEFT JOIN cust ON "customerID" = cust.id) GROUP BY 1)"""
+        for name, value in (
+            ("complete_orders", 'CASE WHEN "orderStatus" = 1 THEN 1 END'),
+            ("tickets", 'CASE WHEN "orderStatus" = 1 THEN "totalTickets" END'),
+            ("revenue", 'CASE WHEN "orderStatus" = 1 THEN gross END'),
+            ("discount", 'CASE WHEN "orderStatus" = 1 THEN dval END'),
+            ("profit", 'CASE WHEN "orderStatus" = 1 THEN gross - dval END'),
+            ("total_orders", "1"),
+        )
+    ),
+)
+def measures_by_gender(t: Tables) -> DataFrame:
+    """Orders, tickets, amounts and profit of women and men, from one aggregation of the fact."""
+    return c.measures_by_gender(t.fact(), t.customers(), _BY_GENDER, ["eventID"])

@@ -206,6 +206,23 @@ def is_group_max(t: Tables) -> DataFrame:
     return r.is_group_max(per_payment, "profit", ["eventID"])
 
 
+@query(
+    "S10_age_group_peaks",
+    """SELECT "eventID", "ageGroup", CAST(profit AS DOUBLE) AS profit, tickets,
+  CASE WHEN profit = max(profit) OVER (PARTITION BY "eventID") THEN 1 ELSE 0 END AS is_max_profit,
+  CASE WHEN tickets = max(tickets) OVER (PARTITION BY "eventID") THEN 1 ELSE 0 END AS is_max_tickets
+FROM (SELECT "eventID", "ageGroup", sum(gross - dval) FILTER (WHERE "orderStatus" = 1) AS profit,
+  CAST(sum("totalTickets") FILTER (WHERE "orderStatus" = 1) AS BIGINT) AS tickets
+  FROM fact JOIN cust ON "customerID" = cust.id GROUP BY ALL)""",
+)
+def age_group_peaks(t: Tables) -> DataFrame:
+    """The age group that leads its event, by profit and by tickets."""
+    sums = m.base_sums(t.fact(), ["profit", "tickets"], ["eventID", "customerID"])
+    ages = t.customers().select(F.col("id").alias("customerID"), "ageGroup")
+    per_group = m.finish(m.add_up(sums.join(ages, "customerID"), ["eventID", "ageGroup"]), ["profit", "tickets"])
+    return r.are_group_max(stable(per_group), ["profit", "tickets"], ["eventID"])
+
+
 @query(
     "S11_ordered_string_agg",
     """SELECT "eventID", count(*) AS months, string_agg(strftime(mon, '%B %Y'), ', ' ORDER BY mon DESC) FILTER (WHERE rn <= 2) AS latest

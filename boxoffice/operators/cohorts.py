@@ -7,7 +7,8 @@ first purchase and the first order date of the context.
 
 All cohort figures start from ``customer_contexts``, one row per context and customer. It
 reads the fact once and is written to the shared folder, since each figure uses it three
-times. A customer or an event with a third of all orders is reduced to such rows on the
+times. Where first dates are kept as a table (``sources.first_dates``), the figures of a month take
+them from there, and the contexts are those of that month alone. A customer or an event with a third of all orders is reduced to such rows on the
 map side, before anything is shuffled.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxoffice.functions.numbers import divide
-from boxoffice.operators.metrics import SUMS, is_ok, with_amounts
+from boxoffice.operators.metrics import MEASURES, SUMS, add_up, base_sums, is_ok, with_amounts
 from boxoffice.session import stable
 
 
@@ -107,39 +108,47 @@ def _value_columns() -> list[Column]:
     return split + [F.sum(c).alias(f"total_{name}") for name, c in amounts.items()]
 
 
-def cohort_counts(contexts: DataFrame, by: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def cohort_counts(
+    contexts: DataFrame, by: Sequence[str], keep: Sequence[str] = (), first_ever: DataFrame | None = None
+) -> DataFrame:
     """``new_customers``, ``repeat_customers`` and ``total_customers`` per context.
 
     A context without buyers has no row: its counts are absent, not zero.
     """
-    return tagged_buyers(contexts, by, keep).groupBy(*by).agg(*_count_columns())
+    return tagged_buyers(contexts, by, keep, first_ever).groupBy(*by).agg(*_count_columns())
 
 
-def cohort_value(contexts: DataFrame, by: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def cohort_value(
+    contexts: DataFrame, by: Sequence[str], keep: Sequence[str] = (), first_ever: DataFrame | None = None
+) -> DataFrame:
     """Profit, tickets and discount of new and of repeat customers per context.
 
     Only the event filter is lifted for past purchases: pass ticket columns that are part
     of ``by`` in ``keep`` as well.
     """
-    return tagged_buyers(contexts, by, keep).groupBy(*by).agg(*_value_columns())
+    return tagged_buyers(contexts, by, keep, first_ever).groupBy(*by).agg(*_value_columns())
 
 
-def cohort_summary(contexts: DataFrame, by: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def cohort_summary(
+    contexts: DataFrame, by: Sequence[str], keep: Sequence[str] = (), first_ever: DataFrame | None = None
+) -> DataFrame:
     """Counts and values together, for contexts without ticket columns."""
-    tagged = tagged_buyers(contexts, by, keep)
+    tagged = tagged_buyers(contexts, by, keep, first_ever)
     return tagged.groupBy(*by).agg(*_count_columns(), *_value_columns())
 
 
 def period_cohort_value(
-    contexts: DataFrame, by: Sequence[str], period: str, period_start: Column
+    contexts: DataFrame, by: Sequence[str], period: str, period_start: Column, earliest: DataFrame | None = None
 ) -> DataFrame:
     """Profit of customers without any earlier order, of any status, before the period.
 
     ``contexts`` are by ``by`` and ``period``. Unlike ``cohort_value`` the filters in
     ``by`` hold for the earlier orders too, and the bound is the first calendar date of
     the period (an expression over ``contexts``) instead of the first order in it.
+    ``earliest`` (per customer and ``by``) is given where the contexts do not hold all orders.
     """
-    earliest = contexts.groupBy("customerID", *by).agg(F.min("first_order").alias("earliest"))
+    if earliest is None:
+        earliest = contexts.groupBy("customerID", *by).agg(F.min("first_order").alias("earliest"))
     fresh = contexts.withColumn("start", period_start).join(earliest, ["customerID", *by])
     return (
         fresh.where(F.col("earliest") >= F.col("start"))
@@ -149,11 +158,16 @@ def period_cohort_value(
 
 
 def avg_new_customer_value(
-    contexts: DataFrame, by: Sequence[str], period: str, period_start: Column
+    contexts: DataFrame,
+    by: Sequence[str],
+    period: str,
+    period_start: Column,
+    first_ever: DataFrame | None = None,
+    earliest: DataFrame | None = None,
 ) -> DataFrame:
     """Value of new customers in the period divided by the number of new customers."""
-    value = period_cohort_value(contexts, by, period, period_start)
-    counts = cohort_counts(contexts, [*by, period]).select(*by, period, "new_customers")
+    value = period_cohort_value(contexts, by, period, period_start, earliest)
+    counts = cohort_counts(contexts, [*by, period], first_ever=first_ever).select(*by, period, "new_customers")
     return counts.join(value, [*by, period], "full").withColumn(
         "avg_new_customers_value",
         divide(F.col("total_new_customers_value"), F.col("new_customers"), 0),
@@ -248,3 +262,40 @@ def metric_by_gender(
             F.sum("v").alias("total"),
         )
     )
+
+
+def measures_by_gender(
+    fact: DataFrame, customers: DataFrame, metrics: Sequence[str], by: Sequence[str]
+) -> DataFrame:
+    """Measures per group as rows: metric, ``female``, ``male``, ``total`` and both shares.
+
+    The metrics are those whose sums can be added up. All their sums are taken once per
+    customer; the sums of each gender, and of customers of neither, are finished into measures on their own,
+    so that measures such as profit need no column of theirs in the fact.
+    """
+    per_customer = base_sums(fact, metrics, [*by, "customerID"])
+    sums = [c for c in per_customer.columns if c in SUMS]
+    people = customers.select(F.col("id").alias("customerID"), "gender")
+    split = add_up(per_customer.join(people, "customerID", "left"), [*by, "gender"])
+    whole = [F.sum(c).alias(c) for c in sums]
+    sides = {
+        "female": [F.sum(F.when(F.col("gender") == "Female", F.col(c))).alias(c) for c in sums],
+        "male": [F.sum(F.when(F.col("gender") == "Male", F.col(c))).alias(c) for c in sums],
+        "total": whole,
+    }
+    wide = split.groupBy(*by).agg(*[F.struct(*columns).alias(side) for side, columns in sides.items()])
+    values = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("metric"),
+                *[
+                    MEASURES[name].value({c: F.col(side)[c] for c in sums}).cast("double").alias(side)
+                    for side in sides
+                ],
+            )
+            for name in metrics
+        ]
+    )
+    long = wide.select(*by, F.explode(values).alias("m")).select(*by, "m.*")
+    long = share_against(long, "female", "total", "female_share")
+    return share_against(long, "male", "total", "male_share")

@@ -172,6 +172,19 @@ def is_group_max(df: DataFrame, metric: str, keys: Sequence[str] = ()) -> DataFr
     return top.withColumn("is_max", F.coalesce(same, F.lit(0))).drop("_top")
 
 
+def are_group_max(df: DataFrame, metrics: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """``is_max_<metric>`` for several metrics, with one join for all of their maxima.
+
+    ``df`` is used twice: write one that is costly to compute. A null key is a group like any other.
+    """
+    tops = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*[F.max(c).alias(f"_top_{c}") for c in metrics])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    flags = [F.coalesce((F.col(c) == F.col(f"_top_{c}")).cast("int"), F.lit(0)).alias(f"is_max_{c}") for c in metrics]
+    return df.join(tops, same).select(*df.columns, *flags)
+
+
 def latest_months(fact: DataFrame, by: Sequence[str], n: int = 2) -> DataFrame:
     """Number of months with orders, and the names of the latest ``n``, newest first."""
     first = F.trunc("creationDate", "month")
