@@ -17,7 +17,7 @@ from boxoffice.operators.joins import (
     star_join,
     with_membership,
 )
-from boxoffice.operators.metrics import kpi, single_values, without_filters
+from boxoffice.operators.metrics import kpi, measures_without_filters, single_values, without_filters
 from boxoffice.plans import models, raw
 from boxoffice.session import stable
 
@@ -137,6 +137,31 @@ def filter_context(t: Tables) -> DataFrame:
     )
 
 
+def _margins(where: str, keys: str, suffix: str) -> str:
+    return f"""(SELECT {keys}{measures("profit_margin", "avg_profit_per_order")} FROM fact WHERE {where} GROUP BY ALL) {suffix}"""
+
+
+@query(
+    "C09_ratio_contexts",
+    f"""SELECT g."eventID", g."paymentMethod", g.profit_margin, g.avg_profit_per_order,
+  a.profit_margin AS profit_margin_all_payments, a.avg_profit_per_order AS avg_profit_per_order_all_payments,
+  b.profit_margin AS profit_margin_all_events, b.avg_profit_per_order AS avg_profit_per_order_all_events,
+  c.profit_margin AS profit_margin_selected, c.avg_profit_per_order AS avg_profit_per_order_selected
+FROM {_margins('"creationDateID" >= 19970601', '"eventID", "paymentMethod", ', "g")}
+JOIN {_margins('"creationDateID" >= 19970601', '"eventID", ', "a")} ON g."eventID" = a."eventID"
+JOIN {_margins('"creationDateID" >= 19970601', '"paymentMethod", ', "b")} ON g."paymentMethod" = b."paymentMethod"
+CROSS JOIN {_margins('"creationDateID" >= 19970601', "", "c")}""",
+)
+def ratio_contexts(t: Tables) -> DataFrame:
+    """Ratios under filters taken away, each from the sums of its own context."""
+    return measures_without_filters(
+        t.fact().where(F.col("creationDateID") >= 19970601),
+        ["profit_margin", "avg_profit_per_order"],
+        ["eventID", "paymentMethod"],
+        {"all_payments": ["eventID"], "all_events": ["paymentMethod"], "selected": []},
+    )
+
+
 @query(
     "C10_single_value_guard",
     """SELECT "customerID", CASE WHEN count(DISTINCT "paymentMethod") = 1 THEN min("paymentMethod") END AS "paymentMethod",

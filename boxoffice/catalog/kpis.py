@@ -10,6 +10,7 @@ from boxoffice.catalog.oracle import MEASURE_SQL, dbl, div, measures
 from boxoffice.catalog.register import query
 from boxoffice.functions.dates import month_index
 from boxoffice.operators import metrics as m
+from boxoffice.operators.distinct import kpi_levels
 from boxoffice.operators.joins import lookup_date
 from boxoffice.operators.timeintel import previous_month
 from boxoffice.session import stable
@@ -97,6 +98,21 @@ def months_selected(t: Tables) -> DataFrame:
     return m.months_selected(t.fact(), ["customerID"])
 
 
+_LEVELS = [["eventID", "paymentMethod"], ["eventID"], ["paymentMethod"], []]
+_LEVEL_METRICS = ["total_customers", "avg_orders_per_customer", "events_with_sales", "tickets", "profit_margin"]
+
+
+@query(
+    "K15_customer_levels",
+    f"""SELECT "eventID", "paymentMethod",
+  CASE grouping("eventID") * 2 + grouping("paymentMethod") WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 3 END AS level,
+  {measures(*_LEVEL_METRICS)} FROM fact GROUP BY GROUPING SETS (("eventID", "paymentMethod"), ("eventID"), ("paymentMethod"), ())""",
+)
+def customer_levels(t: Tables) -> DataFrame:
+    """Distinct customers and events at four levels, from bitmaps set in one pass."""
+    return kpi_levels(t.fact(), _LEVEL_METRICS, _LEVELS)
+
+
 @query("K24_distinct_rows", 'SELECT DISTINCT "customerID", "eventID", "paymentMethod" FROM fact')
 def distinct_rows(t: Tables) -> DataFrame:
     return t.fact().select("customerID", "eventID", "paymentMethod").distinct()

@@ -171,7 +171,17 @@ def topn_events(t: Tables) -> DataFrame:
     **_EV,
 )
 def median_across_events(t: Tables) -> DataFrame:
-    return r.median_of(event_kpi(t, ["profit"]), "profit")
+    return r.median_of(stable(event_kpi(t, ["profit"]).select("profit")), "profit")
+
+
+@query(
+    "S07_median_of_customers",
+    f"""SELECT median(CAST(profit AS DOUBLE)) AS median_profit FROM
+(SELECT "customerID", {PROFIT} AS profit FROM fact GROUP BY 1) WHERE profit IS NOT NULL""",
+)
+def median_of_customers(t: Tables) -> DataFrame:
+    """The median over a list that grows with the table."""
+    return r.median_of(stable(m.kpi(t.fact(), ["profit"], ["customerID"]).select("profit")), "profit")
 
 
 @query(

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from boxoffice.functions.dates import month_index
 from boxoffice.functions.numbers import UNITS, divide, null_if_zero, round_up, sum_units, to_units
+from boxoffice.session import stable
 from boxoffice.sources import parameters
 
+
 def is_ok() -> Column:
     """Whether an order was completed."""
     return F.col("orderStatus") == 1
@@ -47,11 +49,13 @@ SUMS: dict[str, Callable[[], Column]] = {
     "s_rate": lambda: sum_units(_when_ok(to_units(F.col("discount")))),
     "n_rate": lambda: F.count(_when_ok(F.col("discount"))),
 }
+DISTINCT_IDS: dict[str, Callable[[], Column]] = {
+    "n_customers": lambda: F.when(is_ok() & F.col("creationDateID").isNotNull(), F.col("customerID")),
+    "n_events": lambda: F.col("eventID"),
+}
 DISTINCT: dict[str, Callable[[], Column]] = {
-    "n_customers": lambda: F.count_distinct(
-        F.when(is_ok() & F.col("creationDateID").isNotNull(), F.col("customerID"))
-    ),
-    "n_events": lambda: F.count_distinct("eventID"),
+    "n_customers": lambda: F.count_distinct(DISTINCT_IDS["n_customers"]()),
+    "n_events": lambda: F.count_distinct(DISTINCT_IDS["n_events"]()),
 }
 
 
@@ -188,6 +192,44 @@ def without_filters(df: DataFrame, metric: str, remaining: Mapping[str, Sequence
     return out
 
 
+def measures_without_filters(
+    fact: DataFrame, metrics: Sequence[str], by: Sequence[str], remaining: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """Measures per ``by`` group next to their values under fewer filters, as ``<metric>_<name>``.
+
+    ``remaining`` maps a name to those of the ``by`` columns whose filter still holds. Unlike
+    ``without_filters``, which adds a metric up, each context's measure is made from its own base sums, so
+    ratios are right too. The fact is aggregated once; the sums of all contexts
+    follow from that in one aggregation by grouping sets, which is written, a row per group and context.
+    """
+    sets = [list(by), *[list(keys) for keys in remaining.values()]]
+    sums = base_sums(fact, metrics, by)
+    names = [c for c in sums.columns if c in SUMS]
+    if len(names) < len(needed_sums(metrics)):
+        raise ValueError("distinct counts cannot be added up; see operators.distinct")
+    unique = [list(s) for s in dict.fromkeys(tuple(s) for s in sets)]
+    added = sums.groupingSets([[F.col(c) for c in s] for s in unique], *[F.col(c) for c in by])
+    added = stable(added.agg(F.grouping_id().alias("_set"), *[F.sum(c).alias(c) for c in names]))
+
+    def context(keys: Sequence[str]) -> DataFrame:
+        number = sum(1 << (len(by) - 1 - i) for i, c in enumerate(by) if c not in keys)
+        return finish(added.where(F.col("_set") == number).select(*keys, *names), metrics)
+
+    out = context(by)
+    for name, keys in remaining.items():
+        values = context(keys).withColumnsRenamed({m: f"{m}_{name}" for m in metrics})
+        if keys:
+            same = F.lit(True)
+            for k in keys:
+                values = values.withColumnRenamed(k, f"_{k}")
+                same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+            out = out.join(values, same, "left").drop(*[f"_{k}" for k in keys])
+        else:
+            for m in metrics:
+                out = out.withColumn(f"{m}_{name}", values.select(f"{m}_{name}").scalar())
+    return out
+
+
 def single_value(c: Column) -> Column:
     """The value of ``c`` if the group has exactly one, else null. No distinct is needed."""
     return F.when((F.min(c) == F.max(c)) & (F.count(c) == F.count(F.lit(1))), F.min(c))
@@ -223,9 +265,14 @@ def even_positions(params: DataFrame) -> DataFrame:
 
 
 def pct_of_target(fact: DataFrame, events: DataFrame) -> DataFrame:
-    """Tickets created up to the last purchase date of all, as a share of the event target."""
-    last = fact.agg(F.max("purchaseDateID")).scalar()
-    sold = kpi(fact.where(F.col("creationDateID") <= last), ["tickets"], ["eventID"])
+    """Tickets created up to the last purchase date of all, as a share of the event target.
+
+    Sums and last purchases are taken per event and day in one pass; the bound is applied to those.
+    """
+    days = with_amounts(fact).groupBy("eventID", "creationDateID")
+    days = stable(days.agg(SUMS["s_tickets"]().alias("s_tickets"), F.max("purchaseDateID").alias("last")))
+    last = days.agg(F.max("last")).scalar()
+    sold = finish(add_up(days.where(F.col("creationDateID") <= last), ["eventID"]), ["tickets"])
     targets = events.select(F.col("id").alias("eventID"), "target")
     return sold.join(targets, "eventID", "left").select(
         "eventID", "tickets", "target", divide(F.col("tickets"), F.col("target")).alias("pct_of_target")
