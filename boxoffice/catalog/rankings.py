@@ -51,14 +51,7 @@ _EV = {
     **_EV,
 )
 def rank_events(t: Tables) -> DataFrame:
-    wide = stable(event_kpi(t, _RANKED))
-    parts = [
-        r.rank_by(wide.select("name", n), n, "name").select(
-            F.lit(n).alias("metric"), "name", F.col(n).cast("double").alias("value"), "rank"
-        )
-        for n in _RANKED
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return r.rank_metrics(event_kpi(t, _RANKED), _RANKED, "name")
 
 
 @query(
@@ -112,6 +105,26 @@ def hierarchical_rank(t: Tables) -> DataFrame:
     return r.hierarchical_rank(inner, sums, "profit")
 
 
+_BOTH_LEVELS = ["profit", "complete_orders"]
+
+
+@query(
+    "S02_hierarchical_ranks",
+    " UNION ALL ".join(
+        f"""SELECT '{n}' AS metric, 0 AS level, "eventName", NULL AS distance, {dbl(n)} AS value,
+  dense_rank() OVER (ORDER BY {n} DESC NULLS LAST, "eventName") AS rank FROM
+  (SELECT "eventName", sum({n}) AS {n} FROM evd GROUP BY 1)
+UNION ALL SELECT '{n}', 1, "eventName", distance, {dbl(n)},
+  dense_rank() OVER (PARTITION BY "eventName" ORDER BY {n} DESC NULLS LAST, distance) FROM evd"""
+        for n in _BOTH_LEVELS
+    ),
+    **_EV,
+)
+def hierarchical_ranks(t: Tables) -> DataFrame:
+    inner, sums = event_distance_sums(t, *_BOTH_LEVELS)
+    return r.hierarchical_ranks(inner, sums, _BOTH_LEVELS)
+
+
 @query(
     "S03_share_of_total",
     f"""SELECT "eventName", NULL AS distance, CAST(profit AS DOUBLE) AS profit,

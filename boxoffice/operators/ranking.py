@@ -8,6 +8,7 @@ n-th place first.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,31 +19,48 @@ from boxoffice.operators.metrics import finish, max_of, total_of
 from boxoffice.session import stable
 
 
-def numbered(df: DataFrame, order: Sequence[Column], name: str = "place") -> DataFrame:
-    """Number the rows 1, 2, 3, ... in the given order, in parallel.
+#: ``monotonically_increasing_id`` has the row's place in its partition in the lower 33 bits.
+_PLACE_BITS = 33
 
-    Rows are range-partitioned, numbered inside each range, and shifted by the sizes of
-    the ranges before it. The placement is written once, so that both uses see the same
-    one. Equal sort keys land in one range: make the order total.
+
+def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` in ranges of the order, written once, with the place of each row in ``_at``.
+
+    Range borders are sampled once. Each range is put in order by one task, and ``_at`` holds the
+    range and the place in it, so nothing that reads the written rows has to sort or move them.
     """
-    placed = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    placed = stable(placed)
+    inside = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return stable(inside.withColumn("_at", F.monotonically_increasing_id()))
+
+
+def _with_place(placed: DataFrame, name: str) -> DataFrame:
+    """Turn ``_at`` into places 1, 2, 3, ... over all ranges."""
+    place = F.col("_at").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) + 1
     # One row per shuffle partition, so this window is as small as the cluster.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("_range")
+        placed.groupBy(F.shiftright("_at", _PLACE_BITS).alias("_range"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     return (
-        placed.withColumn("_inside", inside)
+        placed.withColumn("_range", F.shiftright("_at", _PLACE_BITS))
         .join(F.broadcast(offsets), "_range")
-        .withColumn(name, (F.col("_before") + F.col("_inside")).cast("long"))
-        .drop("_range", "_inside", "_before")
+        .withColumn(name, (F.col("_before") + place).cast("long"))
+        .drop("_range", "_before", "_at")
     )
 
 
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "place") -> DataFrame:
+    """Number the rows 1, 2, 3, ... in the given order, in parallel.
+
+    Rows are range-partitioned, numbered inside each range, and shifted by the sizes of
+    the ranges before it. The placement is written once, so that both uses see the same
+    one. Equal sort keys land in one range: make the order total.
+    """
+    return _with_place(_placed(df, order), name)
+
+
 def rank_by(df: DataFrame, metric: str, name: str, rank: str = "rank") -> DataFrame:
     """Dense rank by ``metric`` descending, then ``name`` ascending; no value ranks last.
 
@@ -58,28 +76,103 @@ def rank_within(
 
     ``df`` has one row per ``keys`` and ``name``. The rows of all groups are numbered in
     one order; the rank is the distance to the first place of the group. So a group with
-    much of the list is spread over several ranges like any other part of it.
+    much of the list is spread over several ranges like any other part of it. An absent
+    key is a group like any other.
     """
     order = [F.col(k).asc() for k in keys]
     order += [F.col(metric).desc_nulls_last(), F.col(name).asc()]
-    placed = stable(numbered(df, order, "_place"))
-    first = placed.groupBy(*keys).agg(F.min("_place").alias("_first"))
-    return (
-        placed.join(first, list(keys))
-        .withColumn(rank, F.col("_place") - F.col("_first") + 1)
-        .drop("_place", "_first")
+    return _from_first(numbered(df, order, "_place"), keys, rank)
+
+
+def _from_first(placed: DataFrame, keys: Sequence[str], rank: str) -> DataFrame:
+    """Replace ``_place`` by the distance to the first place of the row's group, from 1."""
+    first = placed.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min("_place").alias("_first"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    distance = (F.col("_place") - F.col("_first") + 1).alias(rank)
+    return placed.join(first, same).select(*[c for c in placed.columns if c != "_place"], distance)
+
+
+def _one_per_metric(df: DataFrame, metrics: Sequence[str], keep: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """A row per metric and row of ``df``: ``keep``, the metric's position, and its value.
+
+    The value stands in the column of its own type, ``_v0``, ``_v1``, ..., since a common type
+    could make different values equal. Returns the frame and the names of these columns.
+    """
+    types = list(dict.fromkeys(df.schema[m].dataType for m in metrics))
+    slots = [f"_v{i}" for i in range(len(types))]
+    entries = []
+    for i, m in enumerate(metrics):
+        own = [F.when(F.lit(df.schema[m].dataType == t), F.col(m)).otherwise(F.lit(None)).cast(t).alias(s) for s, t in zip(slots, types)]
+        entries.append(F.struct(F.lit(i).alias("_metric"), *own))
+    return df.select(*keep, F.inline(F.array(*entries))), slots
+
+
+def _named_values(ranked: DataFrame, metrics: Sequence[str], slots: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``metric`` by name and ``value`` as a double, from position and typed value."""
+    names = F.array(*[F.lit(m) for m in metrics])
+    value = F.coalesce(*[F.col(s).cast("double") for s in slots])
+    return ranked.select(F.get(names, F.col("_metric")).alias("metric"), *keep, value.alias("value"), "rank")
+
+
+def _value_order(slots: Sequence[str]) -> list[Column]:
+    # Of one metric all values stand in one slot, so the others do not change its order.
+    return [F.col(s).desc_nulls_last() for s in slots]
+
+
+def rank_metrics(df: DataFrame, metrics: Sequence[str], name: str) -> DataFrame:
+    """``rank_by`` for several metrics: metric, ``name``, value (double), rank.
+
+    ``df`` has one row per ``name``. The rows of all metrics are put in order by one exchange
+    and written once, however many metrics there are. Ranks follow the exact values.
+    """
+    long, slots = _one_per_metric(df, metrics, [name])
+    placed = _placed(long, [F.col("_metric"), *_value_order(slots), F.col(name).asc()])
+    # Where each metric begins: one row per metric, so the join is small on that side.
+    numbers = _with_place(placed, "_place")
+    return _named_values(_after_metric(numbers, placed), metrics, slots, [name])
+
+
+def _after_metric(numbers: DataFrame, placed: DataFrame) -> DataFrame:
+    """Ranks from places: every metric's rows follow those of the metrics before it."""
+    before = Window.orderBy("_metric").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy("_metric")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_metric", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
+    joined = numbers.join(F.broadcast(starts), "_metric")
+    return joined.withColumn("rank", F.col("_place") - F.col("_start")).drop("_place", "_start")
 
 
-def hierarchical_rank(inner: DataFrame, sums: Sequence[str], metric: str) -> DataFrame:
-    """Events ranked among events, distances ranked inside their event.
+def hierarchical_ranks(inner: DataFrame, sums: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """Events ranked among events and distances inside their event, for several metrics.
 
-    ``inner`` has base sums by ``eventName`` and ``distance``. Event rows have no distance.
+    ``inner`` has base sums by ``eventName`` and ``distance``. Returns metric, level (0 for
+    events, 1 for distances), eventName, distance, value (double), rank; event rows have no
+    distance. Both levels of all metrics are numbered in one order, written once.
     """
     event_sums = inner.groupBy("eventName").agg(*[F.sum(s).alias(s) for s in sums])
-    events = rank_by(finish(event_sums, [metric]), metric, "eventName")
-    distances = rank_within(finish(inner, [metric]), metric, "distance", ["eventName"])
-    return events.withColumn("distance", F.lit(None).cast("string")).unionByName(distances)
+    events = finish(event_sums, metrics).withColumn("distance", F.lit(None).cast("string"))
+    levels = events.withColumn("level", F.lit(0)).unionByName(finish(inner, metrics).withColumn("level", F.lit(1)))
+    keep = ["level", "eventName", "distance"]
+    long, slots = _one_per_metric(levels, metrics, keep)
+    group = F.when(F.col("level") == 1, F.col("eventName"))
+    member = F.when(F.col("level") == 1, F.col("distance")).otherwise(F.col("eventName"))
+    order = [F.col("_metric"), F.col("level"), group.asc(), *_value_order(slots), member.asc()]
+    numbers = _with_place(_placed(long, order), "_place")
+    # All events of a metric are one group: their first place is one row, not a key to join on.
+    tops = numbers.where("level = 0")
+    first = tops.groupBy("_metric").agg(F.min("_place").alias("_first"))
+    ranked = tops.join(F.broadcast(first), "_metric").withColumn("rank", F.col("_place") - F.col("_first") + 1)
+    below = _from_first(numbers.where("level = 1"), ["_metric", "eventName"], "rank")
+    both = ranked.drop("_place", "_first").unionByName(below)
+    return _named_values(both, metrics, slots, keep)
+
+
+def hierarchical_rank(inner: DataFrame, sums: Sequence[str], metric: str) -> DataFrame:
+    """``hierarchical_ranks`` of one metric: eventName, distance, the metric, rank."""
+    both = hierarchical_ranks(inner, sums, [metric])
+    return both.select("eventName", "distance", F.col("value").alias(metric), "rank")
 
 
 def share(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 import statistics
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,3 +106,67 @@ def test_contexts(rows):
 def test_contexts_refuse_distinct_counts(rows):
     with pytest.raises(ValueError, match="distinct"):
         metrics.measures_without_filters(rows([], SCHEMA), ["total_customers"], ["eventID"], {"all": []})
+
+
+@pytest.fixture
+def written(monkeypatch):
+    """The plans of all frames that are written while ranks are taken."""
+    plans, write = [], ranking.stable
+
+    def note(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(ranking, "stable", note)
+    return plans
+
+
+def by_value(entries):
+    """Ranks of (name, value): greatest first, absent last, ties by name, an absent name first."""
+    order = sorted(entries, key=lambda e: (e[1] is None, -(e[1] or 0), e[0] is not None, e[0] or ""))
+    return {name: place for place, (name, _) in enumerate(order, 1)}
+
+
+def test_ranks_of_several_metrics_take_one_exchange(rows, written):
+    rng, big = random.Random(5), 2**53
+    # Neighbours that are equal as doubles, a third of equal values, absent values.
+    data = [
+        (f"n{i:04d}", big + rng.randrange(9), 7.5 if i % 3 == 0 else rng.random(), Decimal(i % 5) / 100 if i % 7 else None, i % 4)
+        for i in range(1200)
+    ]
+    metrics = ["big", "part", "money", "few"]
+    df = rows(data, "name string, big long, part double, money decimal(20,2), few int").repartition(5)
+    got = ranking.rank_metrics(df, metrics, "name").collect()
+    assert len(written) == 1 and written[0].count("rangepartitioning") == 1
+    assert len(got) == len(data) * len(metrics)
+    for i, m in enumerate(metrics, 1):
+        assert {r["name"]: r["rank"] for r in got if r["metric"] == m} == by_value([(d[0], d[i]) for d in data])
+    assert {r["value"] for r in got if r["metric"] == "few"} == {0.0, 1.0, 2.0, 3.0}
+
+
+def test_ranks_of_no_rows(rows):
+    empty = rows([], "name string, v int, w double")
+    assert ranking.rank_metrics(empty, ["v", "w"], "name").collect() == []
+
+
+def test_both_levels_of_several_metrics_take_one_exchange(rows, written, monkeypatch):
+    rng = random.Random(6)
+    # The first event has a third of the distances; one event and one distance have no name.
+    data = [("hot", f"d{i:03d}", rng.randrange(50), rng.choice([None, 1.0, 2.5])) for i in range(300)]
+    data += [(e, d, rng.randrange(9), 1.0) for e in ["a", "b", None, *(f"e{i}" for i in range(100))] for d in ["x", "y", None]]
+    inner = rows(data, "eventName string, distance string, v long, w double").repartition(4)
+    monkeypatch.setattr(ranking, "finish", lambda df, names: df)
+    got = ranking.hierarchical_ranks(inner, ["v", "w"], ["v", "w"]).collect()
+    assert len(written) == 1 and written[0].count("rangepartitioning") == 1
+    for i, m in enumerate(["v", "w"], 2):
+        totals, inside = {}, {}
+        for d in data:
+            inside.setdefault(d[0], []).append((d[1], d[i]))
+        for event, entries in inside.items():
+            known = [v for _, v in entries if v is not None]
+            totals[event] = sum(known) if known else None
+        events = {r["eventName"]: r["rank"] for r in got if (r["metric"], r["level"]) == (m, 0)}
+        assert events == by_value(totals.items())
+        for event, entries in inside.items():
+            mine = {r["distance"]: r["rank"] for r in got if (r["metric"], r["level"], r["eventName"]) == (m, 1, event)}
+            assert mine == by_value(entries)
