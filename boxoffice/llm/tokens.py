@@ -23,8 +23,8 @@ _SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u2
 _PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 #: Python takes these as white space, the tokenizers do not.
 _CONTROL = "\x1c\x1d\x1e\x1f"
-#: Blanks that are not single ones between other characters.
-_RUN = re.compile(r" \s|\s ")
+#: Blanks that are not single ones between other characters, and line ends next to other white space.
+_RUN = re.compile(r" \s|\s |\n\s|\s\n")
 #: Longest piece that is remembered, in characters.
 _LONGEST = 64
 
@@ -92,12 +92,12 @@ class Encoder:
 
     def encode_piece(self, before: str, piece: str) -> bytes:
         own = self._spaced if before else self._bare
-        if "\n" in piece and not self._folds:
-            parts = piece.split("\n")
-            if all(parts) and not any(p[0].isspace() or p[-1].isspace() for p in parts):
-                line = self._bare["\n"] if piece != "\n" else b""
-                return line.join([own[parts[0]], *(self._bare[p] for p in parts[1:])])
-            return self._whole(before + piece)
+        if piece[:1] == "\n" and not self._folds:
+            # No blank stands before a line end; nothing but the line end may stand before the word.
+            word = piece[1:]
+            if word and not word[0].isspace():
+                return self._bare["\n"] + self._bare[word]
+            return self._whole(piece)
         if not piece.isalpha():
             word = piece.rstrip(string.punctuation)
             # Some letters become a letter and a mark in lower case, which would join the punctuation.
@@ -123,7 +123,8 @@ class Encoder:
         if self._folds and not control:
             joined = _found(self._bare, text.split())
         elif not self._folds and not control and not _RUN.search(text):
-            first, *rest = text.split(" ")
+            # A line end goes with the word after it, so that words of two lines are no piece of their own.
+            first, *rest = text.replace("\n", " \n").split(" ")
             joined = self._bare[first] + _found(self._spaced, rest)
         else:
             joined = _found(self._bare, _PIECE.findall(text))
