@@ -13,7 +13,7 @@ from boxoffice.plans import models, raw, schemas
 from boxoffice.session import scratch_path
 from boxoffice.sources import parameters
 from boxoffice.sources.changes import merge_load
-from boxoffice.sources.csv_tables import read_csv, write_csv
+from boxoffice.sources.csv_tables import AuditedCsv, read_csv, write_csv
 from boxoffice.sources.json_array import read_json_array, write_json_arrays
 from boxoffice.sources.sinks import (
     current_table,
@@ -104,6 +104,34 @@ def csv_scan(t: Tables) -> DataFrame:
     return read_csv(t.spark, path, schemas.CSV_EVENTS)
 
 
+@query(
+    "A05_line_audit",
+    """SELECT id, name, CASE WHEN id % 5 = 2 THEN NULL ELSE CAST(CAST(ticket_close_date AS TIMESTAMP) AS VARCHAR) END AS ticket_close_date,
+  CASE WHEN id % 5 IN (2, 3) THEN NULL ELSE target END AS target, CAST(n.lines AS BIGINT) AS lines,
+  CAST(n.l AS BIGINT) AS long, CAST(n.s AS BIGINT) AS short, CAST(n.u AS BIGINT) AS unreadable FROM csv_events,
+  (SELECT count(*) AS lines, count(*) FILTER (id % 5 = 1) AS l, count(*) FILTER (id % 5 = 2) AS s,
+    count(*) FILTER (id % 5 = 3) AS u FROM csv_events) AS n""",
+)
+def line_audit(t: Tables) -> DataFrame:
+    """A damaged extract of the events: a fifth each of long, short and unreadable lines. All rows are kept."""
+    path, table = scratch_path(t.spark, "damaged-csv"), scratch_path(t.spark, "damaged")
+    fields = [F.col(c).cast("string") for c in schemas.CSV_EVENTS.fieldNames()]
+    kind, whole = F.col("id") % 5, F.concat_ws(",", *fields)
+    line = (
+        F.when(kind == 1, F.concat(whole, F.lit(",more")))
+        .when(kind == 2, F.concat_ws(",", *fields[:-2]))
+        .when(kind == 3, F.concat_ws(",", *fields[:-1], F.lit("many")))
+        .otherwise(whole)
+    )
+    t.csv_events().select(line.alias(",".join(schemas.CSV_EVENTS.fieldNames()))).write.option("header", True).option(
+        "sep", "\t"
+    ).option("quote", "").csv(path)
+    lines = AuditedCsv(t.spark, path, schemas.CSV_EVENTS)
+    overwrite_load(lines.rows, table)
+    counts = [F.lit(lines.counts()[kind]).cast("long").alias(kind) for kind in ("lines", "long", "short", "unreadable")]
+    return current_table(t.spark, table).select("id", "name", "ticket_close_date", "target", *counts)
+
+
 @query(
     "A06_warehouse_view_scan",
     """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS "dateID", CAST(d AS VARCHAR) AS date,

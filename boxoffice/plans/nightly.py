@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from boxoffice.operators import quality
 from boxoffice.plans import bi_tables, models, raw, schemas
-from boxoffice.sources.csv_tables import read_csv
+from boxoffice.sources.csv_tables import AuditedCsv, read_csv
 from boxoffice.sources.json_array import CountedDump
 from boxoffice.sources.sinks import current_table, materialize, overwrite_load, write_range_partitioned
 
@@ -109,16 +109,34 @@ EXTRACTS = {
 }
 
 
+def load_extracts(
+    spark: SparkSession, extracts: str, out: str, allowed: dict[str, dict[str, int]] | None = None
+) -> dict[str, dict[str, int]]:
+    """Replace the table of every extract; returns rows, and odd lines by kind, per extract.
+
+    An extract with more odd lines than ``allowed`` (per extract and kind; none by default) leaves
+    its table as it was and raises MalformedLines.
+    """
+    found = {}
+    for name, (schema, encoding) in EXTRACTS.items():
+        lines = AuditedCsv(spark, f"{extracts}/{name}", schema, encoding)
+        most = (allowed or {}).get(name, {})
+        overwrite_load(lines.rows, f"{out}/{name}", verify=lambda: lines.verify(**most))
+        found[name] = lines.counts()
+    return found
+
+
 def build_report(
-    spark: SparkSession, extracts: str, out: str, cutoff: dt.date, as_of: dt.date
+    spark: SparkSession, extracts: str, out: str, cutoff: dt.date, as_of: dt.date, loaded: bool = False
 ) -> None:
     """Prepare the fact, the four dimensions and the calendar, and keep them as tables.
 
+    ``extracts`` has the files, or with ``loaded`` the tables that ``load_extracts`` made of them.
     The fact comes first: the events' ticket totals and the range of the calendar are
     read from the stored one.
     """
     files = {
-        name: read_csv(spark, f"{extracts}/{name}", schema, encoding)
+        name: current_table(spark, f"{extracts}/{name}") if loaded else read_csv(spark, f"{extracts}/{name}", schema, encoding)
         for name, (schema, encoding) in EXTRACTS.items()
     }
     fact = materialize(bi_tables.fact_orders(files["orders"]), f"{out}/fact_orders")

@@ -7,7 +7,7 @@ import pytest
 from boxoffice.catalog.bindings import AS_OF, CUTOFF
 from boxoffice.operators import metrics
 from boxoffice.plans import bi_tables, nightly
-from boxoffice.sources.csv_tables import write_csv
+from boxoffice.sources.csv_tables import MalformedLines, write_csv
 from boxoffice.sources.json_array import write_json_arrays
 from boxoffice.sources.sinks import current_table
 from tests.conftest import values
@@ -71,3 +71,21 @@ def test_report_tables(spark, tables, tmp_path):
     assert values(stored("dim_calendar")) == values(calendar)
     sold = metrics.kpi(stored("fact_orders"), ["tickets"], ["eventID"])
     assert values(stored("dim_events"), "id", "tickets") == values(sold)
+
+
+def test_report_from_loaded_extracts(spark, tables, tmp_path):
+    """A damaged line stops its load until it is allowed; the report then builds from the stored extracts."""
+    extracts, kept, out = (str(tmp_path / n) for n in ("extracts", "kept", "report"))
+    frames = {"events": tables.csv_events(), "tickets": tables.csv_tickets(), "customers": tables.csv_customers()}
+    for name, df in {**frames, "orders": tables.csv_orders()}.items():
+        write_csv(df, f"{extracts}/{name}")
+    with open(f"{extracts}/events/extra.csv", "w") as file:
+        file.write(",".join(tables.csv_events().columns) + "\n-5,half\n")
+    with pytest.raises(MalformedLines, match="'short': 1"):
+        nightly.load_extracts(spark, extracts, kept)
+    found = nightly.load_extracts(spark, extracts, kept, {"events": {"short": 1}})
+    assert found["events"] == {"lines": tables.csv_events().count() + 1, "long": 0, "short": 1, "unreadable": 0, "undecoded": 0}
+    assert found["orders"]["lines"] == tables.csv_orders().count()
+    nightly.build_report(spark, kept, out, CUTOFF, AS_OF, loaded=True)
+    assert values(current_table(spark, f"{out}/fact_orders")) == values(bi_tables.fact_orders(tables.csv_orders()))
+    assert -5 in {r["id"] for r in current_table(spark, f"{out}/dim_events").collect()}

@@ -130,6 +130,63 @@ def test_csv_short_and_long_lines(spark, tmp_path):
     assert values(df) == [(1, "x"), (2, None)]
 
 
+def test_odd_lines_are_counted_and_kept(spark, tmp_path):
+    body = "a,b,c\n1,x,5\n2,x,5,more\n3,x,5,\n4\n\n5,x,five\n6,,\nno,x,7,more\n7,\ufffd,1\n8,x\n"
+    # A second file with a header of its own, whose last line holds bytes that are no UTF-8.
+    (tmp_path / "a.csv").write_text(body)
+    (tmp_path / "b.csv").write_bytes(b"a,b,c\n9,\xff\xfe,1\n")
+    wanted = schema(a=T.LongType(), b=T.StringType(), c=T.IntegerType())
+    lines = csv_tables.AuditedCsv(spark, str(tmp_path), wanted)
+    got = {tuple(r) for r in lines.rows.collect()}
+    assert got == {
+        (1, "x", 5), (2, "x", 5), (3, "x", 5), (4, None, None), (5, "x", None), (6, None, None), (None, "x", 7),
+        (7, "\ufffd", 1), (8, "x", None), (9, "\ufffd\ufffd", 1),
+    }
+    assert lines.counts() == {"lines": 10, "long": 3, "short": 2, "unreadable": 2, "undecoded": 2}
+    odd = {tuple(r["fields"]): r["kinds"] for r in lines.odd_lines().collect()}
+    assert odd[("no", "x", "7", "more")] == ["long", "unreadable"] and odd[("4",)] == ["short"]
+    assert odd[("3", "x", "5", "")] == ["long"] and len(odd) == 8
+    lines.verify(long=3, short=2, unreadable=2, undecoded=2)
+    with pytest.raises(csv_tables.MalformedLines, match="'long': 3"):
+        lines.verify(short=2, unreadable=2, undecoded=2)
+
+
+def test_counts_do_not_depend_on_the_columns_in_use(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,x,more\n2\nno,x\n")
+    lines = csv_tables.AuditedCsv(spark, str(tmp_path), schema(a=T.LongType(), b=T.StringType()))
+    lines.rows.select("b").write.format("noop").mode("overwrite").save()
+    assert lines.counts() == {"lines": 3, "long": 1, "short": 1, "unreadable": 1, "undecoded": 0}
+
+
+def test_audit_of_a_code_page(spark, tmp_path):
+    (tmp_path / "t.csv").write_bytes("a,b\n1,5€\n2,é\n".encode("cp1252") + b"3,\x81\n")
+    lines = csv_tables.AuditedCsv(spark, str(tmp_path), schema(a=T.LongType(), b=T.StringType()), "1252")
+    assert values(lines.rows) == [(1, "5€"), (2, "é"), (3, "\x81")]
+    assert lines.counts() == {"lines": 3, "long": 0, "short": 0, "unreadable": 0, "undecoded": 1}
+
+
+def test_audit_of_an_empty_extract(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n")
+    lines = csv_tables.AuditedCsv(spark, str(tmp_path), schema(a=T.LongType(), b=T.StringType()))
+    assert lines.rows.collect() == [] and set(lines.counts().values()) == {0}
+
+
+def test_a_damaged_extract_leaves_the_table_as_it_was(spark, tmp_path):
+    wanted = schema(a=T.LongType(), b=T.StringType())
+    table, texts = str(tmp_path / "table"), {"good": "a,b\n1,x\n", "bad": "a,b\n2\n3,y\n"}
+    for name, text in texts.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "t.csv").write_text(text)
+    good, bad = [csv_tables.AuditedCsv(spark, str(tmp_path / n), wanted) for n in texts]
+    assert sinks.overwrite_load(good.rows, table, verify=good.verify) == 1
+    with pytest.raises(csv_tables.MalformedLines):
+        sinks.overwrite_load(bad.rows, table, verify=bad.verify)
+    assert values(sinks.current_table(spark, table)) == [(1, "x")]
+    again = csv_tables.AuditedCsv(spark, str(tmp_path / "bad"), wanted)
+    assert sinks.overwrite_load(again.rows, table, verify=lambda: again.verify(short=1)) == 2
+    assert values(sinks.current_table(spark, table)) == [(2, None), (3, "y")]
+
+
 def test_csv_bad_number_fails(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a\nx\n")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
