@@ -6,9 +6,11 @@ number of a bitmap and a place in it, one aggregation sets the bits and takes al
 coarser group joins the bitmaps of its parts. So the fact is read once for all levels of a
 hierarchy.
 
-A bitmap has 4 KB for 32,768 neighbouring ids, so ids should lie close together; ``dense_ids``
-numbers those that do not. A group needs no more bitmaps than it has ids, and bitmaps of one
-group lie in different tasks; a group with a third of all rows is one row per map task and bitmap.
+A bitmap covers 8,192 neighbouring ids and is kept as the list of its places that are set, two bytes each:
+before the first shuffle most groups have a few ids in a task, and 4 KB for each of them would fill the
+memory of the tasks that sort them. A group needs no more bitmaps than it has ids, and fewer if its ids
+lie close together; ``dense_ids`` numbers those that do not. Bitmaps of one group lie in different tasks; a
+group with a third of all rows is one row per map task and bitmap.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ from boxoffice.operators.ranking import numbered
 from boxoffice.session import stable
 
 
+# Ids to a bitmap, as a power of two. It bounds what a task holds for one group: at most so many places.
+_WIDTH = 13
+
+
 def dense_ids(df: DataFrame, column: str, name: str) -> DataFrame:
     """The distinct values of ``column`` with numbers ``name`` from 1 on, without gaps."""
     return numbered(df.select(column).dropna().distinct(), [F.col(column).asc()], name)
@@ -31,16 +37,15 @@ def dense_ids(df: DataFrame, column: str, name: str) -> DataFrame:
 def bitmaps(
     df: DataFrame, counted: Mapping[str, Column], by: Sequence[str], sums: Mapping[str, Column]
 ) -> DataFrame:
-    """``by``, the sums, and per counted name its ``_bits`` and the number ``_at`` of that bitmap.
+    """``by``, the sums, and per counted name the number ``_at`` of a bitmap and the places set in it, ``_bits``.
 
     A group has a row for each combination of bitmap numbers it needs. A null id sets no bit.
     """
-    at = {name: F.bitmap_bucket_number(c.cast("bigint")).alias(f"{name}_at") for name, c in counted.items()}
-    bits = [
-        F.bitmap_construct_agg(F.bitmap_bit_position(c.cast("bigint"))).alias(f"{name}_bits")
-        for name, c in counted.items()
-    ]
-    return df.groupBy(*by, *at.values()).agg(*[c.alias(n) for n, c in sums.items()], *bits)
+    ids = {name: c.cast("bigint") for name, c in counted.items()}
+    at = [F.shiftright(c, _WIDTH).alias(f"{name}_at") for name, c in ids.items()]
+    place = {name: c.bitwiseAND(F.lit((1 << _WIDTH) - 1)).cast("smallint") for name, c in ids.items()}
+    bits = [F.collect_set(c).alias(f"{name}_bits") for name, c in place.items()]
+    return df.groupBy(*by, *at).agg(*[c.alias(n) for n, c in sums.items()], *bits)
 
 
 def merged(parts: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -48,8 +53,8 @@ def merged(parts: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFra
     sums = [c for c in parts.columns if c in SUMS]
     out = parts.groupBy(*by).agg(F.count(F.lit(1)).alias("_parts"), *[F.sum(c).alias(c) for c in sums])
     for name in names:
-        joined = parts.where(F.col(f"{name}_at").isNotNull()).groupBy(*by, f"{name}_at")
-        joined = joined.agg(F.bitmap_count(F.bitmap_or_agg(f"{name}_bits")).alias("n"))
+        places = parts.select(*by, f"{name}_at", F.explode(f"{name}_bits").alias("_place"))
+        joined = places.groupBy(*by, f"{name}_at").agg(F.size(F.collect_set("_place")).alias("n"))
         if not by:
             out = out.withColumn(name, F.coalesce(joined.agg(F.sum("n")).scalar(), F.lit(0)))
             continue

@@ -76,6 +76,23 @@ def test_levels_read_the_fact_without_multiplying_it(rows):
     assert "Expand" not in text and text.count("Exchange") == 1
 
 
+def test_a_group_with_one_id_is_a_small_row(rows):
+    """What a task sorts grows with the ids of a group, not with the range they come from."""
+    data = [(c, c % 7, "card", 1, 10, 0.1, 1, dt.date(2024, 1, 1), 20240101) for c in range(0, 90_000, 1_000)]
+    counted = {n: c() for n, c in metrics.DISTINCT_IDS.items()}
+    parts = distinct.bitmaps(rows(data, SCHEMA), counted, ["eventID", "paymentMethod"], {"n_rows": F.count(F.lit(1))})
+    sizes = [F.max(F.length(F.col(f"{n}_bits").cast("string"))).alias(n) for n in counted]
+    assert max(parts.agg(*sizes).first()) < 100
+
+
+def test_levels_at_the_borders_of_bitmaps(rows):
+    ids = [b * 8192 + d for b in (-2, -1, 0, 1, 5, 10**11) for d in (-1, 0, 1, 8191)]
+    data = [(i, e, None, 1, 10, 0.1, 1, dt.date(2024, 1, 1), 20240101) for i in [*ids, *ids, None] for e in (1, 2, None)]
+    fact = rows(data, SCHEMA)
+    got = distinct.kpi_levels(fact, ["total_customers"], [["eventID"], []])
+    assert {r.total_customers for r in got.collect()} == {len(set(ids))} and got.count() == 4
+
+
 def test_levels_of_no_orders(rows):
     got = distinct.kpi_levels(rows([], SCHEMA), ["total_customers", "tickets"], [["eventID"], []])
     assert values(got) == [(None, 1, None, None)]
