@@ -63,12 +63,13 @@ def _application(spark: SparkSession) -> str:
         return "session"
 
 
-def stable(df: DataFrame) -> DataFrame:
+def stable(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where two branches of a plan must see the very same row placement, even
-    after an executor is lost and its tasks are run again.
+    after an executor is lost and its tasks are run again. Long texts may name a stronger
+    ``compression`` than the session's.
     """
     path = scratch_path(df.sparkSession, "stable")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -89,16 +89,16 @@ class CountedDump:
 
 
 def write_json_arrays(df: DataFrame, path: str, records_per_file: int = 10_000) -> None:
-    """Write ``df`` as many array files of at most ``records_per_file`` records.
+    """Write ``df`` as many gzipped array files of at most ``records_per_file`` records.
 
-    The records are written once and cut into blocks by their place in the written files.
+    The records are written once, compressed like the files, and cut into blocks by their place in the written files.
     So a block never grows with the data, no key decides its size, and a task that is run
     again after a lost executor cuts the same blocks.
     """
     options = {"ignoreNullFields": "false"}
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options)
     blocks = (
-        stable(df.select(record.alias("record")))
+        stable(df.select(record.alias("record")), "zstd")
         .select(
             "record",
             F.col("_metadata.file_path").alias("file"),
@@ -108,4 +108,4 @@ def write_json_arrays(df: DataFrame, path: str, records_per_file: int = 10_000)
         .agg(F.array_join(F.collect_list("record"), ",").alias("body"))
         .select(F.concat(F.lit("["), "body", F.lit("]")).alias("value"))
     )
-    blocks.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    blocks.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path, compression="gzip")

@@ -111,6 +111,17 @@ def test_array_files_have_a_bounded_size(spark, tmp_path):
     assert back.count() == 95
 
 
+def test_array_files_are_compressed(spark, tmp_path):
+    """Keys come with every record, so a dump as plain text is several times its table."""
+    path = str(tmp_path / "dump")
+    df = spark.range(0, 20_000, 1, 3).withColumn("a_long_name_of_a_column", F.lit("the same text"))
+    json_array.write_json_arrays(df, path, 5_000)
+    size = sum(f.stat().st_size for f in (tmp_path / "dump").iterdir())
+    assert size < 0.25 * df.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0]
+    back = json_array.read_json_array(spark, path, schema(id=T.LongType(), a_long_name_of_a_column=T.StringType()))
+    assert back.exceptAll(df).count() == 0 and back.count() == 20_000
+
+
 def test_bad_json_value_fails(spark, tmp_path):
     (tmp_path / "d.json").write_text('[{"a": "not a number"}]')
     with pytest.raises(Exception):
