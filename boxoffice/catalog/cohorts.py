@@ -10,7 +10,7 @@ from boxoffice.catalog.oracle import PROFIT, TICKETS, div
 from boxoffice.catalog.register import query
 from boxoffice.functions.dates import month_start
 from boxoffice.operators import cohorts as c
-from boxoffice.session import scratch_path
+from boxoffice.session import scratch_path, stable
 from boxoffice.sources.first_dates import first_bought, first_ordered, merge_first_dates
 
 
@@ -18,12 +18,20 @@ def with_ym(fact: DataFrame, date: str = "creationDate") -> DataFrame:
     return fact.withColumn("ym", F.year(date) * 100 + F.month(date))
 
 
-def by_month_loads(t: Tables, keep: tuple[str, ...] = ()) -> str:
+_ORDER = ("customerID", "eventID", "orderStatus", "creationDate", "creationDateID", "grossUnits", "discount")
+
+
+def joined_orders(t: Tables, *more: str) -> DataFrame:
+    """The columns of the fact that the loads and their figures read, joined and written once for all of them."""
+    return stable(t.fact().select(*_ORDER, *more))
+
+
+def by_month_loads(fact: DataFrame, keep: tuple[str, ...] = ()) -> str:
     """The table of first dates after three loads, the middle one late; returns its path."""
-    path = scratch_path(t.spark, "first-dates")
+    path = scratch_path(fact.sparkSession, "first-dates")
     until, since = F.col("creationDateID") < 19950000, F.col("creationDateID") >= 19970000
     for part in (until, since, ~until & ~since):
-        merge_first_dates(t.fact().where(part), path, keep)
+        merge_first_dates(fact.where(part), path, keep)
     return path
 
 
@@ -64,8 +72,10 @@ def new_customers(t: Tables) -> DataFrame:
 )
 def customers_from_first_dates(t: Tables) -> DataFrame:
     """New and repeat customers of all months, with first purchases from the stored table."""
-    first_ever = first_bought(t.spark, by_month_loads(t))
-    return c.cohort_counts(event_months(t), ["eventID", "ym"], first_ever=first_ever)
+    fact = joined_orders(t)
+    contexts = c.customer_contexts(with_ym(fact), ["eventID", "ym"], ())
+    first_ever = first_bought(t.spark, by_month_loads(fact))
+    return c.cohort_counts(contexts, ["eventID", "ym"], first_ever=first_ever)
 
 
 @query(
@@ -78,9 +88,9 @@ FROM by_payment b JOIN (SELECT "eventID", "paymentMethod", min("creationDate") A
 )
 def by_payment_from_first_dates(t: Tables) -> DataFrame:
     """The stored table has one row per customer and payment method here."""
-    by, keep = ["eventID", "paymentMethod"], ("paymentMethod",)
-    first_ever = first_bought(t.spark, by_month_loads(t, keep), keep)
-    counts = c.cohort_counts(c.customer_contexts(t.fact(), by, ()), by, keep, first_ever)
+    by, keep, fact = ["eventID", "paymentMethod"], ("paymentMethod",), joined_orders(t, "paymentMethod")
+    first_ever = first_bought(t.spark, by_month_loads(fact, keep), keep)
+    counts = c.cohort_counts(c.customer_contexts(fact, by, ()), by, keep, first_ever)
     return counts.select("eventID", "paymentMethod", "new_customers")
 
 
@@ -172,15 +182,16 @@ FULL JOIN (SELECT * FROM fresh WHERE ym >= 199701) fresh ON n."eventID" = fresh.
 )
 def value_from_first_dates(t: Tables) -> DataFrame:
     """The months of a late selection: orders before it are read by the stored tables only."""
-    late = with_ym(t.fact().where(F.col("creationDateID") >= 19970101))
+    fact = joined_orders(t)
+    late = with_ym(fact.where(F.col("creationDateID") >= 19970101))
     contexts = c.customer_contexts(late, ["eventID", "ym"], _AMOUNTS[:2])
     return c.avg_new_customer_value(
         contexts,
         ["eventID"],
         "ym",
         month_start(F.col("first_order")),
-        first_bought(t.spark, by_month_loads(t)),
-        first_ordered(t.spark, by_month_loads(t, ("eventID",)), ["eventID"]),
+        first_bought(t.spark, by_month_loads(fact)),
+        first_ordered(t.spark, by_month_loads(fact, ("eventID",)), ["eventID"]),
     )
 
 

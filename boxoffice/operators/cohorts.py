@@ -149,11 +149,14 @@ def period_cohort_value(
     """
     if earliest is None:
         earliest = contexts.groupBy("customerID", *by).agg(F.min("first_order").alias("earliest"))
-    fresh = contexts.withColumn("start", period_start).join(earliest, ["customerID", *by])
+    # Only what the sum takes goes through the join.
+    profit = (F.col("s_gross") - F.col("s_discount")).alias("profit")
+    fresh = contexts.select("customerID", *by, period, period_start.alias("start"), profit)
     return (
-        fresh.where(F.col("earliest") >= F.col("start"))
+        fresh.join(earliest, ["customerID", *by])
+        .where(F.col("earliest") >= F.col("start"))
         .groupBy(*by, period)
-        .agg(F.sum(F.col("s_gross") - F.col("s_discount")).alias("total_new_customers_value"))
+        .agg(F.sum("profit").alias("total_new_customers_value"))
     )
 
 

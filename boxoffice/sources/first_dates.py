@@ -45,7 +45,7 @@ def merge_first_dates(orders: DataFrame, path: str, keep: Sequence[str] = ()) ->
     """Bring the table at ``path`` up to date with further orders; returns the rows written."""
     spark, key = orders.sparkSession, ["customerID", *keep]
     found = first_dates(orders, keep)
-    if not loads(spark, path):
+    if not any(r["rows"] for r in loads(spark, path)):
         return add_version(found, path)
     known = current_table(spark, path).toDF(*key, "_order", "_bought")
     moved = F.col("_order").isNull() | (F.col("first_order") < F.col("_order"))

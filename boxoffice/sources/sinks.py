@@ -82,7 +82,8 @@ def current_table(spark: SparkSession, path: str, load: int | None = None) -> Da
     """The rows of the newest version, or of the table as it was after ``load``.
 
     Versions that hold changes are put over the last full one: a row counts if no later version
-    names its key. All changed keys meet the rows in one join, however many loads there were.
+    names its key. All changed keys meet the rows in one join, however many loads there were; the
+    rows of the last change are current as they are and do not take part, and no version without rows is read.
     """
     entries = [r for r in loads(spark, path) if load is None or r["load"] <= load]
     full = [i for i, r in enumerate(entries) if r["kind"] == "full"]
@@ -91,23 +92,28 @@ def current_table(spark: SparkSession, path: str, load: int | None = None) -> Da
     base, changes = entries[full[-1]], entries[full[-1] + 1 :]
     # The columns come from the log: an empty version may have no file to take them from.
     schema = T.StructType.fromJson(json.loads(base["columns"]))
-    rows = spark.read.schema(schema).parquet(f"{path}/{base['folder']}/rows")
+
+    def rows_of(entry: Row) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{path}/{entry['folder']}/rows")
+
     if not changes:
-        return rows
-    key, columns = changes[0]["key"], rows.columns
-    key_schema = T.StructType([rows.schema[k] for k in key])
-    rows = rows.withColumn("_load", F.lit(base["load"]))
+        return rows_of(base)
+    newest = rows_of(changes[-1])
+    before = [r for r in (base, *changes[:-1]) if r["rows"]]
+    if not before:
+        return newest
+    key, columns = changes[0]["key"], newest.columns
+    key_schema = T.StructType([newest.schema[k] for k in key])
+    rows = reduce(DataFrame.unionByName, [rows_of(r).withColumn("_load", F.lit(r["load"])) for r in before])
     named = []
     for r in changes:
-        part = spark.read.schema(schema).parquet(f"{path}/{r['folder']}/rows")
-        rows = rows.unionByName(part.withColumn("_load", F.lit(r["load"])))
         keys = spark.read.schema(key_schema).parquet(f"{path}/{r['folder']}/keys")
         named.append(keys.withColumn("_load", F.lit(r["load"])))
     last = reduce(DataFrame.unionByName, named).groupBy(*key).agg(F.max("_load").alias("_last"))
     last = last.select("_last", *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(key)])
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(key)])
-    newest = F.col("_load") == F.coalesce("_last", F.lit(base["load"]))
-    return rows.join(last, same, "left").where(newest).select(*columns)
+    current = F.col("_load") == F.coalesce("_last", F.lit(base["load"]))
+    return rows.join(last, same, "left").where(current).select(*columns).unionByName(newest)
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:

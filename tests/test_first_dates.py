@@ -8,11 +8,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from boxoffice.catalog import cohorts as catalog
+from boxoffice.catalog.bindings import Tables
 from boxoffice.functions.dates import month_start
 from boxoffice.operators import cohorts
 from boxoffice.sources.first_dates import correct_first_dates, first_bought, first_dates, first_ordered, merge_first_dates
+from boxoffice.sources import sinks
 from boxoffice.sources.sinks import current_table
-from tests.conftest import values
+from tests.conftest import SF, values
 
 SCHEMA = (
     "id long, customerID long, eventID long, totalTickets long, price long, discount double, orderStatus int, "
@@ -143,3 +146,40 @@ def test_measures_by_gender(rows):
         (2, "complete_orders", None, None, None, None),
         (2, "profit", None, None, None, None),
     ]
+
+
+@pytest.mark.parametrize(
+    "name", ["value_from_first_dates", "customers_from_first_dates", "by_payment_from_first_dates"]
+)
+def test_loads_and_figures_join_the_orders_once(spark, name):
+    calls = []
+
+    class Counted(Tables):
+        def fact(self):
+            calls.append(1)
+            return super().fact()
+
+    assert getattr(catalog, name)(Counted(spark, SF)).count() > 0
+    assert len(calls) == 1
+
+
+def test_rows_of_the_last_load_do_not_meet_the_keys(spark, tmp_path, rows):
+    path, empty = str(tmp_path), rows([], "k long, v long")
+    sinks.add_version(empty, path)
+    change = rows([(1, 10), (None, 20)], "k long, v long")
+    sinks.add_version(change, path, changed=change.select("k"))
+    only = current_table(spark, path)
+    assert "Exchange" not in only._jdf.queryExecution().executedPlan().toString()
+    assert values(only) == [(1, 10), (None, 20)]
+    later = rows([(2, 30)], "k long, v long")
+    sinks.add_version(later, path, changed=rows([(2,), (None,)], "k long"))
+    assert values(current_table(spark, path)) == [(1, 10), (2, 30)]
+    # A load that only takes rows away.
+    sinks.add_version(empty, path, changed=rows([(1,)], "k long"))
+    assert values(current_table(spark, path)) == [(2, 30)]
+    assert values(current_table(spark, path, load=2)) == [(1, 10), (None, 20)]
+
+
+def test_a_first_load_without_orders(spark, tmp_path, facts):
+    assert loaded(facts, tmp_path, ["false", "true", "ym = 202402"]) == [0, first_dates(facts).count(), 0]
+    assert [r["kind"] for r in sinks.loads(spark, str(tmp_path))] == ["full", "full"]
