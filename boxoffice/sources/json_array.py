@@ -101,9 +101,11 @@ def write_json_arrays(df: DataFrame, path: str, records_per_file: int = 10_000)
         stable(df.select(record.alias("record")), "zstd")
         .select(
             "record",
-            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_name").alias("file"),
             F.floor(F.col("_metadata.row_index") / records_per_file).alias("block"),
         )
+        # A scan task may hold parts of very many blocks, which an aggregation there would sort and spill.
+        .repartition("file", "block")
         .groupBy("file", "block")
         .agg(F.array_join(F.collect_list("record"), ",").alias("body"))
         .select(F.concat(F.lit("["), "body", F.lit("]")).alias("value"))
